@@ -7,6 +7,7 @@ import importlib
 
 MODULES = (
     "dedup_plans",
+    "snapshot_plans",
 )
 
 
