@@ -8,6 +8,7 @@ import importlib
 MODULES = (
     "dedup_plans",
     "snapshot_plans",
+    "pattern_plans",
 )
 
 

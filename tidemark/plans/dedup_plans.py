@@ -39,6 +39,15 @@ QUERIES = {
     "c02_duplicate_report": c02_duplicate_report,
 }
 
+GAME_DETAILS_DEDUP_SQL = """
+        SELECT * EXCLUDE (rn) FROM (
+          SELECT gd.game_id, gd.team_id, gd.player_id, gd.player_name, gd.start_position, gd.pts,
+                 g.game_date_est,
+                 row_number() OVER (PARTITION BY gd.game_id, gd.team_id, gd.player_id
+                    ORDER BY g.game_date_est DESC, gd.player_name NULLS FIRST,
+                             gd.start_position NULLS FIRST, gd.pts NULLS FIRST) AS rn
+          FROM game_details gd JOIN games g ON gd.game_id = g.game_id) WHERE rn = 1"""
+
 ORACLE = {
     "c01_dedup_lineitem": """
         SELECT * EXCLUDE (rn) FROM (
@@ -47,15 +56,7 @@ ORACLE = {
                       l_discount NULLS FIRST, l_tax NULLS FIRST, l_returnflag NULLS FIRST,
                       l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS rn
           FROM lineitem) WHERE rn = 1""",
-    "c01_dedup_game_details": with_views("""
-        SELECT * EXCLUDE (rn) FROM (
-          SELECT gd.game_id, gd.team_id, gd.player_id, gd.player_name, gd.start_position, gd.pts,
-                 g.game_date_est,
-                 row_number() OVER (PARTITION BY gd.game_id, gd.team_id, gd.player_id
-                    ORDER BY g.game_date_est DESC, gd.player_name NULLS FIRST,
-                             gd.start_position NULLS FIRST, gd.pts NULLS FIRST) AS rn
-          FROM game_details gd JOIN games g ON gd.game_id = g.game_id) WHERE rn = 1""",
-        "game_details", "games"),
+    "c01_dedup_game_details": with_views(GAME_DETAILS_DEDUP_SQL, "game_details", "games"),
     "c02_duplicate_report": with_views("""
         SELECT game_id, team_id, player_id, count(*) AS n_rows
         FROM game_details GROUP BY game_id, team_id, player_id HAVING count(*) > 1""",
