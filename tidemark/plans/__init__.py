@@ -9,6 +9,7 @@ MODULES = (
     "dedup_plans",
     "snapshot_plans",
     "pattern_plans",
+    "match_plans",
 )
 
 
