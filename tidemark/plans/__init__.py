@@ -10,6 +10,7 @@ MODULES = (
     "snapshot_plans",
     "pattern_plans",
     "match_plans",
+    "session_plans",
 )
 
 

@@ -34,7 +34,12 @@ def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, user_id (NULL when event_id % 20 = 0), device_id, host, subhost, ip,
     event_time (timestamp_ntz, wall clock as stored), event_type."""
-    e = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    return web_events_from(load(spark, sf_dir, "events"))
+
+
+def web_events_from(events: DataFrame) -> DataFrame:
+    """The web_events projection of an events frame (batch or stream)."""
+    e = events.select("event_id", "ts", "user_id", "event_type", "props")
     return e.select(
         "event_id",
         F.when(F.col("event_id") % 20 == 0, F.lit(None).cast("long"))
