@@ -85,22 +85,30 @@ def rolling_wins(games: DataFrame, n: int = 90) -> DataFrame:
     (frame current row .. n-1 following, ordered by date then game id).
 
     The frame sum is a difference of prefix sums: wins(i..j) = W(j) - W(i-1),
-    with j = min(i + n - 1, games of the team); W(j) is fetched by an equi
-    join on (team, ordinal), which spreads evenly over tasks.
+    with j = min(i + n - 1, games of the team).  Each row emits itself twice:
+    as a frame start (key i, W(i-1)) and as a frame end (key j - n + 1, W(j));
+    one aggregate on (team, key) pairs them, so the running totals are
+    computed once and no key is hot.  Starts with no end row are the team's
+    last n-1 frames, which end at the team total.
     """
     tg = team_games(games)
     r = running_totals(tg, ["team_id"], "game_date_est", ["game_id"],
-                       {"ordinal": F.lit(1).cast("bigint"), "cum_wins": F.col("is_win").cast("bigint")})
-    totals = r.groupBy("team_id").agg(F.max("ordinal").alias("total_number_games"))
-    starts = (r.join(totals, "team_id", "inner")
-               .select("team_id", "ordinal", "total_number_games",
-                       (F.col("cum_wins") - F.col("is_win")).alias("wins_before"),
-                       F.least(F.col("ordinal") + (n - 1), F.col("total_number_games")).alias("end_ordinal")))
-    ends = r.select("team_id", F.col("ordinal").alias("end_ordinal"), F.col("cum_wins").alias("wins_upto_end"))
-    frames = starts.join(ends, ["team_id", "end_ordinal"], "inner")
+                       {"ordinal": F.lit(1).cast("bigint"), "cum_wins": F.col("is_win").cast("bigint")},
+                       totals=True)
+    roles = F.array(
+        F.struct(F.col("ordinal").alias("k"), (F.col("cum_wins") - F.col("is_win")).alias("before"),
+                 F.lit(None).cast("bigint").alias("upto")),
+        F.struct((F.col("ordinal") - (n - 1)).alias("k"), F.lit(None).cast("bigint").alias("before"),
+                 F.col("cum_wins").alias("upto")))
+    e = r.select("team_id", "ordinal_total", "cum_wins_total", F.inline(roles))
+    frames = (e.groupBy("team_id", "k")
+               .agg(F.max("before").alias("before"), F.max("upto").alias("upto"),
+                    F.max("ordinal_total").alias("games"), F.max("cum_wins_total").alias("wins"))
+               .where(F.col("before").isNotNull()))
     return (frames.groupBy("team_id")
-                  .agg(F.max("total_number_games").alias("total_number_games"),
-                       F.max(F.col("wins_upto_end") - F.col("wins_before")).alias(f"max_{n}_game_wins")))
+                  .agg(F.max("games").alias("total_number_games"),
+                       F.max(F.coalesce(F.col("upto"), F.col("wins")) - F.col("before"))
+                        .alias(f"max_{n}_game_wins")))
 
 
 def rank_teams(best: DataFrame, teams: DataFrame, metric: str, top: int = 5) -> DataFrame:
@@ -132,10 +140,7 @@ def longest_streak(df: DataFrame, key: str, bucket: str, order: Sequence[str],
     rows = rows.withColumn("_hit", F.coalesce(predicate, F.lit(False)))
     r = running_totals(rows, [key], bucket, order,
                        {"_pos": F.lit(1).cast("bigint"), "_pos_hit": F.col("_hit").cast("bigint")})
-    runs = (r.where(F.col("_hit"))
-             .groupBy(key, (F.col("_pos") - F.col("_pos_hit")).alias("_island"))
-             .agg(F.count(F.lit(1)).alias("_len")))
-    best = runs.groupBy(key).agg(F.max("_len").alias(out))
-    keys = rows.select(key).distinct()
-    return (keys.join(best, key, "left")
-                .select(key, F.coalesce(F.col(out), F.lit(0)).cast("bigint").alias(out)))
+    # one group per run of hits (plus one per key holding its misses, summing to 0)
+    runs = (r.groupBy(key, F.when(F.col("_hit"), F.col("_pos") - F.col("_pos_hit")).alias("_island"))
+             .agg(F.sum(F.col("_hit").cast("bigint")).alias("_len")))
+    return runs.groupBy(key).agg(F.max("_len").cast("bigint").alias(out))

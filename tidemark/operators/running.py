@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
-                   sums: Mapping[str, Column]) -> DataFrame:
+                   sums: Mapping[str, Column], totals: bool = False) -> DataFrame:
     """Add ``<name>`` = running sum of each ``sums[name]`` over the rows of the
-    key ordered by (bucket, *order), current row included.
+    key ordered by (bucket, *order), current row included; with ``totals``
+    also ``<name>_total`` = the key's grand total (from the bucket table).
 
     (bucket, *order) must be a total order within the key for the result to
     be deterministic."""
@@ -37,12 +38,15 @@ def running_totals(df: DataFrame, keys: Sequence[str], bucket: str, order: Seque
                       .agg(*[F.sum(tmp[n]).alias(f"_b_{n}") for n in sums]))
     wb = (Window.partitionBy(*keys).orderBy(bucket)
                 .rowsBetween(Window.unboundedPreceding, -1))
+    wall = Window.partitionBy(*keys)
     offsets = per_bucket.select(
         *keys, bucket,
-        *[F.coalesce(F.sum(f"_b_{n}").over(wb), F.lit(0)).alias(f"_o_{n}") for n in sums])
+        *[F.coalesce(F.sum(f"_b_{n}").over(wb), F.lit(0)).alias(f"_o_{n}") for n in sums],
+        *[F.sum(f"_b_{n}").over(wall).alias(f"{n}_total") for n in (sums if totals else [])])
     wi = (Window.partitionBy(*keys, bucket).orderBy(*order)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     joined = base.join(offsets, [*keys, bucket], "inner")
     return joined.select(
         *df.columns,
-        *[(F.col(f"_o_{n}") + F.sum(tmp[n]).over(wi)).alias(n) for n in sums])
+        *[(F.col(f"_o_{n}") + F.sum(tmp[n]).over(wi)).alias(n) for n in sums],
+        *[F.col(f"{n}_total") for n in (sums if totals else [])])

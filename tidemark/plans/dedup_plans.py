@@ -10,12 +10,15 @@ from tidemark.sources import fixtures as fx
 from tidemark.sources.tables import load
 
 LINEITEM_GRAIN = ["l_orderkey", "l_linenumber"]
-LINEITEM_ORDER = [F.desc("l_shipdate"), "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+def lineitem_order():
+    return [F.desc("l_shipdate"), "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 
 def c01_dedup_lineitem(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
-    return dedup(li, LINEITEM_GRAIN, LINEITEM_ORDER)
+    return dedup(li, LINEITEM_GRAIN, lineitem_order())
 
 
 def c01_dedup_game_details(spark, sf_dir):
