@@ -11,6 +11,7 @@ MODULES = (
     "pattern_plans",
     "match_plans",
     "session_plans",
+    "enrich_plans",
 )
 
 

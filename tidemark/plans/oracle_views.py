@@ -83,6 +83,19 @@ VIEWS: dict[str, str] = {
         FROM orders WHERE isodow(o_orderdate) <= 5
         GROUP BY 1, 2""",
     "activity": "SELECT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS day FROM orders",
+    "ip_ranges": """
+        SELECT CAST(167772160 + n_nationkey * 600000 AS BIGINT) AS ip_start,
+               CAST(167772160 + n_nationkey * 600000 + 599999 AS BIGINT) AS ip_end,
+               n_name AS country, CAST(n_regionkey AS INTEGER) AS region_key
+        FROM nation""",
+    "client_events": """
+        SELECT event_id, ip_num,
+               CAST(ip_num // 16777216 % 256 AS VARCHAR) || '.' || CAST(ip_num // 65536 % 256 AS VARCHAR)
+               || '.' || CAST(ip_num // 256 % 256 AS VARCHAR) || '.' || CAST(ip_num % 256 AS VARCHAR) AS ip
+        FROM (SELECT event_id,
+                     CAST(167772160 + (event_id * 7919 + coalesce(user_id, 0) * 104729) % 16777216 AS BIGINT)
+                       AS ip_num
+              FROM events)""",
 }
 
 # view -> views it reads

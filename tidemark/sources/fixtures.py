@@ -169,3 +169,27 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, day: one row per customer order day (duplicates kept)."""
     o = load(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
     return o.select(F.col("o_custkey").alias("user_id"), F.to_date("o_orderdate").alias("day"))
+
+
+# Fixed value: first address of the synthetic client block (10.0.0.0).
+IP_BASE = 167772160
+IP_RANGE_SIZE = 600000
+
+
+def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ip_start, ip_end, country, region_key: one address range per nation;
+    ranges are deliberately not aligned to /16 blocks."""
+    n = load(spark, sf_dir, "nation")
+    start = F.lit(IP_BASE).cast("bigint") + F.col("n_nationkey").cast("bigint") * IP_RANGE_SIZE
+    return n.select(start.alias("ip_start"), (start + (IP_RANGE_SIZE - 1)).alias("ip_end"),
+                    F.col("n_name").alias("country"), F.col("n_regionkey").cast("int").alias("region_key"))
+
+
+def client_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, ip (text): a client address per event spread over 10.0.0.0/8;
+    addresses past the last nation range have no location."""
+    e = load(spark, sf_dir, "events").select("event_id", "user_id")
+    num = F.lit(IP_BASE).cast("bigint") + (F.col("event_id") * 7919 +
+                                           F.coalesce(F.col("user_id"), F.lit(0)) * 104729) % 16777216
+    octets = [(F.floor(num / (256 ** k)) % 256).cast("string") for k in (3, 2, 1, 0)]
+    return e.select("event_id", F.concat_ws(".", *octets).alias("ip"))
