@@ -50,3 +50,34 @@ def running_totals(df: DataFrame, keys: Sequence[str], bucket: str, order: Seque
         *df.columns,
         *[(F.col(f"_o_{n}") + F.sum(tmp[n]).over(wi)).alias(n) for n in sums],
         *[F.col(f"{n}_total") for n in (sums if totals else [])])
+
+
+def running_max(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
+                value: Column, name: str) -> DataFrame:
+    """Add ``name`` = max of ``value`` over the key's rows up to the current one
+    (order (bucket, *order)), split by bucket like ``running_totals``.
+    NULL values are ignored; the result is NULL until a value is seen."""
+    keys = list(keys)
+    base = df.select("*", value.alias("_v"))
+    per_bucket = base.groupBy(*keys, bucket).agg(F.max("_v").alias("_bm"))
+    wb = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*keys, bucket, F.max("_bm").over(wb).alias("_om"))
+    wi = (Window.partitionBy(*keys, bucket).orderBy(*order)
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (base.join(offsets, [*keys, bucket], "inner")
+                .select(*df.columns, F.greatest(F.col("_om"), F.max("_v").over(wi)).alias(name)))
+
+
+def next_in_order(df: DataFrame, keys: Sequence[str], bucket: str, ts: str, tie: str,
+                  name: str) -> DataFrame:
+    """Add ``name`` = ``ts`` of the key's next row in (bucket, ts, tie) order
+    (NULL for the last).  Within a bucket it is ``lead``; the last row of a
+    bucket takes the first ``ts`` of the key's next non-empty bucket."""
+    keys = list(keys)
+    per_bucket = df.groupBy(*keys, bucket).agg(F.min(ts).alias("_first"))
+    wb = Window.partitionBy(*keys).orderBy(bucket)
+    nxt = per_bucket.select(*keys, bucket, F.lead("_first").over(wb).alias("_next_bucket_first"))
+    wi = Window.partitionBy(*keys, bucket).orderBy(ts, tie)
+    return (df.join(nxt, [*keys, bucket], "inner")
+              .select(*df.columns,
+                      F.coalesce(F.lead(ts).over(wi), F.col("_next_bucket_first")).alias(name)))

@@ -28,15 +28,19 @@ def _interval(seconds: int) -> Column:
 
 
 def sessionize(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int = 300,
-               bucket: str = "hour", count_col: str | None = None) -> DataFrame:
+               bucket: str = "hour", count_col: str | None = None,
+               sums: dict | None = None) -> DataFrame:
     """keys..., session_start, session_end, num_hits for every session.
 
-    ``count_col``: count non-NULL values of this column (default: rows)."""
+    ``count_col``: count non-NULL values of this column (default: rows);
+    ``sums``: extra per-session sums, name -> Column (e.g. flags)."""
+    sums = dict(sums or {})
     keys = list(keys)
     gap = _interval(gap_seconds)
     hit = F.col(count_col).isNotNull().cast("bigint") if count_col else F.lit(1).cast("bigint")
     ev = (events.where(F.col(ts).isNotNull())
-                .select(*keys, F.col(ts).alias("_ts"), hit.alias("_hit"))
+                .select(*keys, F.col(ts).alias("_ts"), hit.alias("_hit"),
+                        *[c.cast("bigint").alias(f"_s_{n}") for n, c in sums.items()])
                 .withColumn("_b", F.date_trunc(bucket, F.col("_ts"))))
     w = Window.partitionBy(*keys, "_b").orderBy("_ts")
     prev = F.lag("_ts").over(w)
@@ -44,10 +48,11 @@ def sessionize(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int
                .withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
                .groupBy(*keys, "_b", "_sid")
                .agg(F.min("_ts").alias("_start"), F.max("_ts").alias("_last"),
-                    F.sum("_hit").alias("_hits")))
+                    F.sum("_hit").alias("_hits"), *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums]))
     wb = Window.partitionBy(*keys, "_b")
     local = local.withColumn("_edge", (F.col("_sid") == 1) | (F.col("_sid") == F.max("_sid").over(wb)))
-    inner = local.where(~F.col("_edge")).select(*keys, "_start", "_last", "_hits")
+    extra = [f"_s_{n}" for n in sums]
+    inner = local.where(~F.col("_edge")).select(*keys, "_start", "_last", "_hits", *extra)
     edges = local.where(F.col("_edge"))
     we = Window.partitionBy(*keys).orderBy("_start")
     prev_last = F.lag("_last").over(we)
@@ -55,12 +60,13 @@ def sessionize(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int
                      .withColumn("_gid", F.sum("_new").over(we.rowsBetween(Window.unboundedPreceding, 0)))
                      .groupBy(*keys, "_gid")
                      .agg(F.min("_start").alias("_start"), F.max("_last").alias("_last"),
-                          F.sum("_hits").alias("_hits"))
-                     .select(*keys, "_start", "_last", "_hits"))
+                          F.sum("_hits").alias("_hits"), *[F.sum(c).alias(c) for c in extra])
+                     .select(*keys, "_start", "_last", "_hits", *extra))
     return (inner.unionByName(stitched)
                  .select(*keys, F.col("_start").alias("session_start"),
                          (F.col("_last") + gap).alias("session_end"),
-                         F.col("_hits").cast("bigint").alias("num_hits")))
+                         F.col("_hits").cast("bigint").alias("num_hits"),
+                         *[F.col(f"_s_{n}").cast("bigint").alias(n) for n in sums]))
 
 
 def avg_hits_for_hosts(sessions: DataFrame, host_pattern: str) -> DataFrame:

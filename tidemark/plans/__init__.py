@@ -12,6 +12,7 @@ MODULES = (
     "match_plans",
     "session_plans",
     "enrich_plans",
+    "experiment_plans",
 )
 
 
