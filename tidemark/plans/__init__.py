@@ -13,6 +13,7 @@ MODULES = (
     "session_plans",
     "enrich_plans",
     "experiment_plans",
+    "quality_plans",
 )
 
 
