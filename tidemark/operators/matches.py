@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.sizing import small_side
@@ -22,16 +22,17 @@ MEDAL_ID_REPAIRS = {
 
 
 def dedup_medals(medals: DataFrame, repairs: Mapping[str, str] = MEDAL_ID_REPAIRS) -> DataFrame:
-    """One (name, medal_id) per medal name: lowest raw id wins, ids repaired by
-    name, NULL names dropped."""
+    """One (name, medal_id) per medal name: lowest raw id wins, then ids are
+    repaired by name; NULL names dropped.
+
+    "Lowest id per name" is a ``min`` aggregate, not a window: it combines on
+    the map side, so a name repeated on millions of rows costs no hot task."""
+    firsts = (medals.where(F.col("name").isNotNull())
+                    .groupBy("name").agg(F.min("medal_id").alias("medal_id")))
     repaired = F.col("medal_id")
     for name, mid in repairs.items():
         repaired = F.when(F.col("name") == name, F.lit(mid)).otherwise(repaired)
-    w = Window.partitionBy("name").orderBy(F.col("medal_id").asc_nulls_last())
-    return (medals.where(F.col("name").isNotNull())
-                  .select("name", repaired.alias("fixed_id"), F.row_number().over(w).alias("_rn"))
-                  .where(F.col("_rn") == 1)
-                  .select("name", F.col("fixed_id").alias("medal_id")))
+    return firsts.select("name", repaired.alias("medal_id"))
 
 
 def medal_counts(medals_players: DataFrame, medals: DataFrame,

@@ -26,6 +26,31 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (~100 TB inputs, ~1000 executors).  Scan
+# splits of 512 MB keep task counts in the hundreds of thousands; shuffles
+# start wide and AQE coalesces them to ~256 MB partitions, so no single
+# reducer has to hold a multi-GB partition; skewed join partitions above
+# 1 GB (and 5x the median) are split.  Auto-broadcast stays at Spark's
+# default and AQE re-decides from measured shuffle sizes.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+}
+
+
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """Set the runtime-changeable part of ``CLUSTER_CONF`` on an existing session."""
+    for k, v in CLUSTER_CONF.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "tidemark", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
