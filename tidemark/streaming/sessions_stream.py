@@ -3,7 +3,9 @@
 readStream -> event-time column -> withWatermark -> session_window
 aggregate -> append sink.  A session is emitted once, when the watermark
 passes its end; rows behind the watermark are dropped (T6) and counted in
-the query progress (``numRowsDroppedByWatermark``).
+the query progress (``numRowsDroppedByWatermark``).  Spark applies the
+late-row rule with the watermark of the previous micro-batch (the current
+one decides eviction), so a row is dropped once it is older than that.
 
 Kafka is the production source (``kafka_source``); the jar is not on this
 image, so tests and the registered query stream the Parquet event files.
@@ -89,3 +91,28 @@ _SINK_SCHEMA = StructType([
     StructField("event_hour", TimestampType()), StructField("session_end", TimestampType()),
     StructField("ip", StringType()), StructField("host", StringType()),
     StructField("num_hits", LongType())])
+
+
+def foreach_batch_upsert(path: str, keys: list[str], partition_col: str):
+    """A ``foreachBatch`` sink that merges each micro-batch into a
+    keyed Parquet table (latest wins per key, touched partitions rewritten).
+
+    A replayed batch (after a failure) merges the same rows again and leaves
+    the table unchanged, so the sink is idempotent."""
+    from tidemark.operators.upsert import upsert_partitions
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        upsert_partitions(batch.sparkSession, path, batch, keys, partition_col)
+
+    return sink
+
+
+def run_foreach_batch(df: DataFrame, sink, checkpoint: str, available_now: bool = True,
+                      timeout_s: float | None = None):
+    q = (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+           .foreachBatch(sink).trigger(availableNow=available_now).start())
+    if available_now:
+        q.awaitTermination(timeout_s)
+    return q
