@@ -46,3 +46,10 @@ def test_rolling_window_is_split_by_day_and_computed_once(spark, sf_small):
     row_level = re.findall(r"\], \[team_id#\d+L, game_date_est#\d+\], \[game_id#\d+L ASC", p)
     assert len(row_level) == 1
     assert not re.search(r"\], \[team_id#\d+L\], \[game_id", p)
+
+
+def test_no_registered_query_plans_a_cartesian_or_nested_loop_join(spark, sf_small):
+    import __spark_entry__ as ent
+    from scripts.plan_report import audit
+    rep = audit(spark, sf_small, ent.queries())
+    assert {k: r["forbidden"] for k, r in rep.items() if r["forbidden"]} == {}

@@ -53,3 +53,11 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys:
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(path))
     return spark.read.parquet(path)
+
+
+def write_period(df: DataFrame, path: str, period_col: str) -> None:
+    """Write one (or more) period partitions of a snapshot table,
+    replacing only those periods (INSERT ... SELECT of the next snapshot,
+    re-runnable)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(period_col).parquet(path))

@@ -38,6 +38,13 @@ def parquet_source(spark: SparkSession, path: str, schema: StructType,
     return reader.parquet(path)
 
 
+def decode_json_events(raw: DataFrame, schema: StructType, value_col: str = "value") -> DataFrame:
+    """JSON records -> columns, with the event-time column parsed from its ISO
+    text (T1, F5, F20).  Works on a batch frame or a stream alike."""
+    return (raw.select(F.from_json(F.col(value_col).cast("string"), schema).alias("r")).select("r.*")
+               .withColumn("event_timestamp", F.to_timestamp("event_time", TS_PATTERN)))
+
+
 def kafka_source(spark: SparkSession, servers: str, topic: str, schema: StructType,
                  options: dict | None = None) -> DataFrame:
     """JSON records from a Kafka topic (needs the spark-sql-kafka package)."""
@@ -47,8 +54,7 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, schema: StructTy
                 .option("startingOffsets", "latest")
                 .options(**(options or {}))
                 .load())
-    return (raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
-               .withColumn("event_timestamp", F.to_timestamp("event_time", TS_PATTERN)))
+    return decode_json_events(raw, schema)
 
 
 def session_counts(stream: DataFrame, ts: str = "event_timestamp", gap: str = GAP,
