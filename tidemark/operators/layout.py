@@ -20,8 +20,14 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str)
 
     Bucketing happens once at write; later joins on ``key`` between tables
     with the same bucket count read co-located files and need no Exchange.
+    The frame is first hash-partitioned on ``key`` into ``buckets``
+    partitions (the same Murmur3 pmod as the bucket id), so each task writes
+    exactly one file of one bucket instead of one file per bucket per task.
+    The bucket count is the join's parallelism: at scale choose it from the
+    data size (~1 GB per bucket), not the 16 used on test data.
     """
-    (df.write.mode("overwrite").format("parquet")
+    (df.repartition(buckets, key)
+       .write.mode("overwrite").format("parquet")
        .option("path", path)
        .bucketBy(buckets, key).sortBy(key)
        .saveAsTable(table))
