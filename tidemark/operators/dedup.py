@@ -31,9 +31,11 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence = (),
     order = [_as_col(c) for c in order_by]
     if tie_break_all:
         named = {c if isinstance(c, str) else None for c in order_by}
+        orderable = {f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()}
         order += [F.col(c).asc_nulls_first() for c in df.columns
-                  if c not in keys and c not in named]
+                  if c not in keys and c not in named and c in orderable]
     if not order:
+        # only key columns: duplicates are identical rows
         return df.dropDuplicates(list(keys))
     w = Window.partitionBy(*keys).orderBy(*order)
     return (df.withColumn("_rn", F.row_number().over(w))

@@ -123,7 +123,8 @@ def stitch_identity(events: DataFrame, user: str, device: str, ts: str) -> DataF
     (max_by over authenticated rows: a partial aggregate, so a busy device
     is not one task).  Per day: distinct users before and after stitching."""
     links = (events.where(F.col(user).isNotNull())
-                   .groupBy(device).agg(F.max_by(F.col(user), F.col(ts)).alias("_linked")))
+                   .groupBy(device).agg(F.max_by(F.col(user), F.struct(F.col(ts), F.col(user)))
+                                        .alias("_linked")))
     j = events.join(links, device, "left")
     stitched = F.coalesce(F.col(user), F.col("_linked"))
     return (j.groupBy(F.to_date(F.col(ts)).alias("day"))

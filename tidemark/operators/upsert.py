@@ -23,9 +23,10 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str],
            order_by: Sequence = ()) -> DataFrame:
     """Latest-wins merge: one row per key, taken from ``updates`` when present.
 
-    Duplicate keys inside ``updates`` are resolved by ``order_by`` (first wins)."""
+    Duplicate keys inside ``updates`` are resolved by ``order_by`` (first wins),
+    then by the remaining columns, so a retried task picks the same row."""
     keys = list(keys)
-    upd = dedup(updates, keys, order_by) if order_by else updates.dropDuplicates(keys)
+    upd = dedup(updates, keys, order_by)
     kept = existing.join(upd.select(*keys), keys, "left_anti")
     return kept.unionByName(upd.select(*existing.columns))
 
