@@ -36,6 +36,7 @@ def _films_of_year(films: DataFrame) -> DataFrame:
     return (films.groupBy("actorid", "year")
                  .agg(F.max("actor").alias("actor"),
                       F.avg("rating").alias("mean_rating"),
+                      F.count(F.lit(1)).alias("n_year_films"),
                       F.array_sort(F.collect_list(film),
                                    lambda a, b: F.when(a.filmid < b.filmid, -1)
                                                  .when(a.filmid > b.filmid, 1).otherwise(0))
@@ -75,6 +76,11 @@ def cumulate_actors_backfill(films: DataFrame, upto: int, first: int | None = No
     Per actor: a row for each year from its first film year to ``upto``;
     films = all films up to that year (year, then filmid); class = band of
     the latest active year; is_active = has films that year.
+
+    The films array holds an actor's whole history (the table's data model),
+    so one actor's row grows with that actor's films.  Without ``films``
+    (``.drop("films")``) nothing is collected and every step is a partial
+    aggregate or a window over one actor's years.
     """
     f = films.where(F.col("year") <= upto)
     if first is not None:
@@ -88,7 +94,9 @@ def cumulate_actors_backfill(films: DataFrame, upto: int, first: int | None = No
                       ["actorid", "current_year"], "left")
     w = (Window.partitionBy("actorid").orderBy("current_year")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    active = F.col("year_films").isNotNull()
+    # activity from a count, not from the films array: when a caller drops
+    # ``films`` (the SCD path) Catalyst prunes the array collection entirely
+    active = F.col("n_year_films").isNotNull()
     # struct wrapper so that an active year with a NULL band still overrides
     band = F.when(active, F.struct(quality_class(F.col("mean_rating")).alias("q")))
     return grid.select(
