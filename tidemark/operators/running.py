@@ -27,15 +27,26 @@ def running_totals(df: DataFrame, keys: Sequence[str], bucket: str, order: Seque
                    sums: Mapping[str, Column], totals: bool = False) -> DataFrame:
     """Add ``<name>`` = running sum of each ``sums[name]`` over the rows of the
     key ordered by (bucket, *order), current row included; with ``totals``
-    also ``<name>_total`` = the key's grand total (from the bucket table).
+    also ``<name>_total`` = the key's grand total.
+
+    The input is shuffled once, by (key, bucket); both the within-bucket
+    running sum and the bucket total are windows over that shuffle.  The
+    bucket totals (one row per key and bucket) are reduced from the same
+    shuffle output and windowed per key; that small table is joined back on
+    (key, bucket), which the row side is already partitioned by.
 
     (bucket, *order) must be a total order within the key for the result to
     be deterministic."""
     keys = list(keys)
     tmp = {name: f"_v_{name}" for name in sums}
     base = df.select("*", *[expr.alias(tmp[n]) for n, expr in sums.items()])
-    per_bucket = (base.groupBy(*keys, bucket)
-                      .agg(*[F.sum(tmp[n]).alias(f"_b_{n}") for n in sums]))
+    wi = (Window.partitionBy(*keys, bucket).orderBy(*order)
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    wall_bucket = Window.partitionBy(*keys, bucket)
+    rows = base.select(*df.columns,
+                       *[F.sum(tmp[n]).over(wi).alias(f"_w_{n}") for n in sums],
+                       *[F.sum(tmp[n]).over(wall_bucket).alias(f"_b_{n}") for n in sums])
+    per_bucket = rows.groupBy(*keys, bucket).agg(*[F.max(f"_b_{n}").alias(f"_b_{n}") for n in sums])
     wb = (Window.partitionBy(*keys).orderBy(bucket)
                 .rowsBetween(Window.unboundedPreceding, -1))
     wall = Window.partitionBy(*keys)
@@ -43,41 +54,44 @@ def running_totals(df: DataFrame, keys: Sequence[str], bucket: str, order: Seque
         *keys, bucket,
         *[F.coalesce(F.sum(f"_b_{n}").over(wb), F.lit(0)).alias(f"_o_{n}") for n in sums],
         *[F.sum(f"_b_{n}").over(wall).alias(f"{n}_total") for n in (sums if totals else [])])
-    wi = (Window.partitionBy(*keys, bucket).orderBy(*order)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = base.join(offsets, [*keys, bucket], "inner")
+    joined = rows.join(offsets, [*keys, bucket], "inner")
     return joined.select(
         *df.columns,
-        *[(F.col(f"_o_{n}") + F.sum(tmp[n]).over(wi)).alias(n) for n in sums],
+        *[(F.col(f"_o_{n}") + F.col(f"_w_{n}")).alias(n) for n in sums],
         *[F.col(f"{n}_total") for n in (sums if totals else [])])
 
 
 def running_max(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
                 value: Column, name: str) -> DataFrame:
     """Add ``name`` = max of ``value`` over the key's rows up to the current one
-    (order (bucket, *order)), split by bucket like ``running_totals``.
-    NULL values are ignored; the result is NULL until a value is seen."""
+    (order (bucket, *order)), split by bucket like ``running_totals`` (one
+    shuffle of the input by (key, bucket)).  NULL values are ignored; the
+    result is NULL until a value is seen."""
     keys = list(keys)
     base = df.select("*", value.alias("_v"))
-    per_bucket = base.groupBy(*keys, bucket).agg(F.max("_v").alias("_bm"))
-    wb = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*keys, bucket, F.max("_bm").over(wb).alias("_om"))
     wi = (Window.partitionBy(*keys, bucket).orderBy(*order)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (base.join(offsets, [*keys, bucket], "inner")
-                .select(*df.columns, F.greatest(F.col("_om"), F.max("_v").over(wi)).alias(name)))
+    rows = base.select(*df.columns, F.max("_v").over(wi).alias("_w"),
+                       F.max("_v").over(Window.partitionBy(*keys, bucket)).alias("_b"))
+    per_bucket = rows.groupBy(*keys, bucket).agg(F.max("_b").alias("_b"))
+    wb = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*keys, bucket, F.max("_b").over(wb).alias("_o"))
+    return (rows.join(offsets, [*keys, bucket], "inner")
+                .select(*df.columns, F.greatest(F.col("_o"), F.col("_w")).alias(name)))
 
 
 def next_in_order(df: DataFrame, keys: Sequence[str], bucket: str, ts: str, tie: str,
                   name: str) -> DataFrame:
     """Add ``name`` = ``ts`` of the key's next row in (bucket, ts, tie) order
     (NULL for the last).  Within a bucket it is ``lead``; the last row of a
-    bucket takes the first ``ts`` of the key's next non-empty bucket."""
+    bucket takes the first ``ts`` of the key's next non-empty bucket (one
+    shuffle of the input by (key, bucket))."""
     keys = list(keys)
-    per_bucket = df.groupBy(*keys, bucket).agg(F.min(ts).alias("_first"))
+    wi = Window.partitionBy(*keys, bucket).orderBy(ts, tie)
+    rows = df.select("*", F.lead(ts).over(wi).alias("_lead"),
+                     F.min(ts).over(Window.partitionBy(*keys, bucket)).alias("_first"))
+    per_bucket = rows.groupBy(*keys, bucket).agg(F.min("_first").alias("_first"))
     wb = Window.partitionBy(*keys).orderBy(bucket)
     nxt = per_bucket.select(*keys, bucket, F.lead("_first").over(wb).alias("_next_bucket_first"))
-    wi = Window.partitionBy(*keys, bucket).orderBy(ts, tie)
-    return (df.join(nxt, [*keys, bucket], "inner")
-              .select(*df.columns,
-                      F.coalesce(F.lead(ts).over(wi), F.col("_next_bucket_first")).alias(name)))
+    return (rows.join(nxt, [*keys, bucket], "inner")
+                .select(*df.columns, F.coalesce(F.col("_lead"), F.col("_next_bucket_first")).alias(name)))
