@@ -44,13 +44,16 @@ def sessionize(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int
                 .withColumn("_b", F.date_trunc(bucket, F.col("_ts"))))
     w = Window.partitionBy(*keys, "_b").orderBy("_ts")
     prev = F.lag("_ts").over(w)
-    local = (ev.withColumn("_new", (prev.isNull() | (F.col("_ts") > prev + gap)).cast("int"))
-               .withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-               .groupBy(*keys, "_b", "_sid")
-               .agg(F.min("_ts").alias("_start"), F.max("_ts").alias("_last"),
-                    F.sum("_hit").alias("_hits"), *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums]))
-    wb = Window.partitionBy(*keys, "_b")
-    local = local.withColumn("_edge", (F.col("_sid") == 1) | (F.col("_sid") == F.max("_sid").over(wb)))
+    # run ids and the bucket's last run id come from windows over one
+    # (key, bucket) shuffle; the group-by below reuses that partitioning
+    sid = (ev.withColumn("_new", (prev.isNull() | (F.col("_ts") > prev + gap)).cast("int"))
+             .withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+             .withColumn("_nsid", F.max("_sid").over(Window.partitionBy(*keys, "_b"))))
+    local = (sid.groupBy(*keys, "_b", "_sid")
+                .agg(F.min("_ts").alias("_start"), F.max("_ts").alias("_last"),
+                     F.sum("_hit").alias("_hits"), F.max("_nsid").alias("_nsid"),
+                     *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums])
+                .withColumn("_edge", (F.col("_sid") == 1) | (F.col("_sid") == F.col("_nsid"))))
     extra = [f"_s_{n}" for n in sums]
     inner = local.where(~F.col("_edge")).select(*keys, "_start", "_last", "_hits", *extra)
     edges = local.where(F.col("_edge"))
