@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import dedup
+from tidemark.session import shared_path
 
 
 def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str],
@@ -39,18 +40,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back: the
+    result depends on those files only (lineage cut, like ``checkpoint()``),
+    and later reads are columnar scans."""
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
                       partition_col: str) -> DataFrame:
     """Merge ``updates`` into the Parquet table at ``path`` (partitioned by
     ``partition_col``); only partitions present in ``updates`` are read and
-    rewritten.  Returns the table."""
+    rewritten.  Returns the table.
+
+    The updates are staged once (computed a single time).  The touched
+    partitions are selected with a semi join on the partition column, so
+    dynamic partition pruning skips the others and no partition list passes
+    through the driver.  The merged rows are staged before the overwrite, so
+    the write no longer reads the files it replaces."""
     if not _exists(spark, path):
         (updates.write.mode("overwrite").partitionBy(partition_col).parquet(path))
         return spark.read.parquet(path)
     table = spark.read.parquet(path)
-    touched = [r[0] for r in updates.select(partition_col).distinct().collect()]
-    current = table.where(F.col(partition_col).isin(touched))
-    merged = upsert(current, updates.select(*table.columns), keys).checkpoint()
+    upd = stage(updates.select(*table.columns), "upsert_updates")
+    current = table.join(upd.select(partition_col).distinct(), partition_col, "left_semi")
+    merged = stage(upsert(current, upd, keys), "upsert_merged")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(path))
     return spark.read.parquet(path)
