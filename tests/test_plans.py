@@ -53,3 +53,29 @@ def test_no_registered_query_plans_a_cartesian_or_nested_loop_join(spark, sf_sma
     from scripts.plan_report import audit
     rep = audit(spark, sf_small, ent.queries())
     assert {k: r["forbidden"] for k, r in rep.items() if r["forbidden"]} == {}
+
+
+def test_sql_ddl_bucketed_tables_join_without_exchange(spark, sf_small):
+    import os
+    import tempfile
+    import uuid
+
+    from tidemark.operators.layout import append_by_name, create_bucketed_table
+    from tidemark.sources import fixtures as fx
+    base = tempfile.mkdtemp(prefix="tidemark-ddl-")
+    tag = uuid.uuid4().hex[:6]
+    create_bucketed_table(spark, f"m_{tag}", "match_id BIGINT, completion_date DATE, mapid BIGINT, playlist_id STRING",
+                          "match_id", 4, os.path.join(base, "m"))
+    create_bucketed_table(spark, f"d_{tag}", "match_id BIGINT, player_gamertag BIGINT, player_total_kills BIGINT",
+                          "match_id", 4, os.path.join(base, "d"))
+    append_by_name(fx.matches(spark, sf_small), f"m_{tag}")
+    append_by_name(fx.match_details(spark, sf_small), f"d_{tag}")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as the reference job does
+    try:
+        j = spark.table(f"m_{tag}").join(spark.table(f"d_{tag}"), "match_id")
+        assert j.count() == fx.match_details(spark, sf_small).count()
+        p = plan_text(j)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in p and "Exchange hashpartitioning(match_id" not in p

@@ -70,3 +70,17 @@ def layout_experiment(fact: DataFrame, variants: Sequence[tuple[str, int, Sequen
                                              F.lit(n).alias("n_partitions"), "size_bytes", "num_files")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def create_bucketed_table(spark: SparkSession, table: str, columns_ddl: str, key: str, buckets: int,
+                          path: str, partition_by: str | None = None) -> None:
+    """Typed table DDL, bucketed (and optionally partitioned), at ``path``."""
+    part = f"PARTITIONED BY ({partition_by}) " if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns_ddl}) USING parquet {part}"
+              f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+
+
+def append_by_name(df: DataFrame, table: str) -> None:
+    """Append into an existing table matching columns by name (not position, S9)."""
+    cols = df.sparkSession.table(table).columns
+    df.select(*cols).write.insertInto(table, overwrite=False)
