@@ -82,6 +82,16 @@ def run_to_parquet(df: DataFrame, out_path: str, checkpoint: str, available_now:
     return q
 
 
+def start_session_job(stream: DataFrame, out_path: str, checkpoint: str,
+                      interval: str = "10 seconds"):
+    """The long-running form (T5, T7): sessions of a live source (e.g.
+    ``kafka_source``) appended to a Parquet table, micro-batch and
+    checkpoint every ``interval``.  Restarting with the same checkpoint
+    resumes where the query stopped (exactly-once file sink)."""
+    return run_to_parquet(session_counts(stream), out_path, checkpoint, available_now=False,
+                          processing_time=interval)
+
+
 def stream_sessions(spark: SparkSession, events_path: str, to_web_events, schema: StructType,
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the session job over ``events_path`` to completion; return the sink."""
