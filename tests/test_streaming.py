@@ -70,3 +70,19 @@ def test_foreach_batch_upsert_sink_is_idempotent(spark):
     second = sorted(map(tuple, spark.read.parquet(table).select("ip", "event_hour", "num_hits").collect()))
     assert first == second
     assert len(first) == 2   # the 12:00 session is still open when the stream ends
+
+
+def test_long_running_job_emits_closed_sessions_and_resumes(spark):
+    rows = [("1.1.1.1", "h", T(2024, 1, 1, 10, 0)), ("1.1.1.1", "h", T(2024, 1, 1, 11, 0))]
+    s = _stream(spark, [rows])
+    base = tempfile.mkdtemp(prefix="tidemark-live-")
+    out, ck = os.path.join(base, "o"), os.path.join(base, "c")
+    q = st.start_session_job(s, out, ck, interval="1 second")
+    q.processAllAvailable()
+    q.stop()
+    first = spark.read.parquet(out).count()
+    # restart on the same checkpoint: nothing is re-emitted
+    q2 = st.start_session_job(s, out, ck, interval="1 second")
+    q2.processAllAvailable()
+    q2.stop()
+    assert first == 1 and spark.read.parquet(out).count() == 1
