@@ -36,19 +36,27 @@ def dedup_medals(medals: DataFrame, repairs: Mapping[str, str] = MEDAL_ID_REPAIR
 
 
 def medal_counts(medals_players: DataFrame, medals: DataFrame,
-                 repairs: Mapping[str, str] = MEDAL_ID_REPAIRS) -> DataFrame:
+                 repairs: Mapping[str, str] = MEDAL_ID_REPAIRS, prepartition: bool = True) -> DataFrame:
     """match_id, player_gamertag, medal_name, medal_count: counts summed per
-    name (so duplicate keys cannot reach ``map_from_entries``, D13)."""
+    name (so duplicate keys cannot reach ``map_from_entries``, D13).
+
+    Rows are hash-partitioned on (match, player) once; both this sum and the
+    per-(match, player) map built from it are satisfied by that partitioning,
+    so the two aggregations share one shuffle.  Pass ``prepartition=False``
+    when the input is already bucketed on match_id: that layout satisfies
+    both aggregations with no shuffle at all."""
     dm = small_side(dedup_medals(medals, repairs))
     j = medals_players.join(dm, "medal_id", "inner")
+    if prepartition:
+        j = j.repartition("match_id", "player_gamertag")
     return (j.groupBy("match_id", "player_gamertag", F.col("name").alias("medal_name"))
              .agg(F.sum("medal_count").cast("bigint").alias("medal_count")))
 
 
 def medal_map(medals_players: DataFrame, medals: DataFrame,
-              repairs: Mapping[str, str] = MEDAL_ID_REPAIRS) -> DataFrame:
+              repairs: Mapping[str, str] = MEDAL_ID_REPAIRS, prepartition: bool = True) -> DataFrame:
     """C17: per (match, player) a map medal name -> count."""
-    c = medal_counts(medals_players, medals, repairs)
+    c = medal_counts(medals_players, medals, repairs, prepartition)
     return (c.groupBy("match_id", "player_gamertag")
              .agg(F.map_from_entries(F.collect_list(F.struct("medal_name", "medal_count")))
                    .alias("medals_count_map")))

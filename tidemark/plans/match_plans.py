@@ -76,7 +76,7 @@ def j12_bucketed_match_fact(spark, sf_dir):
                               BUCKETS, f"{base}/match_details")
     p = layout.write_bucketed(fx.medals_matches_players(spark, sf_dir), f"medals_players_b{tag}",
                               "match_id", BUCKETS, f"{base}/medals_players")
-    mm = mt.medal_map(p, fx.medals(spark, sf_dir))
+    mm = mt.medal_map(p, fx.medals(spark, sf_dir), prepartition=False)
     return _flat(mt.match_fact(m, d, mm, fx.maps(spark, sf_dir)))
 
 
