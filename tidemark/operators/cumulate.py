@@ -28,19 +28,20 @@ from tidemark.functions.bits import active_in_mask, datelist_to_bits, days_activ
 FILM_STRUCT = "struct<year:int,film:string,votes:int,rating:double,filmid:string>"
 
 
-def _films_of_year(films: DataFrame) -> DataFrame:
-    """Per (actorid, year): name, mean rating and the year's films sorted by filmid."""
+def _films_of_year(films: DataFrame, with_films: bool = True) -> DataFrame:
+    """Per (actorid, year): name, mean rating, film count and (optionally) the
+    year's films sorted by filmid."""
     film = F.struct(F.col("year").cast("int").alias("year"), "film",
                     F.col("votes").cast("int").alias("votes"),
                     F.col("rating").cast("double").alias("rating"), "filmid")
-    return (films.groupBy("actorid", "year")
-                 .agg(F.max("actor").alias("actor"),
-                      F.avg("rating").alias("mean_rating"),
-                      F.count(F.lit(1)).alias("n_year_films"),
-                      F.array_sort(F.collect_list(film),
-                                   lambda a, b: F.when(a.filmid < b.filmid, -1)
-                                                 .when(a.filmid > b.filmid, 1).otherwise(0))
-                       .alias("year_films")))
+    aggs = [F.max("actor").alias("actor"), F.avg("rating").alias("mean_rating"),
+            F.count(F.lit(1)).alias("n_year_films")]
+    if with_films:
+        aggs.append(F.array_sort(F.collect_list(film),
+                                 lambda a, b: F.when(a.filmid < b.filmid, -1)
+                                               .when(a.filmid > b.filmid, 1).otherwise(0))
+                     .alias("year_films"))
+    return films.groupBy("actorid", "year").agg(*aggs)
 
 
 # ---------------------------------------------------------------- C3 actors
@@ -70,38 +71,43 @@ def cumulate_actors_step(prev: DataFrame | None, films: DataFrame, year: int) ->
     ).select(*out_cols)
 
 
-def cumulate_actors_backfill(films: DataFrame, upto: int, first: int | None = None) -> DataFrame:
+def cumulate_actors_backfill(films: DataFrame, upto: int, first: int | None = None,
+                             with_films: bool = True) -> DataFrame:
     """Every yearly snapshot up to ``upto`` in one pass.
 
     Per actor: a row for each year from its first film year to ``upto``;
     films = all films up to that year (year, then filmid); class = band of
     the latest active year; is_active = has films that year.
 
+    Two shuffles: the per-(actor, year) partial aggregate, then one per actor
+    that gathers the actor's year summaries (one entry per year, so bounded
+    by the calendar) into a map.  The year grid is exploded from that map and
+    the windows run on the same actor partitioning, with no join back.
+
     The films array holds an actor's whole history (the table's data model),
-    so one actor's row grows with that actor's films.  Without ``films``
-    (``.drop("films")``) nothing is collected and every step is a partial
-    aggregate or a window over one actor's years.
+    so one actor's row grows with that actor's films; ``with_films=False``
+    (the SCD path) collects no films at all.
     """
     f = films.where(F.col("year") <= upto)
     if first is not None:
         f = f.where(F.col("year") >= first)
-    yearly = _films_of_year(f)
-    spans = (yearly.groupBy("actorid")
-                   .agg(F.min("year").alias("first_year"), F.max("actor").alias("actor"))
-                   .select("actorid", "actor",
-                           F.explode(F.sequence(F.col("first_year"), F.lit(upto))).alias("current_year")))
-    grid = spans.join(yearly.drop("actor").withColumnRenamed("year", "current_year"),
-                      ["actorid", "current_year"], "left")
+    yearly = _films_of_year(f, with_films)
+    summary = F.struct("mean_rating", "n_year_films", *(["year_films"] if with_films else []))
+    per_actor = (yearly.groupBy("actorid")
+                       .agg(F.max("actor").alias("actor"), F.min("year").alias("first_year"),
+                            F.map_from_entries(F.collect_list(F.struct("year", summary))).alias("_by_year")))
+    grid = (per_actor.select("actorid", "actor", "_by_year",
+                             F.explode(F.sequence(F.col("first_year"), F.lit(upto))).alias("current_year"))
+                     .select("actorid", "actor", "current_year",
+                             F.try_element_at(F.col("_by_year"), F.col("current_year")).alias("_y")))
     w = (Window.partitionBy("actorid").orderBy("current_year")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # activity from a count, not from the films array: when a caller drops
-    # ``films`` (the SCD path) Catalyst prunes the array collection entirely
-    active = F.col("n_year_films").isNotNull()
+    active = F.col("_y.n_year_films").isNotNull()
     # struct wrapper so that an active year with a NULL band still overrides
-    band = F.when(active, F.struct(quality_class(F.col("mean_rating")).alias("q")))
+    band = F.when(active, F.struct(quality_class(F.col("_y.mean_rating")).alias("q")))
+    films_col = [F.flatten(F.collect_list(F.col("_y.year_films")).over(w)).alias("films")] if with_films else []
     return grid.select(
-        "actor", "actorid",
-        F.flatten(F.collect_list(F.col("year_films")).over(w)).alias("films"),
+        "actor", "actorid", *films_col,
         F.last(band, ignorenulls=True).over(w)["q"].alias("quality_class"),
         active.alias("is_active"),
         F.col("current_year").cast("int").alias("current_year"),

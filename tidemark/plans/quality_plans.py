@@ -76,7 +76,7 @@ def q06_reprocess_days(spark, sf_dir):
 
 
 def q08_join_as_of_scd(spark, sf_dir):
-    snap = sp.actor_snapshots(spark, sf_dir).drop("films")
+    snap = sp.actor_snapshots(spark, sf_dir, with_films=False)
     s = scd.scd2_backfill(snap, "actorid", sp.SCD_ATTRS, "current_year", sp.LAST_YEAR, carry=["actor"])
     films = fx.actor_films(spark, sf_dir).select("filmid", "actorid", "year")
     j = scd.join_as_of_scd(films, s, "actorid", "year")

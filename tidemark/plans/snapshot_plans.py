@@ -22,8 +22,8 @@ EVENTS_AS_OF = "2024-01-30"
 SCD_ATTRS = ["quality_class", "is_active"]
 
 
-def actor_snapshots(spark, sf_dir, upto=LAST_YEAR):
-    return cu.cumulate_actors_backfill(fx.actor_films(spark, sf_dir), upto)
+def actor_snapshots(spark, sf_dir, upto=LAST_YEAR, with_films=True):
+    return cu.cumulate_actors_backfill(fx.actor_films(spark, sf_dir), upto, with_films=with_films)
 
 
 def c03_cumulate_actors(spark, sf_dir):
@@ -34,12 +34,12 @@ def c03_cumulate_actors(spark, sf_dir):
 
 
 def c04_scd2_backfill(spark, sf_dir):
-    snap = actor_snapshots(spark, sf_dir).drop("films")
+    snap = actor_snapshots(spark, sf_dir, with_films=False)
     return scd.scd2_backfill(snap, "actorid", SCD_ATTRS, "current_year", LAST_YEAR, carry=["actor"])
 
 
 def c05_scd2_increment(spark, sf_dir):
-    snap = actor_snapshots(spark, sf_dir).drop("films")
+    snap = actor_snapshots(spark, sf_dir, with_films=False)
     prev = scd.scd2_backfill(snap, "actorid", SCD_ATTRS, "current_year", LAST_YEAR - 1, carry=["actor"])
     return scd.scd2_increment(prev, snap, "actorid", SCD_ATTRS, "current_year", LAST_YEAR, carry=["actor"])
 
