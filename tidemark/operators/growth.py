@@ -55,13 +55,23 @@ def growth_step(prev: DataFrame | None, current: DataFrame, key: str, season: in
 
 def growth_backfill(current: DataFrame, key: str, upto: int,
                     period: str = "current_season", active: str = "is_active") -> DataFrame:
-    rows = current.where(F.col(period) <= upto).select(key, period, active)
-    first = (rows.where(F.col(active))
-                 .groupBy(key).agg(F.min(period).alias("first_active_season")))
-    grid = first.select(key, "first_active_season",
+    """Every season up to ``upto`` in one pass.
+
+    Two shuffles: (key, season) to fold duplicate input rows, then per key to
+    gather its season -> active map (one entry per season, bounded by the
+    calendar).  The season grid from the first active season is exploded
+    from that map, so missing seasons count as inactive (D31), and the
+    windows run on the same key partitioning."""
+    per_season = (current.where(F.col(period) <= upto)
+                         .groupBy(key, period).agg(F.max(F.col(active)).alias("_a")))
+    per_key = (per_season.groupBy(key)
+                         .agg(F.min(F.when(F.col("_a"), F.col(period))).alias("first_active_season"),
+                              F.map_from_entries(F.collect_list(F.struct(period, "_a"))).alias("_m"))
+                         .where(F.col("first_active_season").isNotNull()))
+    g = (per_key.select(key, "first_active_season", "_m",
                         F.explode(F.sequence(F.col("first_active_season"), F.lit(upto))).alias(period))
-    g = (grid.join(rows, [key, period], "left")
-             .withColumn("_act", F.coalesce(F.col(active), F.lit(False))))
+                .select(key, "first_active_season", period,
+                        F.coalesce(F.try_element_at(F.col("_m"), F.col(period)), F.lit(False)).alias("_act")))
     w = Window.partitionBy(key).orderBy(period)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     act_season = F.when(F.col("_act"), F.col(period))
