@@ -23,10 +23,9 @@ def c01_dedup_lineitem(spark, sf_dir):
 
 def c01_dedup_game_details(spark, sf_dir):
     """Latest game per (game, team, player), as in the reference's dedup,
-    with the remaining columns as tie-break (D9)."""
-    gd = fx.game_details(spark, sf_dir)
-    g = fx.games(spark, sf_dir).select("game_id", "game_date_est")
-    joined = gd.join(g, "game_id", "inner")
+    with the remaining columns as tie-break (D9).  The game date comes with
+    the details (their derivation already joins games)."""
+    joined = fx.game_details(spark, sf_dir, with_game_date=True)
     return dedup(joined, ["game_id", "team_id", "player_id"],
                  [F.desc("game_date_est")])
 

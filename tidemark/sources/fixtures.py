@@ -84,10 +84,12 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.unionByName(n.where(F.col("team_id") < 5))
 
 
-def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def game_details(spark: SparkSession, sf_dir: str, with_game_date: bool = False) -> DataFrame:
+    """game_details; with ``with_game_date`` also the game's date, taken from the
+    same join with games that derives the teams (no second join with games)."""
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber",
                                                 "l_linestatus", "l_quantity")
-    g = games(spark, sf_dir).select("game_id", "home_team_id", "visitor_team_id")
+    g = games(spark, sf_dir).select("game_id", "home_team_id", "visitor_team_id", "game_date_est")
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     j = (li.join(g, li.l_orderkey == g.game_id, "inner")
            .join(s, li.l_suppkey == s.s_suppkey, "inner"))
@@ -100,6 +102,7 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("start_position"),
         F.when(F.col("l_quantity") > 45, F.lit(None).cast("int"))
          .otherwise((F.col("l_quantity") % 25).cast("int")).alias("pts"),
+        *([F.col("game_date_est")] if with_game_date else []),
     )
 
 
