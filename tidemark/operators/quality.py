@@ -244,3 +244,19 @@ def period_complete(df: DataFrame, day: Column) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("days_seen"))
              .withColumn("days_expected", F.dayofmonth(F.last_day("month_start")).cast("bigint"))
              .withColumn("is_complete", F.col("days_seen") == F.col("days_expected")))
+
+
+# ---------------------------------------------------------------- Q18
+
+def orphan_keys(a: DataFrame, a_key: str, b: DataFrame, b_key: str, a_label: str, b_label: str) -> DataFrame:
+    """Q18: keys of ``a`` missing from ``b`` and keys of ``b`` missing from ``a``.
+
+    Both distinct key sets come out hash-partitioned on the key, so the full
+    outer join between them adds no shuffle; one pass counts both sides."""
+    ka = a.select(F.col(a_key).alias("_k")).distinct().withColumn("_in_a", F.lit(True))
+    kb = b.select(F.col(b_key).alias("_k")).distinct().withColumn("_in_b", F.lit(True))
+    j = ka.join(kb, "_k", "full_outer")
+    counts = j.agg(F.count_if(F.col("_in_b").isNull()).alias("_a"), F.count_if(F.col("_in_a").isNull()).alias("_b"))
+    return counts.select(F.inline(F.array(
+        F.struct(F.lit(a_label).alias("check"), F.col("_a").alias("orphan_keys")),
+        F.struct(F.lit(b_label).alias("check"), F.col("_b").alias("orphan_keys")))))

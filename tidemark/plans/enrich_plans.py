@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.arrays import join_text
 from tidemark.operators import cumulate as cu
 from tidemark.operators import enrich as en
+from tidemark.operators.quality import orphan_keys
 from tidemark.operators.upsert import upsert, upsert_partitions
 from tidemark.plans import snapshot_plans as sp
 from tidemark.plans.oracle_views import with_views
@@ -105,16 +106,10 @@ def q18_orphan_keys(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem").select("l_orderkey")
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = load(spark, sf_dir, "customer").select("c_custkey")
-
-    def orphans(a, a_key, b, b_key, label):
-        keys = a.select(F.col(a_key).alias("k")).distinct()
-        miss = keys.join(b.select(F.col(b_key).alias("k")), "k", "left_anti")
-        return miss.agg(F.count(F.lit(1)).alias("orphan_keys")).select(F.lit(label).alias("check"), "orphan_keys")
-
-    return (orphans(li, "l_orderkey", o, "o_orderkey", "lineitem.l_orderkey -> orders")
-            .unionByName(orphans(o, "o_orderkey", li, "l_orderkey", "orders without lineitem"))
-            .unionByName(orphans(o, "o_custkey", c, "c_custkey", "orders.o_custkey -> customer"))
-            .unionByName(orphans(c, "c_custkey", o, "o_custkey", "customer without orders")))
+    return (orphan_keys(li, "l_orderkey", o, "o_orderkey",
+                        "lineitem.l_orderkey -> orders", "orders without lineitem")
+            .unionByName(orphan_keys(o, "o_custkey", c, "c_custkey",
+                                     "orders.o_custkey -> customer", "customer without orders")))
 
 
 QUERIES = {
