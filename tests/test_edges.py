@@ -192,3 +192,14 @@ def test_player_without_medals_is_kept_and_duplicate_medals_summed(spark):
     f = {r.player_gamertag: r.medals_count_map for r in
          match_fact(matches, details, medal_map(mmp, medals), maps).collect()}
     assert f == {10: {"Spree": 3}, 11: None}
+
+
+def test_bit_or_of_day_bits_equals_array_bits_and_is_idempotent(spark):
+    from tidemark.functions.bits import datelist_to_bits, day_bit
+    rows = [(1, D(2024, 1, 30)), (1, D(2024, 1, 24)), (1, D(2024, 1, 24)), (1, D(2023, 12, 1)), (2, D(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "u long, d date")
+    as_of = F.lit("2024-01-30").cast("date")
+    agg = {r.u: r.b for r in df.groupBy("u").agg(F.bit_or(day_bit(F.col("d"), as_of)).alias("b")).collect()}
+    arr = {r.u: r.b for r in df.groupBy("u").agg(F.collect_list("d").alias("ds"))
+           .select("u", datelist_to_bits(F.col("ds"), as_of).alias("b")).collect()}
+    assert agg == arr == {1: (1 << 31) | (1 << 25), 2: 1 << 2}

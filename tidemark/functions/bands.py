@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 # star: > 8; good: > 7 and <= 8; average: > 6 and <= 7; bad: <= 6.
 QUALITY_BANDS = (("star", 8.0), ("good", 7.0), ("average", 6.0))
 QUALITY_FLOOR = "bad"
-QUALITY_VALUES = ("star", "good", "average", "bad")
 
 
 def quality_class(mean_rating: Column) -> Column:

@@ -13,9 +13,10 @@ so no nested-loop join and no per-key hot window is planned:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.ip import ipv4_to_long
 from tidemark.functions.sizing import small_side
 
 
@@ -60,18 +61,6 @@ def convert_fx(facts: DataFrame, rates: DataFrame, amount: str, key: str = "ccy"
 
 # ---------------------------------------------------------------- J15
 
-def ipv4_to_long(ip: Column) -> Column:
-    """'a.b.c.d' -> a*2^24 + b*2^16 + c*2^8 + d (NULL for malformed text)."""
-    parts = F.split(ip, r"\.")
-    octet = lambda i: F.try_element_at(parts, F.lit(i)).try_cast("bigint")
-    value = octet(1) * 16777216 + octet(2) * 65536 + octet(3) * 256 + octet(4)
-    return F.when(F.size(parts) == 4, value)
-
-
-def long_to_ipv4(n: Column) -> Column:
-    return F.concat_ws(".", *[(F.floor(n / (256 ** k)) % 256).cast("string") for k in (3, 2, 1, 0)])
-
-
 def ip_range_join(facts: DataFrame, ip_col: str, ranges: DataFrame, start: str = "ip_start",
                   end: str = "ip_end", prefix_bits: int = 16, max_range_rows: int = 5_000_000) -> DataFrame:
     """Left-join each fact to the range holding its IP (ranges must not overlap).

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_path
+from tidemark.sources.tables import read_table
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
@@ -31,7 +32,7 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str)
        .option("path", path)
        .bucketBy(buckets, key).sortBy(key)
        .saveAsTable(table))
-    return df.sparkSession.table(table)
+    return read_table(df.sparkSession, table)
 
 
 def write_sorted(df: DataFrame, path: str, n_files: int, cols: Sequence[str]) -> None:

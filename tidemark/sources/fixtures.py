@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.ip import long_to_ipv4
 from tidemark.sources.tables import load
 
 
@@ -194,5 +195,4 @@ def client_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events").select("event_id", "user_id")
     num = F.lit(IP_BASE).cast("bigint") + (F.col("event_id") * 7919 +
                                            F.coalesce(F.col("user_id"), F.lit(0)) * 104729) % 16777216
-    octets = [(F.floor(num / (256 ** k)) % 256).cast("string") for k in (3, 2, 1, 0)]
-    return e.select("event_id", F.concat_ws(".", *octets).alias("ip"))
+    return e.select("event_id", long_to_ipv4(num).alias("ip"))
