@@ -1,4 +1,4 @@
-"""Data-quality checks and pipeline upkeep (Q1-Q6, Q10-Q23).
+"""Data-quality checks and table upkeep (Q1-Q6, Q10-Q23).
 
 The reference describes these in prose only; formulas are our own and are
 stated per function.  Each check is one or two aggregate passes; results

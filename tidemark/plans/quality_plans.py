@@ -1,4 +1,4 @@
-"""Queries for data-quality checks and pipeline upkeep: Q1-Q6, Q8, Q10-Q17, Q19-Q23."""
+"""Queries for data-quality checks and table upkeep: Q1-Q6, Q8, Q10-Q17, Q19-Q23."""
 
 from __future__ import annotations
 
