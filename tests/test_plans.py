@@ -79,3 +79,18 @@ def test_sql_ddl_bucketed_tables_join_without_exchange(spark, sf_small):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in p and "Exchange hashpartitioning(match_id" not in p
+
+
+def test_broadcast_only_behind_the_size_check(spark):
+    from tidemark.functions.sizing import small_side
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    dim = spark.range(50).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = plan_text(big.join(small_side(dim, max_rows=100), "k"))
+        refused = plan_text(big.join(small_side(dim, max_rows=10), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in hinted
+    assert "BroadcastHashJoin" not in refused and "SortMergeJoin" in refused
