@@ -94,3 +94,14 @@ def test_broadcast_only_behind_the_size_check(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in hinted
     assert "BroadcastHashJoin" not in refused and "SortMergeJoin" in refused
+
+
+def test_sessionize_shuffles_events_by_key_and_hour(spark, sf_small):
+    import re
+    from tidemark.plans import session_plans
+    p = plan_text(session_plans.c15_sessionize(spark, sf_small))
+    parts = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", p)
+    by_hour = [x for x in parts if "_b#" in x]
+    per_key = [x for x in parts if "_b#" not in x]
+    # raw events go through the (ip, host, hour) shuffle; the per-key one is the edge-session stitch
+    assert by_hour and len(per_key) == 1
