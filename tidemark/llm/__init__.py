@@ -13,6 +13,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MODULES = (
     "quality_fm",
+    "line_winnow",
+    "simhash_grid",
+    "decontaminate",
+    "pattern_packing",
 )
 
 
