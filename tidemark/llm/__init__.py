@@ -16,6 +16,7 @@ MODULES = (
     "line_winnow",
     "simhash_grid",
     "decontaminate",
+    "substring_dedup",
     "pattern_packing",
 )
 
