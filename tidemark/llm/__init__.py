@@ -17,6 +17,7 @@ MODULES = (
     "simhash_grid",
     "decontaminate",
     "substring_dedup",
+    "runlength_index",
     "pattern_packing",
 )
 
