@@ -18,6 +18,8 @@ MODULES = (
     "decontaminate",
     "substring_dedup",
     "runlength_index",
+    "spot_signatures",
+    "url_templates",
     "pattern_packing",
 )
 
