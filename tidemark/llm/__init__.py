@@ -20,6 +20,7 @@ MODULES = (
     "runlength_index",
     "spot_signatures",
     "url_templates",
+    "page_template",
     "pattern_packing",
 )
 
