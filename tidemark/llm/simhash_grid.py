@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import components, row_key, staged
+from tidemark.llm.staging import components, packed_rows, row_key, staged
 from tidemark.llm.textbytes import SPACE, fill_text, pieces, words_of
 
 SHINGLE = 4
@@ -183,25 +183,48 @@ def link_sorted(cell: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.nda
     return np.concatenate(a), np.concatenate(b)
 
 
-def _link_batches(max_bits: int, columns: int):
-    """Streams rows sorted by their group (the first columns); the last, unfinished group is carried over."""
+class Forest:
+    """Linked fingerprints of one task: each points towards the smallest of its group."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        path = []
+        while (y := self.up.get(x, x)) != x:
+            path.append(x)
+            x = y
+        for y in path:
+            self.up[y] = x
+        return x
+
+    def link(self, a: list[int], b: list[int]) -> None:
+        for x, y in zip(a, b):
+            x, y = self.root(x), self.root(y)
+            self.up[max(x, y)] = self.up[min(x, y)] = min(x, y)
+
+
+def _link_batches(max_bits: int):
+    """Streams rows sorted by cell; the last, unfinished cell is carried over.  A task's
+    links come out as one edge from each linked fingerprint to its group's smallest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held_fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        held_key, held_fp, forest = np.zeros(0, np.int64), np.zeros(0, np.uint64), Forest()
 
-        def links(key, fp):
+        def link(key, fp):
             i, j = link_sorted(key, fp, max_bits)
-            return pa.record_batch([pa.array(fp[i].view(np.int64)), pa.array(fp[j].view(np.int64))], names=["a", "b"])
+            forest.link(fp[i].view(np.int64).tolist(), fp[j].view(np.int64).tolist())
 
         for b in batches:
-            key = b.column("cell").to_numpy()
-            fp = b.column("fp").to_numpy().view(np.uint64)
-            key, fp = np.concatenate([held_key, key]), np.concatenate([held_fp, fp])
+            key = np.concatenate([held_key, b.column("cell").to_numpy()])
+            fp = np.concatenate([held_fp, b.column("fp").to_numpy().view(np.uint64)])
             cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
             if cut:
-                yield links(key[:cut], fp[:cut])
+                link(key[:cut], fp[:cut])
             held_key, held_fp = key[cut:], fp[cut:]
         if len(held_key):
-            yield links(held_key, held_fp)
+            link(held_key, held_fp)
+        nodes = [x for x in forest.up if forest.root(x) != x]
+        yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array([forest.root(x) for x in nodes], pa.int64())], names=["a", "b"])
     return run
 
 
@@ -225,9 +248,9 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, groups: int = GROUPS, bloc
     out = None
     for part in (plain, extra):
         if part is not None:
-            got = part.repartition("cell").sortWithinPartitions("cell").mapInArrow(_link_batches(max_bits, 1), "a long, b long")
+            got = part.repartition("cell").sortWithinPartitions("cell").mapInArrow(_link_batches(max_bits), "a long, b long")
             out = got if out is None else out.union(got)
-    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return out
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -248,9 +271,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     groups = staged(spark, near_groups(docs, shingle, max_bits), "simhash-groups")
     rank = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("rk").alias("rk"))
     best = groups.groupBy("root").agg(F.min(rank).alias("best"), F.count("*").alias("n")).select(F.col("best.rk").alias("_k"))
-    kept = docs.withColumn("_k", row_key("doc_id", "text")).join(best.distinct().hint("shuffle_hash"), "_k")
+    kept = packed_rows(docs).join(best.distinct().hint("shuffle_hash"), "_k")
     repeats = groups.groupBy("rk").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    return (kept.dropDuplicates(["_k"]) if repeats else kept).select(*docs.columns)
+    return (kept.dropDuplicates(["_k"]) if repeats else kept).select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,11 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*columns)
 
 
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """_row (all columns as a struct, so none can clash), _k (row identity), _d (doc_id)."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), row_key("doc_id", "text").alias("_k"), F.col("doc_id").alias("_d"))
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the undirected ``edges`` (a, b: long): root
     is the component's smallest node.
@@ -41,16 +46,13 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            now.where("a = b")).distinct()
-        small_min = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(small_min, "a")
-        small = (joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-                 .union(joined.select("a", F.col("m").alias("b"))).distinct())
-        now = staged(spark, small, "edges")
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(now.where("a = b"))
+        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        moved = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        now = staged(spark, moved.union(lowest.select("a", F.col("m").alias("b"))), "edges")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break
         seen = state
-    return now.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root")).union(
-        now.select(F.col("b").alias("node"), F.col("b").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
+    # every edge now joins a node to its root
+    return now.union(now.select(F.col("b").alias("a"), "b")).select(F.col("a").alias("node"), F.col("b").alias("root")).distinct()
