@@ -24,14 +24,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import row_key, staged
+from tidemark.llm.staging import packed_rows, row_key, staged
 
 NGRAM = 10
 #: Distinct window hashes (two 8-byte columns) that may be broadcast.
 MAX_BROADCAST = 1_000_000
 
-#: Fixed value: what separates words, in lower-cased text and in text with capitals.
+#: What separates words in lower-cased text; words, and what separates them, in text with capitals.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORDS_CASED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SEPARATORS_CASED = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -97,24 +98,23 @@ def report(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM) -> DataFra
 
 def drop(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM) -> DataFrame:
     """The documents without any hit, all columns kept."""
-    bad = hits(docs, benchmark, ngram).where("spans IS NOT NULL").select("_k", "_d").distinct()
-    left = docs.withColumn("_k", row_key("doc_id", "text")).alias("x")
-    bad = bad.alias("y")
-    return left.join(bad, (F.col("x._k") == F.col("y._k")) & F.col("x.doc_id").eqNullSafe(F.col("y._d")), "left_anti").select(*docs.columns)
+    bad = hits(docs, benchmark, ngram).where("spans IS NOT NULL").select(F.col("_k").alias("_k2"), F.col("_d").alias("_d2")).distinct()
+    same = (F.col("_k") == F.col("_k2")) & F.col("_d").eqNullSafe(F.col("_d2"))
+    return packed_rows(docs).join(bad.hint("shuffle_hash"), same, "left_anti").select("_row.*")
 
 
 def cut(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM) -> DataFrame:
     """The documents with the hit words (and what separates each from the next word) cut out of the text."""
-    found = hits(docs, benchmark, ngram).where("spans IS NOT NULL").select("_k", "_d", _hit_words().alias("_hit")).distinct().alias("y")
-    left = docs.withColumn("_k", row_key("doc_id", "text")).alias("x")
-    out = left.join(found, (F.col("x._k") == F.col("y._k")) & F.col("x.doc_id").eqNullSafe(F.col("y._d")), "left")
-    own = F.array_remove(F.split("x.text", SEPARATORS_CASED), "")
-    between = F.split("x.text", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-    out = out.select("x.*", F.col("_hit"), own.alias("_ws"), between.alias("_sep"))
+    found = hits(docs, benchmark, ngram).where("spans IS NOT NULL").select(F.col("_k").alias("_k2"), F.col("_d").alias("_d2"), _hit_words().alias("_hit")).distinct()
+    same = (F.col("_k") == F.col("_k2")) & F.col("_d").eqNullSafe(F.col("_d2"))
+    own = F.array_remove(F.split("_row.text", SEPARATORS_CASED), "")
+    between = F.split("_row.text", WORDS_CASED)
+    out = packed_rows(docs).join(found.hint("shuffle_hash"), same, "left").select("_row", "_hit", own.alias("_ws"), between.alias("_sep"))
     keep = F.expr("array_except(sequence(0, size(_ws) - 1), _hit)")
     text = F.concat(F.col("_sep")[0], F.array_join(F.transform(keep, lambda i: F.concat(F.col("_ws")[i], F.col("_sep")[i + 1])), ""))
-    text = F.when(F.col("_hit").isNull(), F.col("text")).otherwise(text)
-    return out.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    out = out.select("_row", F.when(F.col("_hit").isNull(), F.col("_row.text")).otherwise(text).alias("_text"))
+    fresh = {"text": F.col("_text"), "n_chars": F.length("_text").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return out.select(*[fresh.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

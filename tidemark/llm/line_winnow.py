@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import row_key, staged
+from tidemark.llm.staging import packed_rows, row_key, staged
 
 RUN_LINES = 2
 LONG_WORDS = 50
@@ -84,18 +84,17 @@ def repeated_lines(docs: DataFrame, run_lines: int = RUN_LINES, long_words: int
 def dedup_lines(docs: DataFrame, run_lines: int = RUN_LINES, long_words: int = LONG_WORDS, report: bool = False) -> DataFrame:
     """``docs`` with later repeated runs deleted from ``text``; ``report`` adds n_lines and n_removed."""
     gone = staged(docs.sparkSession, repeated_lines(docs, run_lines, long_words), "line-gone")
-    left = docs.select("*", row_key("doc_id", "text").alias("_k"))
-    same = (left["_k"] == gone["_k"]) & left["doc_id"].eqNullSafe(gone["_d"])
-    out = left.join(gone.hint("shuffle_hash"), same, "left")
-    lines = F.split(left["text"], "\n")
+    gone = gone.select(F.col("_k").alias("_k2"), F.col("_d").alias("_d2"), "gone")
+    left = packed_rows(docs).join(gone.hint("shuffle_hash"), (F.col("_k") == F.col("_k2")) & F.col("_d").eqNullSafe(F.col("_d2")), "left")
+    out = left.select("_row", "gone", F.split("_row.text", "\n").alias("_lines"))
     kept = F.expr("array_except(sequence(0, size(_lines) - 1), gone)")
-    out = out.select(*[left[c] for c in docs.columns], gone["gone"], F.when(F.col("gone").isNotNull(), lines).alias("_lines"),
-                     F.when(left["text"].isNull(), 0).otherwise(F.size(lines)).cast("long").alias("_n"))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.col("_lines")[i]), "\n"))
+    text = F.when(F.col("gone").isNull(), F.col("_row.text")).otherwise(F.array_join(F.transform(kept, lambda i: F.col("_lines")[i]), "\n"))
+    lines = F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).cast("long")
     removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long")
-    out = out.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                     *([F.col("_n").alias("n_lines"), removed.alias("n_removed")] if report else []))
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    out = out.select("_row", text.alias("_text"), lines.alias("_n"), removed.alias("_m"))
+    fresh = {"text": F.col("_text"), "n_chars": F.length("_text").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return out.select(*[fresh.get(c, F.col("_row")[c]).alias(c) for c in docs.columns],
+                      *([F.col("_n").alias("n_lines"), F.col("_m").alias("n_removed")] if report else []))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,20 +103,18 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = f"""
-WITH d AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, text, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d WHERE text IS NOT NULL),
-s AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text ORDER BY i) AS p FROM
-      (SELECT doc_id, text, i, trim(line, ' ') AS t FROM l) WHERE t <> ''),
-two AS (SELECT doc_id, text, p, i, t AS a, lead(t) OVER w AS b, lead(i) OVER w AS i2 FROM s WINDOW w AS (PARTITION BY doc_id, text ORDER BY p)),
-w AS (SELECT doc_id, text, i, [i, i2] AS rows, a || chr(10) || b AS k FROM two WHERE b IS NOT NULL
-      UNION ALL SELECT doc_id, text, i, [i], a FROM two WHERE length(a) - length(replace(a, ' ', '')) >= {LONG_WORDS - 1}),
-r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, text, i) AS nth FROM w),
-g AS (SELECT DISTINCT doc_id, text, unnest(rows) AS i FROM r WHERE nth > 1)
-SELECT x.doc_id, coalesce(len(x.ls), 0) AS n_lines,
-       (SELECT count(*) FROM g WHERE g.doc_id = x.doc_id AND g.text = x.text) AS n_removed,
-       CASE WHEN x.text IS NULL THEN NULL ELSE coalesce((SELECT string_agg(l.line, chr(10) ORDER BY l.i) FROM l LEFT JOIN g USING (doc_id, text, i)
-         WHERE l.doc_id = x.doc_id AND l.text = x.text AND g.i IS NULL), '') END AS text
-FROM (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents) x
+WITH x AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls, dense_rank() OVER (ORDER BY doc_id NULLS FIRST, text) AS k FROM documents),
+l AS (SELECT k, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM (SELECT DISTINCT k, ls FROM x WHERE text IS NOT NULL)),
+s AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY i) AS p FROM (SELECT k, i, trim(line, ' ') AS t FROM l) WHERE t <> ''),
+two AS (SELECT k, i, t AS a, lead(t) OVER w AS b, lead(i) OVER w AS i2 FROM s WINDOW w AS (PARTITION BY k ORDER BY p)),
+w AS (SELECT k, i, [i, i2] AS rows, a || chr(10) || b AS g FROM two WHERE b IS NOT NULL
+      UNION ALL SELECT k, i, [i], a FROM two WHERE length(a) - length(replace(a, ' ', '')) >= {LONG_WORDS - 1}),
+r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY k, i) AS nth FROM w),
+g AS (SELECT DISTINCT k, unnest(rows) AS i FROM r WHERE nth > 1),
+n AS (SELECT k, count(*) AS m FROM g GROUP BY k),
+t AS (SELECT k, string_agg(line, chr(10) ORDER BY i) AS kept FROM l ANTI JOIN g USING (k, i) GROUP BY k)
+SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(m, 0) AS n_removed, CASE WHEN text IS NOT NULL THEN coalesce(kept, '') END AS text
+FROM x LEFT JOIN n USING (k) LEFT JOIN t USING (k)
 """
 
 QUERIES = {"op6_line_winnow": query}
