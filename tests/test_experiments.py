@@ -18,7 +18,7 @@ def test_cells_are_md5_prefix_mod_2(spark):
     users = spark.createDataFrame([(u,) for u in range(50)], "user_id long")
     got = {r.user_id: r.cell for r in ex.assign_cells(users, "user_id", "salt").collect()}
     for u, c in got.items():
-        assert c == int(hashlib.md5(f"salt{u}".encode()).hexdigest()[:8], 16) % 2
+        assert c == int(hashlib.md5(f"salt|{u}".encode()).hexdigest()[:8], 16) % 2
     assert 10 < sum(got.values()) < 40
 
 
@@ -54,7 +54,9 @@ def test_resurrection_and_post_return_activity(spark):
                                  (1, D(2024, 1, 15)), (1, D(2024, 1, 30)), (2, D(2024, 1, 1))],
                                 "user_id long, day date")
     r = ex.resurrection_rate(act.distinct(), 7, 7).collect()[0]
-    assert (r.lapses, r.returned) == (2, 1)                        # gaps 11 (returned) and 15 (not)
+    assert (r.lapses, r.returned) == (3, 1)                        # gaps 11 (returned) and 15 (not), user 2 never came back
+    none = ex.resurrection_rate(act.where("user_id = 9"), 7, 7).collect()[0]
+    assert (none.lapses, none.resurrection_rate) == (0, None)
     got = sorted((x.return_day, x.gap, x.events_next_days) for x in ex.post_return_activity(act, 7, 7).collect())
     assert got == [(D(2024, 1, 12), 11, 3), (D(2024, 1, 30), 15, 1)]
 
@@ -85,3 +87,15 @@ def test_revisit_across_day_boundary(spark):
                                "user_id long, item long, ts timestamp_ntz, id long")
     got = {r.day: (r.visits, r.revisits) for r in ex.revisit_rate(ev, "user_id", "item", "ts", "id", 7).collect()}
     assert got == {D(2024, 1, 1): (2, 1), D(2024, 1, 8): (1, 0), D(2024, 1, 20): (1, 0)}
+
+
+def test_ratios_without_a_base_are_null(spark):
+    flat = spark.createDataFrame([(0, 1), (0, 1), (1, 1), (1, 1)], "cell int, v long")
+    assert ex.compare_cells(flat, "v").collect()[0].z_score is None
+
+
+def test_salt_and_user_do_not_run_together(spark):
+    users = spark.createDataFrame([(u,) for u in range(300)], "user_id long")
+    one = {r.user_id: r.cell for r in ex.assign_cells(users, "user_id", "exp-1", 97).collect()}
+    two = {r.user_id: r.cell for r in ex.assign_cells(users, "user_id", "exp-12", 97).collect()}
+    assert any(one[20 + u] != two[u] for u in range(10))

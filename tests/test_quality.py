@@ -18,7 +18,7 @@ def test_business_day_dst_and_weekend_roll(spark):
                                 (T(2024, 4, 1, 21, 59),),       # Mon 23:59 local
                                 (T(2024, 4, 1, 22, 0),)],       # Tue 00:00 local
                                "ts timestamp_ntz")
-    got = [r[0] for r in df.select(qa.business_day(F.col("ts"), "Europe/Madrid")).collect()]
+    got = [r[0] for r in df.select(qa.business_day(F.col("ts"), "Europe/Madrid", roll_weekend=True)).collect()]
     assert got == [D(2024, 4, 1), D(2024, 4, 1), D(2024, 4, 1), D(2024, 4, 2)]
 
 

@@ -61,7 +61,7 @@ def test_foreach_batch_upsert_sink_is_idempotent(spark):
     sess = st.session_counts(s).withColumn("day", F.to_date("event_hour"))
     base = tempfile.mkdtemp(prefix="tidemark-sink-")
     table = os.path.join(base, "t")
-    sink = st.foreach_batch_upsert(table, ["ip", "host", "event_hour"], "day")
+    sink = st.foreach_batch_upsert(table, ["ip", "host", "event_hour", "day"], "day", [F.desc("num_hits")])
     st.run_foreach_batch(sess, sink, os.path.join(base, "c")).stop()
     first = sorted(map(tuple, spark.read.parquet(table).select("ip", "event_hour", "num_hits").collect()))
     # replay the same rows as a batch: nothing changes

@@ -17,64 +17,79 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cumulate as cu
 from tidemark.operators import growth, scd
-from tidemark.operators.upsert import upsert_partitions, write_period
+from tidemark.operators.periods import newest_before
+from tidemark.operators.upsert import path_exists, upsert_partitions, write_period
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None only if the path does not exist (any other failure surfaces)."""
+    return spark.read.parquet(path) if path_exists(spark, path) else None
+
+
+def _newest(spark: SparkSession, path: str, period_col: str, value):
+    table = _table(spark, path)
+    return None if table is None else newest_before(table, period_col, value)
 
 
 def _prior(spark: SparkSession, path: str, period_col: str, value) -> DataFrame | None:
-    try:
-        t = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet: first period
-        return None
-    prior = t.where(F.col(period_col) == F.lit(value))
-    return prior if not prior.isEmpty() else None
+    """The partition of the newest period before ``value`` (None: there is none)."""
+    newest = _newest(spark, path, period_col, value)
+    return None if newest is None else spark.read.parquet(path).where(F.col(period_col) == F.lit(newest))
 
 
 def actors_year(spark: SparkSession, films: DataFrame, path: str, year: int) -> DataFrame:
-    """C3 for one year into the ``actors`` table (partitioned by current_year)."""
-    prev = _prior(spark, path, "current_year", year - 1)
-    out = cu.cumulate_actors_step(prev, films, year).checkpoint()
-    write_period(out, path, "current_year")
+    """C3 for one year into the ``actors`` table (partitioned by current_year).
+
+    Years skipped since the newest one in the table are run first."""
+    newest = _newest(spark, path, "current_year", year)
+    for y in range(year if newest is None else newest + 1, year + 1):
+        prev = _prior(spark, path, "current_year", y)
+        write_period(cu.cumulate_actors_step(prev, films, y), path, "current_year")
     return spark.read.parquet(path).where(F.col("current_year") == year)
 
 
 def actors_scd_year(spark: SparkSession, actors_path: str, scd_path: str, year: int,
                     first_year: int) -> DataFrame:
-    """C4 on the first run, then C5 for each later year (table partitioned by current_year)."""
+    """C4 on the first run, then C5 for each later year (table partitioned by
+    current_year); skipped years are run first."""
     snaps = spark.read.parquet(actors_path).drop("films")
-    if year == first_year:
-        out = scd.scd2_backfill(snaps, "actorid", ["quality_class", "is_active"], "current_year", year,
-                                carry=["actor"])
+    attrs = ["quality_class", "is_active"]
+    newest = _newest(spark, scd_path, "current_year", year) if year != first_year else None
+    if newest is None:
+        write_period(scd.scd2_backfill(snaps, "actorid", attrs, "current_year", year, carry=["actor"]), scd_path, "current_year")
     else:
-        prev = spark.read.parquet(scd_path).where(F.col("current_year") == year - 1)
-        out = scd.scd2_increment(prev, snaps, "actorid", ["quality_class", "is_active"], "current_year",
-                                 year, carry=["actor"])
-    write_period(out.checkpoint(), scd_path, "current_year")
+        for y in range(newest + 1, year + 1):
+            prev = spark.read.parquet(scd_path).where(F.col("current_year") == y - 1)
+            write_period(scd.scd2_increment(prev, snaps, "actorid", attrs, "current_year", y, carry=["actor"]), scd_path, "current_year")
     return spark.read.parquet(scd_path).where(F.col("current_year") == year)
 
 
 def datelist_day(spark: SparkSession, events: DataFrame, keys: list[str], ts_col: str, path: str,
                  day: dt.date, list_col: str = "dates_active") -> DataFrame:
-    """C6 for one day into a datelist table (partitioned by date)."""
-    prev = _prior(spark, path, "date", day - dt.timedelta(days=1))
-    today = cu.daily_active_keys(events, keys, ts_col, day, day, not_null=keys)
-    out = cu.cumulate_datelist_step(prev, today, keys, day, list_col).checkpoint()
-    write_period(out, path, "date")
+    """C6 for one day into a datelist table (partitioned by date); skipped days
+    are run first, so that their activity is in the lists."""
+    newest = _newest(spark, path, "date", day)
+    d = day if newest is None else newest + dt.timedelta(days=1)
+    while d <= day:
+        prev = _prior(spark, path, "date", d)
+        today = cu.daily_active_keys(events, keys, ts_col, d, d, not_null=keys)
+        write_period(cu.cumulate_datelist_step(prev, today, keys, d, list_col), path, "date")
+        d += dt.timedelta(days=1)
     return spark.read.parquet(path).where(F.col("date") == F.lit(day))
 
 
 def reduced_fact_day(spark: SparkSession, daily: DataFrame, key: str, path: str, day: dt.date) -> DataFrame:
-    """C8 for one day: keyed upsert of the month partition."""
-    try:
-        table = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first day
-        table = None
-    step = cu.reduced_fact_step(table, daily, key, day)
-    return upsert_partitions(spark, path, step, [key, "month_start"], "month_start")
+    """C8 for one day: keyed upsert of the month partition (S11).  Slots of skipped
+    days are set to zero by the step; run those days to fill them."""
+    step = cu.reduced_fact_step(_table(spark, path), daily, key, day)
+    return upsert_partitions(spark, path, step, [key, "month_start"], "month_start", order_by=[],
+                             periods=[day.replace(day=1)])
 
 
 def growth_season(spark: SparkSession, players: DataFrame, key: str, path: str, season: int) -> DataFrame:
-    """C10 for one season into the growth table (partitioned by current_season)."""
-    prev = _prior(spark, path, "current_season", season - 1)
-    out = growth.growth_step(prev, players, key, season).checkpoint()
-    write_period(out, path, "current_season")
+    """C10 for one season into the growth table (partitioned by current_season);
+    skipped seasons are run first."""
+    newest = _newest(spark, path, "current_season", season)
+    for s in range(season if newest is None else newest + 1, season + 1):
+        write_period(growth.growth_step(_prior(spark, path, "current_season", s), players, key, s), path, "current_season")
     return spark.read.parquet(path).where(F.col("current_season") == season)

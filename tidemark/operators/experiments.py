@@ -19,9 +19,9 @@ from tidemark.operators.running import next_in_order
 # ---------------------------------------------------------------- E1
 
 def cell_of(user: Column, salt: str, n_cells: int = 2) -> Column:
-    """Deterministic test cell: first 32 bits of md5(salt || user) modulo n_cells
+    """Deterministic test cell: first 32 bits of md5(salt || '|' || user) modulo n_cells
     (md5 exists in Spark and in SQL engines, so any engine can re-derive it)."""
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(salt), user.cast("string"))), 1, 8), 16, 10).cast("bigint")
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(salt + "|"), user.cast("string"))), 1, 8), 16, 10).cast("bigint")
     return (h % n_cells).cast("int")
 
 
@@ -117,14 +117,19 @@ def _gaps(days: DataFrame) -> DataFrame:
                 .withColumn("gap", F.datediff("day", "prev_day")))
 
 
-def resurrection_rate(days: DataFrame, idle: int = 7, within: int = 7) -> DataFrame:
-    """lapses = observed gaps between active days longer than ``idle``;
-    returned = lapses where the user came back within ``within`` days of
-    becoming eligible (idle < gap <= idle + within)."""
-    g = _gaps(days)
-    return g.agg(F.count_if(F.col("gap") > idle).alias("lapses"),
-                 F.count_if((F.col("gap") > idle) & (F.col("gap") <= idle + within)).alias("returned")) \
-            .withColumn("resurrection_rate", F.col("returned") / F.col("lapses"))
+def resurrection_rate(days: DataFrame, idle: int = 7, within: int = 7, as_of=None) -> DataFrame:
+    """lapses = times a user stayed away for more than ``idle`` days after an
+    active day, up to ``as_of`` (default: the newest day), whether they came
+    back or not; returned = lapses that ended within ``within`` days of becoming
+    one (idle < gap <= idle + within).  The rate is NULL without lapses."""
+    if as_of is None:
+        as_of = days.agg(F.max("day")).first()[0]
+    w = Window.partitionBy("user_id").orderBy("day")
+    away = days.select(F.lead("day").over(w).alias("_back"), "day").select(
+        F.datediff(F.coalesce("_back", F.lit(as_of).cast("date")), F.col("day")).alias("_gap"), F.col("_back").isNotNull().alias("_came"))
+    return away.agg(F.count_if(F.col("_gap") > idle).alias("lapses"),
+                    F.count_if(F.col("_came") & (F.col("_gap") > idle) & (F.col("_gap") <= idle + within)).alias("returned")) \
+               .withColumn("resurrection_rate", F.try_divide("returned", "lapses"))
 
 
 def post_return_activity(activity: DataFrame, idle: int = 7, days: int = 7) -> DataFrame:
@@ -156,8 +161,8 @@ def completion_metrics(events: DataFrame, user: str, ts: str, kind: str,
     return per_user.agg(
         F.count(F.col("_t0")).alias("starters"),
         F.count(F.col("_t1")).alias("completers"),
-        (F.count(F.col("_t1")) / F.count(F.col("_t0"))).alias("completion_rate"),
-        (F.sum(us) / F.count(F.col("_t1")) / 1e6).alias("avg_seconds_to_finish"),
+        F.try_divide(F.count(F.col("_t1")), F.count(F.col("_t0"))).alias("completion_rate"),
+        (F.try_divide(F.sum(us), F.count(F.col("_t1"))) / 1e6).alias("avg_seconds_to_finish"),
         F.sum("_g").cast("bigint").alias("guardrail_events"))
 
 
@@ -165,24 +170,21 @@ def funnel(events: DataFrame, user: str, ts: str, kind: str, steps: Sequence[str
            within_days: int) -> DataFrame:
     """Users reaching each step in order; step 1 is the first ``steps[0]``
     event, each later step is the first such event at or after the previous
-    step and within ``within_days`` of step 1."""
-    e = events.where(F.col(user).isNotNull()).select(user, ts, kind)
-    reached = (e.where(F.col(kind) == steps[0]).groupBy(user)
-                .agg(F.min(ts).alias("_t1")).withColumn("_tp", F.col("_t1")))
-    counts = [reached.agg(F.count(F.lit(1)).alias("users")).select(F.lit(1).alias("step_no"),
-                                                                    F.lit(steps[0]).alias("step"), "users")]
-    limit = F.expr(f"INTERVAL {within_days} DAYS")
-    for i, step in enumerate(steps[1:], start=2):
-        j = e.where(F.col(kind) == step).join(reached, user, "inner")
-        ok = (F.col(ts) >= F.col("_tp")) & (F.col(ts) <= F.col("_t1") + limit)
-        reached = (j.where(ok).groupBy(user)
-                    .agg(F.max("_t1").alias("_t1"), F.min(ts).alias("_tp")))
-        counts.append(reached.agg(F.count(F.lit(1)).alias("users"))
-                             .select(F.lit(i).alias("step_no"), F.lit(step).alias("step"), "users"))
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    step and within ``within_days`` of step 1.
+
+    One pass: a user's step events are gathered per step (their times, sorted),
+    each step's time is the first at or after the one before, and all
+    steps are counted in one aggregate.  A user's row is as long as the
+    user's own step events."""
+    e = events.where(F.col(user).isNotNull() & F.col(kind).isin(list(steps)) & F.col(ts).isNotNull())
+    per = e.groupBy(user).agg(*[F.array_sort(F.collect_set(F.when(F.col(kind) == s, F.col(ts)))).alias(f"_s{i}") for i, s in enumerate(steps)])
+    per = per.select(*[f"_s{i}" for i in range(1, len(steps))], F.get("_s0", F.lit(0)).alias("_t0"))
+    for i in range(1, len(steps)):
+        in_time = F.expr(f"filter(_s{i}, t -> t >= _t{i - 1} AND t <= _t0 + INTERVAL {within_days} DAYS)")
+        per = per.select("*", F.get(in_time, F.lit(0)).alias(f"_t{i}"))
+    counts = per.agg(*[F.count(f"_t{i}").alias(f"_n{i}") for i in range(len(steps))])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(i + 1).alias("step_no"), F.lit(s).alias("step"), F.col(f"_n{i}").alias("users")) for i, s in enumerate(steps)])))
 
 
 def weekly_engagement(events: DataFrame, user: str, ts: str, kind: str, conversion: str) -> DataFrame:
@@ -226,8 +228,8 @@ def compare_cells(metric: DataFrame, value: str, digits: int = 6) -> DataFrame:
     one = s.agg(pick("n", 0).alias("n_control"), pick("n", 1).alias("n_treatment"),
                 pick("m", 0).alias("mean_control"), pick("m", 1).alias("mean_treatment"),
                 pick("v", 0).alias("var_control"), pick("v", 1).alias("var_treatment"))
-    z = (F.col("mean_treatment") - F.col("mean_control")) / F.sqrt(
-        F.col("var_treatment") / F.col("n_treatment") + F.col("var_control") / F.col("n_control"))
+    spread = F.sqrt(F.try_divide("var_treatment", "n_treatment") + F.try_divide("var_control", "n_control"))
+    z = F.try_divide(F.col("mean_treatment") - F.col("mean_control"), spread)  # NULL without spread
     return one.select("n_control", "n_treatment",
                       F.round("mean_control", digits).alias("mean_control"),
                       F.round("mean_treatment", digits).alias("mean_treatment"),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.arrays import empty_array
+from tidemark.operators.periods import require_prior
 
 # The five state labels.
 NEW = "New"
@@ -24,33 +25,31 @@ STAYED_RETIRED = "Stayed Retired"
 
 def growth_step(prev: DataFrame | None, current: DataFrame, key: str, season: int,
                 period: str = "current_season", active: str = "is_active") -> DataFrame:
-    cs = current.where(F.col(period) == season).select(key, active).alias("cs")
-    act = F.coalesce(F.col(f"cs.{active}"), F.lit(False))
-    if prev is None:
-        return cs.where(act).select(
-            key, F.lit(season).alias("first_active_season"), F.lit(season).alias("last_active_season"),
-            F.lit(NEW).alias("season_active_state"),
-            F.array(F.lit(season)).alias("list_seasons_active"),
-            F.lit(season).alias(period))
-    ls = prev.where(F.col(period) == season - 1).alias("ls")
-    j = cs.join(ls, F.col(f"cs.{key}") == F.col(f"ls.{key}"), "full_outer")
-    prior_active = F.col("ls.last_active_season") == F.col(f"ls.{period}")
-    state = (F.when(F.col(f"ls.{key}").isNull(), F.lit(NEW))
-              .when(prior_active & act, F.lit(CONTINUED))
-              .when(prior_active, F.lit(RETIRED))
-              .when(act, F.lit(RETURNED))
-              .otherwise(F.lit(STAYED_RETIRED)))
-    out = j.select(
-        F.coalesce(F.col(f"cs.{key}"), F.col(f"ls.{key}")).alias(key),
-        F.coalesce(F.col("ls.first_active_season"), F.lit(season)).alias("first_active_season"),
-        F.when(act, F.lit(season)).otherwise(F.col("ls.last_active_season")).alias("last_active_season"),
+    """One season folded into the prior season's table.
+
+    Both sides become records of one shape and meet in one aggregate per key:
+    a prior record carries the history, a current one whether the entity plays.
+    Raises ``PeriodGap`` if ``prev`` holds earlier seasons but not ``season - 1``."""
+    this = F.lit(season).cast("int")
+    plays = current.where(F.col(period) == season).groupBy(key).agg(F.coalesce(F.max(active), F.lit(False)).alias("_act"))
+    blank = F.lit(None).cast("int")
+    records = plays.select(key, "_act", blank.alias("_first"), blank.alias("_last"), F.lit(None).cast("array<int>").alias("_list"))
+    if prev is not None:
+        require_prior(prev, period, season)
+        records = records.unionByName(prev.where(F.col(period) == season - 1).select(
+            key, F.lit(None).cast("boolean").alias("_act"), F.col("first_active_season").cast("int").alias("_first"),
+            F.col("last_active_season").cast("int").alias("_last"), F.col("list_seasons_active").cast("array<int>").alias("_list")))
+    one = records.groupBy(key).agg(F.coalesce(F.max("_act"), F.lit(False)).alias("_act"), F.max("_first").alias("_first"),
+                                   F.max("_last").alias("_last"), F.max("_list").alias("_list"))
+    known, played_last = F.col("_first").isNotNull(), F.col("_last") == season - 1
+    state = F.when(~known, F.lit(NEW)).when(F.col("_act"), F.when(played_last, F.lit(CONTINUED)).otherwise(RETURNED)) \
+             .otherwise(F.when(played_last, F.lit(RETIRED)).otherwise(STAYED_RETIRED))
+    added = F.when(F.col("_act"), F.array(this)).otherwise(empty_array("int"))
+    return one.where(known | F.col("_act")).select(
+        key, F.coalesce("_first", this).alias("first_active_season"),
+        F.when(F.col("_act"), this).otherwise(F.col("_last")).alias("last_active_season"),
         state.alias("season_active_state"),
-        F.concat(F.coalesce(F.col("ls.list_seasons_active"), empty_array("int")),
-                 F.when(act, F.array(F.lit(season))).otherwise(empty_array("int"))).alias("list_seasons_active"),
-        F.lit(season).alias(period),
-        F.col(f"ls.{key}").isNull().alias("_new"), act.alias("_act"))
-    # no prior row and inactive: no output
-    return out.where(~F.col("_new") | F.col("_act")).drop("_new", "_act")
+        F.concat(F.coalesce("_list", empty_array("int")), added).alias("list_seasons_active"), this.alias(period))
 
 
 def growth_backfill(current: DataFrame, key: str, upto: int,

@@ -87,19 +87,23 @@ def medals_text(m) -> F.Column:
 
 
 def avg_kills_per_player(fact: DataFrame) -> DataFrame:
+    """Most kills per match first; equal means by tag."""
     return (fact.groupBy("player_gamertag")
-                .agg((F.sum("player_total_kills") / F.count("match_id")).alias("avg_kills")))
+                .agg((F.sum("player_total_kills") / F.count("match_id")).alias("avg_kills"))
+                .orderBy(F.desc("avg_kills"), "player_gamertag"))
 
 
 def matches_per(fact: DataFrame, dim: str) -> DataFrame:
-    return fact.groupBy(dim).agg(F.countDistinct("match_id").alias("matches"))
+    """Most matches first; equal counts by name."""
+    return fact.groupBy(dim).agg(F.countDistinct("match_id").alias("matches")).orderBy(F.desc("matches"), dim)
 
 
 def medal_per_map(fact: DataFrame, medal_name: str) -> DataFrame:
     """Per map: medals of one kind earned (summed counts, D15) and player-match
-    rows holding it."""
-    e = fact.select("map_name", F.explode("medals_count_map").alias("key", "value"))
-    return (e.where(F.col("key") == medal_name)
+    rows holding it; most medals first, equal counts by map."""
+    e = fact.select("map_name", F.try_element_at("medals_count_map", F.lit(medal_name)).alias("value"))
+    return (e.where(F.col("value").isNotNull())
              .groupBy("map_name")
              .agg(F.sum("value").cast("bigint").alias("medals"),
-                  F.count(F.lit(1)).alias("rows_with_medal")))
+                  F.count(F.lit(1)).alias("rows_with_medal"))
+             .orderBy(F.desc("medals"), "map_name"))

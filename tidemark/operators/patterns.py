@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.dedup import dedup
 from tidemark.operators.running import running_totals
 
+# The labels of a missing name and a missing season.
 OVERALL = "OVERALL"
 UNKNOWN_SEASON = 9999
 

@@ -66,14 +66,17 @@ def rule_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 # ---------------------------------------------------------------- Q3, Q4, Q5
 
 def volume_anomaly(df: DataFrame, day: Column, lookback: int = 7, tol: float = 0.5) -> DataFrame:
-    """Q3: daily row count against the mean of the previous ``lookback`` days
-    present; anomaly when it differs by more than ``tol`` of the baseline.
-
-    The window runs over the daily table (one row per day), not over rows."""
-    daily = df.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    """Q3: daily row count against the mean of the previous ``lookback`` calendar
+    days; anomaly when it differs by more than ``tol`` of the baseline.  A day
+    without rows, between the first and the last, counts 0.
+
+    The window runs over the calendar (one row per day), not over rows."""
+    daily = df.where(day.isNotNull()).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    span = daily.agg(F.min("day").alias("a"), F.max("day").alias("b")).where(F.col("a").isNotNull())
+    full = span.select(F.explode(F.sequence("a", "b")).alias("day")).join(daily, "day", "left").fillna(0, ["n"])
     w = Window.orderBy("day").rowsBetween(-lookback, -1)
-    return (daily.withColumn("baseline", F.avg("n").over(w))
-                 .withColumn("is_anomaly", F.abs(F.col("n") - F.col("baseline")) > F.col("baseline") * tol))
+    return (full.withColumn("baseline", F.avg("n").over(w))
+                .withColumn("is_anomaly", F.abs(F.col("n") - F.col("baseline")) > F.col("baseline") * tol))
 
 
 def missing_business_days(df: DataFrame, key: str, day: str) -> DataFrame:
@@ -86,10 +89,11 @@ def missing_business_days(df: DataFrame, key: str, day: str) -> DataFrame:
 
 
 def snapshot_or_fallback(daily: DataFrame, key: str, day: str, value: str, end) -> DataFrame:
-    """Q5: a row per key and day from its first day to ``end``; a missing day
-    carries the last earlier value forward, flagged ``is_provisional``."""
+    """Q5: a row per key and day from its first day to ``end`` (a key that starts
+    later has none); a missing day carries the last earlier value forward, flagged ``is_provisional``."""
     first = daily.groupBy(key).agg(F.min(day).alias("_a"))
-    grid = first.select(key, F.explode(F.sequence("_a", F.lit(end).cast("date"))).alias(day))
+    until = F.lit(end).cast("date")
+    grid = first.where(F.col("_a") <= until).select(key, F.explode(F.sequence("_a", until)).alias(day))
     g = grid.join(daily.select(key, day, value), [key, day], "left")
     w = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
     src = F.last(F.when(F.col(value).isNotNull(), F.struct(F.col(day).alias("d"), F.col(value).alias("v"))),
@@ -100,38 +104,51 @@ def snapshot_or_fallback(daily: DataFrame, key: str, day: str, value: str, end)
 
 # ---------------------------------------------------------------- Q10-Q12
 
+def _source_shares(df: DataFrame, day: Column, source: str, share: float) -> DataFrame:
+    """_day, source, _n, _bot: does the source (NULL is one) hold more than ``share`` of the day?"""
+    per = df.groupBy(day.alias("_day"), F.col(source).alias("_source")).agg(F.count(F.lit(1)).alias("_n"))
+    return per.withColumn("_bot", F.col("_n") / F.sum("_n").over(Window.partitionBy("_day")) > share)
+
+
 def drop_dominant_sources(df: DataFrame, day: Column, source: str, share: float) -> DataFrame:
-    """Q10: per day, sources holding more than ``share`` of the day's rows are
-    treated as bot/QA traffic; returns per day: rows, dropped, kept, sources dropped.
-
-    Shares come from a (day, source) aggregate; the flagged set is joined back
-    as a small table (bounded by days x sources)."""
-    d = df.withColumn("_day", day)
-    per = d.groupBy("_day", source).agg(F.count(F.lit(1)).alias("_n"))
-    per = per.withColumn("_share", F.col("_n") / F.sum("_n").over(Window.partitionBy("_day")))
-    flagged = per.where(F.col("_share") > share).select("_day", source, F.lit(True).alias("_bot"))
-    j = d.join(flagged, ["_day", source], "left")
-    return (j.groupBy(F.col("_day").alias("day"))
-             .agg(F.count(F.lit(1)).alias("rows"),
-                  F.count_if(F.col("_bot").isNotNull()).alias("dropped"),
-                  F.count_if(F.col("_bot").isNull()).alias("kept"),
-                  F.countDistinct(F.when(F.col("_bot").isNotNull(), F.col(source))).alias("sources_dropped")))
+    """Q10 report: per day, sources holding more than ``share`` of the day's rows
+    are treated as bot/QA traffic; rows, dropped, kept, sources dropped (named ones).
+
+    Everything follows from one (day, source) count; no row is joined."""
+    per = _source_shares(df, day, source, share)
+    return (per.groupBy(F.col("_day").alias("day"))
+               .agg(F.sum("_n").alias("rows"),
+                    F.sum(F.when(F.col("_bot"), F.col("_n")).otherwise(0)).alias("dropped"),
+                    F.sum(F.when(F.col("_bot"), 0).otherwise(F.col("_n"))).alias("kept"),
+                    F.count_if(F.col("_bot") & F.col("_source").isNotNull()).alias("sources_dropped")))
+
+
+def filter_dominant_sources(df: DataFrame, day: Column, source: str, share: float) -> DataFrame:
+    """Q10: the rows of ``df`` without the dominant sources of their day.
+
+    At most 1 / share sources a day can be dominant, so the flagged side is
+    broadcast; the rows are not shuffled."""
+    bots = _source_shares(df, day, source, share).where("_bot").select("_day", "_source")
+    rows = df.withColumn("_at", day)
+    same = rows["_at"].eqNullSafe(bots["_day"]) & rows[source].eqNullSafe(bots["_source"])
+    return rows.join(F.broadcast(bots), same, "left_anti").drop("_at")
 
 
 def stitch_identity(events: DataFrame, user: str, device: str, ts: str) -> DataFrame:
     """Q11: anonymous rows (NULL user) take the latest user seen on their device
     (max_by over authenticated rows: a partial aggregate, so a busy device
-    is not one task).  Per day: distinct users before and after stitching."""
-    links = (events.where(F.col(user).isNotNull())
-                   .groupBy(device).agg(F.max_by(F.col(user), F.struct(F.col(ts), F.col(user)))
-                                        .alias("_linked")))
-    j = events.join(links, device, "left")
-    stitched = F.coalesce(F.col(user), F.col("_linked"))
-    return (j.groupBy(F.to_date(F.col(ts)).alias("day"))
-             .agg(F.countDistinct(user).alias("users_before"),
-                  F.countDistinct(stitched).alias("users_after"),
-                  F.count_if(F.col(user).isNull()).alias("anonymous_rows"),
-                  F.count_if(F.col(user).isNull() & F.col("_linked").isNotNull()).alias("stitched_rows")))
+    is not one task).  Only the anonymous rows are joined, reduced to one per
+    (day, device).  Per day: distinct users before and after stitching."""
+    day = F.to_date(F.col(ts)).alias("day")
+    known = events.where(F.col(user).isNotNull())
+    links = known.groupBy(device).agg(F.max_by(F.col(user), F.struct(F.col(ts), F.col(user))).alias("_linked"))
+    anonymous = events.where(F.col(user).isNull()).groupBy(day, device).agg(F.count(F.lit(1)).alias("_n"))
+    blank = anonymous.join(links, device, "left").select(
+        "day", F.lit(None).alias("_user"), F.col("_linked").alias("_after"), "_n", F.when(F.col("_linked").isNotNull(), F.col("_n")).otherwise(0).alias("_m"))
+    named = known.select(day, F.col(user).alias("_user"), F.col(user).alias("_after")).distinct().select("*", F.lit(0).alias("_n"), F.lit(0).alias("_m"))
+    return (named.unionByName(blank).groupBy("day")
+                 .agg(F.countDistinct("_user").alias("users_before"), F.countDistinct("_after").alias("users_after"),
+                      F.sum("_n").cast("bigint").alias("anonymous_rows"), F.sum("_m").cast("bigint").alias("stitched_rows")))
 
 
 def map_events(df: DataFrame, col: str, mapping: DataFrame, target: str) -> DataFrame:
@@ -145,12 +162,14 @@ def map_events(df: DataFrame, col: str, mapping: DataFrame, target: str) -> Data
 
 # ---------------------------------------------------------------- Q13, Q14
 
-def business_day(ts_ntz: Column, tz: str) -> Column:
-    """Q13: local date of a UTC wall-clock timestamp in ``tz`` (DST aware); a
-    Saturday or Sunday rolls forward to Monday."""
+def business_day(ts_ntz: Column, tz: str, roll_weekend: bool = False) -> Column:
+    """Q13: local date of a UTC wall-clock timestamp in ``tz`` (DST aware); with
+    ``roll_weekend`` a Saturday or Sunday moves to Monday."""
     local = F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz), ts_ntz))
-    wd = F.weekday(local)   # Monday = 0
-    return F.when(wd == 5, F.date_add(local, 2)).when(wd == 6, F.date_add(local, 1)).otherwise(local)
+    if not roll_weekend:
+        return local
+    ahead = F.when(F.weekday(local) == 5, 2).when(F.weekday(local) == 6, 1).otherwise(0)  # Monday = 0
+    return F.date_add(local, ahead)
 
 
 def active_users(days: DataFrame, windows: Mapping[str, int], start, end) -> DataFrame:

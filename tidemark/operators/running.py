@@ -5,14 +5,16 @@ one task; with few keys (teams, hosts) or a hot key that is one huge
 task.  Here the order is split into buckets (e.g. the day) that are
 monotone with it:
 
-1. totals per (key, bucket)            - hash aggregate, map-side combined
+1. totals per (key, bucket)            - aggregate of the input, combined on the map side
 2. running totals of (1) per key       - window over buckets only: its size is
                                           the number of buckets, not of rows
-3. running totals within (key, bucket) - window partitions split by bucket
+3. running totals within (key, bucket) - window partitions split by bucket; the one
+                                          shuffle of the rows
 4. result = (2) before the bucket + (3)
 
-Step (2) joins back on (key, bucket); that side is as small as the
-calendar and is broadcast by AQE at runtime when it fits.
+Step (4) joins on (key, bucket) packed into one struct: structs compare with
+NULL fields equal, so rows with a NULL key or bucket keep their place (a NULL
+bucket sorts first), and the window of step (3) has the join's partitioning already.
 """
 
 from __future__ import annotations
@@ -23,39 +25,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_AT = "_at"
+
+
+def _with_place(df: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
+    """Adds the struct of keys and bucket that windows and joins share."""
+    return df.withColumn(_AT, F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(bucket).alias("b")))
+
+
+def _place_windows(n_keys: int):
+    """Windows over one row per place: the key's earlier buckets, and all of them."""
+    key = [F.col(f"{_AT}.k{i}") for i in range(n_keys)]
+    order = Window.partitionBy(*key).orderBy(F.col(f"{_AT}.b").asc_nulls_first())
+    return order, order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*key)
+
+
 def running_totals(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
                    sums: Mapping[str, Column], totals: bool = False) -> DataFrame:
     """Add ``<name>`` = running sum of each ``sums[name]`` over the rows of the
     key ordered by (bucket, *order), current row included; with ``totals``
     also ``<name>_total`` = the key's grand total.
 
-    The input is shuffled once, by (key, bucket); both the within-bucket
-    running sum and the bucket total are windows over that shuffle.  The
-    bucket totals (one row per key and bucket) are reduced from the same
-    shuffle output and windowed per key; that small table is joined back on
-    (key, bucket), which the row side is already partitioned by.
-
     (bucket, *order) must be a total order within the key for the result to
     be deterministic."""
     keys = list(keys)
-    tmp = {name: f"_v_{name}" for name in sums}
-    base = df.select("*", *[expr.alias(tmp[n]) for n, expr in sums.items()])
-    wi = (Window.partitionBy(*keys, bucket).orderBy(*order)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    wall_bucket = Window.partitionBy(*keys, bucket)
-    rows = base.select(*df.columns,
-                       *[F.sum(tmp[n]).over(wi).alias(f"_w_{n}") for n in sums],
-                       *[F.sum(tmp[n]).over(wall_bucket).alias(f"_b_{n}") for n in sums])
-    per_bucket = rows.groupBy(*keys, bucket).agg(*[F.max(f"_b_{n}").alias(f"_b_{n}") for n in sums])
-    wb = (Window.partitionBy(*keys).orderBy(bucket)
-                .rowsBetween(Window.unboundedPreceding, -1))
-    wall = Window.partitionBy(*keys)
-    offsets = per_bucket.select(
-        *keys, bucket,
-        *[F.coalesce(F.sum(f"_b_{n}").over(wb), F.lit(0)).alias(f"_o_{n}") for n in sums],
-        *[F.sum(f"_b_{n}").over(wall).alias(f"{n}_total") for n in (sums if totals else [])])
-    joined = rows.join(offsets, [*keys, bucket], "inner")
-    return joined.select(
+    base = _with_place(df.select("*", *[expr.alias(f"_v_{n}") for n, expr in sums.items()]), keys, bucket)
+    within = Window.partitionBy(_AT).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = base.select(*df.columns, _AT, *[F.sum(f"_v_{n}").over(within).alias(f"_w_{n}") for n in sums])
+    _, before, whole = _place_windows(len(keys))
+    offsets = base.groupBy(_AT).agg(*[F.sum(f"_v_{n}").alias(f"_b_{n}") for n in sums]).select(
+        _AT, *[F.coalesce(F.sum(f"_b_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums],
+        *[F.sum(f"_b_{n}").over(whole).alias(f"{n}_total") for n in (sums if totals else [])])
+    return rows.join(offsets, _AT, "inner").select(
         *df.columns,
         *[(F.col(f"_o_{n}") + F.col(f"_w_{n}")).alias(n) for n in sums],
         *[F.col(f"{n}_total") for n in (sums if totals else [])])
@@ -64,34 +65,25 @@ def running_totals(df: DataFrame, keys: Sequence[str], bucket: str, order: Seque
 def running_max(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
                 value: Column, name: str) -> DataFrame:
     """Add ``name`` = max of ``value`` over the key's rows up to the current one
-    (order (bucket, *order)), split by bucket like ``running_totals`` (one
-    shuffle of the input by (key, bucket)).  NULL values are ignored; the
-    result is NULL until a value is seen."""
+    (order (bucket, *order)), split by bucket like ``running_totals``.  NULL
+    values are ignored; the result is NULL until a value is seen."""
     keys = list(keys)
-    base = df.select("*", value.alias("_v"))
-    wi = (Window.partitionBy(*keys, bucket).orderBy(*order)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = base.select(*df.columns, F.max("_v").over(wi).alias("_w"),
-                       F.max("_v").over(Window.partitionBy(*keys, bucket)).alias("_b"))
-    per_bucket = rows.groupBy(*keys, bucket).agg(F.max("_b").alias("_b"))
-    wb = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*keys, bucket, F.max("_b").over(wb).alias("_o"))
-    return (rows.join(offsets, [*keys, bucket], "inner")
-                .select(*df.columns, F.greatest(F.col("_o"), F.col("_w")).alias(name)))
+    base = _with_place(df.select("*", value.alias("_v")), keys, bucket)
+    within = Window.partitionBy(_AT).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = base.select(*df.columns, _AT, F.max("_v").over(within).alias("_w"))
+    _, before, _ = _place_windows(len(keys))
+    offsets = base.groupBy(_AT).agg(F.max("_v").alias("_b")).select(_AT, F.max("_b").over(before).alias("_o"))
+    return rows.join(offsets, _AT, "inner").select(*df.columns, F.greatest(F.col("_o"), F.col("_w")).alias(name))
 
 
 def next_in_order(df: DataFrame, keys: Sequence[str], bucket: str, ts: str, tie: str,
                   name: str) -> DataFrame:
     """Add ``name`` = ``ts`` of the key's next row in (bucket, ts, tie) order
     (NULL for the last).  Within a bucket it is ``lead``; the last row of a
-    bucket takes the first ``ts`` of the key's next non-empty bucket (one
-    shuffle of the input by (key, bucket))."""
+    bucket takes the first ``ts`` of the key's next non-empty bucket."""
     keys = list(keys)
-    wi = Window.partitionBy(*keys, bucket).orderBy(ts, tie)
-    rows = df.select("*", F.lead(ts).over(wi).alias("_lead"),
-                     F.min(ts).over(Window.partitionBy(*keys, bucket)).alias("_first"))
-    per_bucket = rows.groupBy(*keys, bucket).agg(F.min("_first").alias("_first"))
-    wb = Window.partitionBy(*keys).orderBy(bucket)
-    nxt = per_bucket.select(*keys, bucket, F.lead("_first").over(wb).alias("_next_bucket_first"))
-    return (rows.join(nxt, [*keys, bucket], "inner")
-                .select(*df.columns, F.coalesce(F.col("_lead"), F.col("_next_bucket_first")).alias(name)))
+    base = _with_place(df, keys, bucket)
+    rows = base.select(*df.columns, _AT, F.lead(ts).over(Window.partitionBy(_AT).orderBy(ts, tie)).alias("_lead"))
+    order, _, _ = _place_windows(len(keys))
+    nxt = base.groupBy(_AT).agg(F.min(ts).alias("_first")).select(_AT, F.lead("_first").over(order).alias("_next_first"))
+    return rows.join(nxt, _AT, "inner").select(*df.columns, F.coalesce(F.col("_lead"), F.col("_next_first")).alias(name))

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.periods import require_prior
+
 
 def _same_state(a_prefix: str, b_prefix: str, attrs: Sequence[str]) -> Column:
     cond = F.lit(True)
@@ -52,7 +54,12 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: str, attrs: Sequenc
     closed runs (end < year-1) stay; open runs (end = year-1) are extended
     when the state is unchanged, else kept as they are and a new (year, year)
     run opens; new keys open a run.  All rows stamped ``year`` (D1, D35).
+
+    The newest period before ``year`` in ``scd`` must be ``year - 1``: after a gap
+    there is no open run to extend, so a ``PeriodGap`` is raised instead of
+    losing the history (run the years between first).
     """
+    require_prior(scd, period, year)
     prev = scd.where(F.col(period) == year - 1)
     closed = prev.where(F.col(end_col) < year - 1)
     open_ = prev.where(F.col(end_col) == year - 1).alias("o")

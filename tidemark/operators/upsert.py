@@ -10,7 +10,6 @@ the write no longer depends on the files it replaces.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,43 +31,59 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str],
     return kept.unionByName(upd.select(*existing.columns))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith("file:") or "://" not in path:
-        return os.path.exists(path.replace("file:", ""))
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS listing for remote paths
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop's file system, for local and remote paths alike
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back: the
-    result depends on those files only (lineage cut, like ``checkpoint()``),
-    and later reads are columnar scans."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def stage(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet under the shared folder and read it back, with its
+    path: the result depends on those files only (lineage cut, like
+    ``checkpoint()``), and later reads are columnar scans."""
     path = shared_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
-                      partition_col: str) -> DataFrame:
+                      partition_col: str, order_by: Sequence, periods: Sequence | None = None) -> DataFrame:
     """Merge ``updates`` into the Parquet table at ``path`` (partitioned by
-    ``partition_col``); only partitions present in ``updates`` are read and
-    rewritten.  Returns the table.
-
-    The updates are staged once (computed a single time).  The touched
-    partitions are selected with a semi join on the partition column, so
-    dynamic partition pruning skips the others and no partition list passes
-    through the driver.  The merged rows are staged before the overwrite, so
-    the write no longer reads the files it replaces."""
-    if not _exists(spark, path):
-        (updates.write.mode("overwrite").partitionBy(partition_col).parquet(path))
+    ``partition_col``, which must be one of the keys: a key that moved
+    partitions would otherwise stay twice).  Returns the table.
+
+    Duplicate keys in ``updates`` are resolved by ``order_by`` (first wins; give
+    ``F.desc`` of the version for latest-wins), on the first write too.  Only the
+    partitions in ``periods`` are read and rewritten: a literal filter that
+    prunes the scan.  Without ``periods`` they are taken from the staged updates
+    (one value per touched partition).  The merged rows are staged before the
+    overwrite, so the write no longer reads the files it replaces; both
+    staging folders are removed afterwards."""
+    if partition_col not in keys:
+        raise ValueError(f"{partition_col} must be one of the keys {list(keys)}")
+    upd, upd_path = stage(dedup(updates, list(keys), order_by), "upsert_updates")
+    if not path_exists(spark, path):
+        upd.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        remove_path(spark, upd_path)
         return spark.read.parquet(path)
     table = spark.read.parquet(path)
-    upd = stage(updates.select(*table.columns), "upsert_updates")
-    current = table.join(upd.select(partition_col).distinct(), partition_col, "left_semi")
-    merged = stage(upsert(current, upd, keys), "upsert_merged")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_col).parquet(path))
+    if periods is None:
+        periods = [r[0] for r in upd.select(partition_col).distinct().collect()]
+    current = table.where(F.col(partition_col).isin(*periods)) if periods else table.limit(0)
+    merged, merged_path = stage(upsert(current, upd.select(*table.columns), keys, order_by), "upsert_merged")
+    write_period(merged, path, partition_col)
+    for p in (upd_path, merged_path):
+        remove_path(spark, p)
     return spark.read.parquet(path)
 
 

@@ -51,14 +51,15 @@ def s11_upsert_reduced_fact(spark, sf_dir):
     month partition, the last day twice (idempotent)."""
     path = shared_path(spark, "host_activity_reduced")
     daily = sp.host_daily_metrics(spark, sf_dir)
-    as_of = dt.date.fromisoformat(sp.EVENTS_AS_OF)
+    as_of = fx.event_days(spark, sf_dir)[1]
     cut = as_of - dt.timedelta(days=3)
     keys = ["host", "month_start"]
-    upsert_partitions(spark, path, cu.reduced_fact_backfill(daily, "host", cut), keys, "month_start")
+    upsert_partitions(spark, path, cu.reduced_fact_backfill(daily, "host", cut), keys, "month_start", order_by=[])
     for i in (1, 2, 3, 3):
         table = spark.read.parquet(path)
-        step = cu.reduced_fact_step(table, daily, "host", cut + dt.timedelta(days=i))
-        upsert_partitions(spark, path, step, keys, "month_start")
+        day = cut + dt.timedelta(days=i)
+        step = cu.reduced_fact_step(table, daily, "host", day)
+        upsert_partitions(spark, path, step, keys, "month_start", order_by=[], periods=[day.replace(day=1)])
     r = spark.read.parquet(path)
     return r.select("host", "month_start", join_text(F.col("hits_array")).alias("hits_array"),
                     join_text(F.col("unique_visitors_array")).alias("unique_visitors_array"))
@@ -91,7 +92,7 @@ def s01_csv_match_details(spark, sf_dir):
     raw = read_csv(spark, path)
     return raw.select(F.col("match_id").try_cast("bigint").alias("match_id"),
                       F.col("player_gamertag").try_cast("bigint").alias("player_gamertag"),
-                      F.try_to_number(F.col("player_total_kills"), F.lit("999999"))
+                      F.try_to_number(F.col("player_total_kills"), F.lit("999999999999999999"))
                        .cast("bigint").alias("player_total_kills"))
 
 

@@ -125,7 +125,7 @@ QUERIES = {
 
 
 def cell_sql(user: str) -> str:
-    return (f"CAST(CAST(('0x' || substr(md5('{SALT}' || CAST({user} AS VARCHAR)), 1, 8)) AS BIGINT) % 2 "
+    return (f"CAST(CAST(('0x' || substr(md5('{SALT}|' || CAST({user} AS VARCHAR)), 1, 8)) AS BIGINT) % 2 "
             f"AS INTEGER)")
 
 
@@ -200,11 +200,10 @@ SELECT CAST(session_start AS DATE) AS day, count(*) AS sessions,
 FROM s GROUP BY 1""", "web_events"),
     "e08_resurrection_rate": with_views("""
 WITH d AS (SELECT DISTINCT user_id, day FROM activity),
-g AS (SELECT day - lag(day) OVER (PARTITION BY user_id ORDER BY day) AS gap FROM d)
-SELECT count(*) FILTER (WHERE gap > 7) AS lapses,
-       count(*) FILTER (WHERE gap > 7 AND gap <= 14) AS returned,
-       count(*) FILTER (WHERE gap > 7 AND gap <= 14) / count(*) FILTER (WHERE gap > 7) AS resurrection_rate
-FROM g""", "activity"),
+g AS (SELECT a.user_id, a.day, (SELECT min(b.day) FROM d b WHERE b.user_id = a.user_id AND b.day > a.day) AS back FROM d a),
+l AS (SELECT back - day <= 14 AS soon FROM g WHERE coalesce(back, (SELECT max(day) FROM d)) - day > 7)
+SELECT count(*) AS lapses, count(*) FILTER (WHERE soon) AS returned, count(*) FILTER (WHERE soon) / nullif(count(*), 0) AS resurrection_rate
+FROM l""", "activity"),
     "e09_post_return_activity": with_views("""
 WITH pd AS (SELECT user_id, day, count(*) AS n FROM activity GROUP BY user_id, day),
 g AS (SELECT *, CAST(day - lag(day) OVER (PARTITION BY user_id ORDER BY day) AS INTEGER) AS gap FROM pd)

@@ -10,6 +10,11 @@ import re
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
+# Bounds of the data, as ``fixtures.last_year`` and ``fixtures.event_days`` give them.
+LAST_YEAR = "(SELECT CAST(max(year(o_orderdate)) AS INTEGER) FROM orders)"
+FIRST_DAY = "(SELECT CAST(min(ts) AS DATE) FROM events)"
+AS_OF = "(SELECT CAST(max(ts) AS DATE) FROM events)"
+
 VIEWS: dict[str, str] = {
     "actor_films": """
         SELECT c.c_name AS actor, CAST(o.o_custkey AS VARCHAR) AS actorid,
@@ -22,7 +27,7 @@ VIEWS: dict[str, str] = {
     "web_events": f"""
         SELECT event_id,
                CASE WHEN event_id % 20 = 0 THEN NULL ELSE user_id END AS user_id,
-               CAST({K} % 16 AS INTEGER) AS device_id,
+               CASE WHEN event_id % 11 <> 0 THEN CAST({K} % 16 AS INTEGER) END AS device_id,
                event_type || '.example.com' AS host,
                CAST(user_id % 25 AS VARCHAR) || '.' || event_type AS subhost,
                '10.0.0.' || CAST(user_id % 2 AS VARCHAR) AS ip,
@@ -58,7 +63,7 @@ VIEWS: dict[str, str] = {
         SELECT c.c_name AS player_name, CAST(s.y AS INTEGER) AS current_season,
                EXISTS (SELECT 1 FROM orders o2 WHERE o2.o_custkey = s.cust
                        AND year(o2.o_orderdate) = s.y) AS is_active
-        FROM (SELECT cust, unnest(range(first_y, 2002)) AS y
+        FROM (SELECT cust, unnest(range(first_y, (SELECT max(year(o_orderdate)) FROM orders) + 1)) AS y
               FROM (SELECT o_custkey AS cust, min(year(o_orderdate)) AS first_y
                     FROM orders GROUP BY o_custkey)) s
         JOIN customer c ON c.c_custkey = s.cust""",
@@ -69,12 +74,12 @@ VIEWS: dict[str, str] = {
     "match_details": """
         SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag,
                CAST(sum(l_quantity) AS BIGINT) AS player_total_kills
-        FROM lineitem GROUP BY l_orderkey, l_suppkey""",
+        FROM lineitem GROUP BY l_orderkey, l_suppkey
+        UNION ALL SELECT o_orderkey, -o_custkey - 1, 0 FROM orders""",
     "medals_matches_players": """
         SELECT l.l_orderkey AS match_id, l.l_suppkey AS player_gamertag, p.p_brand AS medal_id,
                CAST(l.l_linenumber AS BIGINT) AS medal_count
-        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-        WHERE l.l_linenumber <= 4""",
+        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "medals": "SELECT p_brand AS medal_id, p_brand AS name FROM part",
     "maps": "SELECT CAST(n_nationkey AS BIGINT) AS mapid, n_name AS name FROM nation",
     "fx_rates": """

@@ -13,7 +13,7 @@ from tidemark.operators.experiments import cell_of
 from tidemark.operators.upsert import upsert_partitions
 from tidemark.plans import snapshot_plans as sp
 from tidemark.plans.experiment_plans import SALT, cell_sql
-from tidemark.plans.oracle_views import with_views
+from tidemark.plans.oracle_views import AS_OF, FIRST_DAY, with_views
 from tidemark.session import shared_path
 from tidemark.sources import fixtures as fx
 from tidemark.sources.tables import load
@@ -58,7 +58,7 @@ def q04_missing_rate_days(spark, sf_dir):
 
 def q05_snapshot_fallback(spark, sf_dir):
     daily = sp.host_daily_metrics(spark, sf_dir).select("host", "date", "hits")
-    return qa.snapshot_or_fallback(daily, "host", "date", "hits", sp.EVENTS_AS_OF)
+    return qa.snapshot_or_fallback(daily, "host", "date", "hits", fx.event_days(spark, sf_dir)[1])
 
 
 def q06_reprocess_days(spark, sf_dir):
@@ -67,17 +67,17 @@ def q06_reprocess_days(spark, sf_dir):
     day partitions (dynamic overwrite) and marks them ``final``."""
     path = shared_path(spark, "daily_host_hits")
     daily = sp.host_daily_metrics(spark, sf_dir).select("host", "date", "hits")
-    as_of = dt.date.fromisoformat(sp.EVENTS_AS_OF)
+    as_of = fx.event_days(spark, sf_dir)[1]
     cut = F.lit(as_of - dt.timedelta(days=PROVISIONAL_DAYS - 1)).cast("date")
     first = daily.withColumn("status", F.when(F.col("date") >= cut, "provisional").otherwise("final"))
-    upsert_partitions(spark, path, first, ["host", "date"], "date")
+    upsert_partitions(spark, path, first, ["host", "date"], "date", order_by=[])
     redo = daily.where(F.col("date") >= cut).withColumn("status", F.lit("final"))
-    return upsert_partitions(spark, path, redo, ["host", "date"], "date").select("host", "date", "hits", "status")
+    days = [as_of - dt.timedelta(days=i) for i in range(PROVISIONAL_DAYS)]
+    return upsert_partitions(spark, path, redo, ["host", "date"], "date", order_by=[], periods=days).select("host", "date", "hits", "status")
 
 
 def q08_join_as_of_scd(spark, sf_dir):
-    snap = sp.actor_snapshots(spark, sf_dir, with_films=False)
-    s = scd.scd2_backfill(snap, "actorid", sp.SCD_ATTRS, "current_year", sp.LAST_YEAR, carry=["actor"])
+    s = sp.actor_history(spark, sf_dir)
     films = fx.actor_films(spark, sf_dir).select("filmid", "actorid", "year")
     j = scd.join_as_of_scd(films, s, "actorid", "year")
     return j.select("f.filmid", "f.actorid", "f.year", "s.quality_class", "s.is_active")
@@ -88,6 +88,11 @@ def q10_dominant_sources(spark, sf_dir):
                                     DOMINANT_SHARE)
 
 
+def q10_filtered_traffic(spark, sf_dir):
+    rows = qa.filter_dominant_sources(fx.web_events(spark, sf_dir), F.to_date("event_time"), "device_id", DOMINANT_SHARE)
+    return rows.select("event_id", "device_id", F.to_date("event_time").alias("day"))
+
+
 def q11_stitch_identity(spark, sf_dir):
     return qa.stitch_identity(fx.web_events(spark, sf_dir), "user_id", "device_id", "event_time")
 
@@ -106,7 +111,7 @@ def q13_business_day(spark, sf_dir):
 def q14_active_users(spark, sf_dir):
     days = fx.web_events(spark, sf_dir).where(F.col("user_id").isNotNull()) \
         .select("user_id", F.to_date("event_time").alias("day"))
-    return qa.active_users(days, {"dau": 1, "wau": 7, "mau": 30}, sp.EVENTS_START, sp.EVENTS_AS_OF)
+    return qa.active_users(days, {"dau": 1, "wau": 7, "mau": 30}, *fx.event_days(spark, sf_dir))
 
 
 def _order_lines(spark, sf_dir):
@@ -204,6 +209,7 @@ QUERIES = {
     "q06_reprocess_days": q06_reprocess_days,
     "q08_join_as_of_scd": q08_join_as_of_scd,
     "q10_dominant_sources": q10_dominant_sources,
+    "q10_filtered_traffic": q10_filtered_traffic,
     "q11_stitch_identity": q11_stitch_identity,
     "q12_map_events": q12_map_events,
     "q13_business_day": q13_business_day,
@@ -232,7 +238,7 @@ k AS (SELECT o.o_orderkey, o.o_custkey, CAST(o.o_orderdate AS DATE) AS day,
 _HOST_DAILY = f"""
 daily AS (SELECT subhost AS host, CAST(event_time AS DATE) AS date, count(*) AS hits FROM web_events
           WHERE user_id IS NOT NULL
-            AND CAST(event_time AS DATE) BETWEEN DATE '{sp.EVENTS_START}' AND DATE '{sp.EVENTS_AS_OF}'
+            AND CAST(event_time AS DATE) BETWEEN {FIRST_DAY} AND {AS_OF}
           GROUP BY 1, 2)"""
 
 
@@ -269,7 +275,9 @@ UNION ALL SELECT 'known_event_type', r2, n FROM a
 UNION ALL SELECT 'props_has_k', r3, n FROM a""",
     "q03_volume_anomaly": """
 WITH d AS (SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS n FROM lineitem GROUP BY 1),
-b AS (SELECT *, avg(n) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS baseline FROM d)
+c AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM d), (SELECT max(day) FROM d), INTERVAL 1 DAY)) AS DATE) AS day),
+f AS (SELECT day, coalesce(d.n, 0) AS n FROM c LEFT JOIN d USING (day)),
+b AS (SELECT *, avg(n) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS baseline FROM f)
 SELECT day, n, baseline, abs(n - baseline) > baseline * 0.5 AS is_anomaly FROM b""",
     "q04_missing_rate_days": with_views("""
 WITH span AS (SELECT ccy, min(rate_date) AS a, max(rate_date) AS b FROM fx_rates GROUP BY ccy),
@@ -280,7 +288,7 @@ WHERE isodow(d) <= 5 AND NOT EXISTS (SELECT 1 FROM fx_rates r WHERE r.ccy = cal.
     "q05_snapshot_fallback": with_views(f"""
 WITH {_HOST_DAILY},
 f AS (SELECT host, min(date) AS a FROM daily GROUP BY host),
-grid AS (SELECT host, CAST(unnest(generate_series(a, DATE '{sp.EVENTS_AS_OF}', INTERVAL 1 DAY)) AS DATE) AS date
+grid AS (SELECT host, CAST(unnest(generate_series(a, {AS_OF}, INTERVAL 1 DAY)) AS DATE) AS date
          FROM f)
 SELECT g.host, g.date, d.hits, d.date AS source_day, d.date <> g.date AS is_provisional
 FROM grid g ASOF JOIN daily d ON g.host = d.host AND g.date >= d.date""", "web_events"),
@@ -297,6 +305,11 @@ j AS (SELECT d.day, d.device_id, fl.device_id IS NOT NULL AS bot
 SELECT day, count(*) AS rows, count(*) FILTER (WHERE bot) AS dropped, count(*) FILTER (WHERE NOT bot) AS kept,
        count(DISTINCT CASE WHEN bot THEN device_id END) AS sources_dropped
 FROM j GROUP BY day""", "web_events"),
+    "q10_filtered_traffic": with_views(f"""
+WITH d AS (SELECT event_id, device_id, CAST(event_time AS DATE) AS day FROM web_events)
+SELECT event_id, device_id, day FROM (
+  SELECT *, count(*) OVER (PARTITION BY day, device_id) / count(*) OVER (PARTITION BY day) AS share FROM d)
+WHERE share <= {DOMINANT_SHARE}""", "web_events"),
     "q11_stitch_identity": with_views("""
 WITH links AS (SELECT device_id, arg_max(user_id, event_time) AS linked FROM web_events
                WHERE user_id IS NOT NULL GROUP BY device_id),
@@ -311,12 +324,11 @@ FROM j GROUP BY 1""", "web_events"),
         " END AS kpi, count(*) AS n_rows FROM events GROUP BY event_type",
     "q13_business_day": f"""
 WITH l AS (SELECT CAST(timezone('{LOCAL_TZ}', ts AT TIME ZONE 'UTC') AS DATE) AS d FROM events)
-SELECT CASE WHEN isodow(d) = 6 THEN d + 2 WHEN isodow(d) = 7 THEN d + 1 ELSE d END AS business_day,
-       count(*) AS n_events
+SELECT d AS business_day, count(*) AS n_events
 FROM l GROUP BY 1""",
     "q14_active_users": with_views(f"""
 WITH d AS (SELECT DISTINCT user_id, CAST(event_time AS DATE) AS day FROM web_events WHERE user_id IS NOT NULL),
-cal AS (SELECT CAST(unnest(generate_series(DATE '{sp.EVENTS_START}', DATE '{sp.EVENTS_AS_OF}', INTERVAL 1 DAY))
+cal AS (SELECT CAST(unnest(generate_series({FIRST_DAY}, {AS_OF}, INTERVAL 1 DAY))
                        AS DATE) AS day)
 SELECT c.day,
        (SELECT count(DISTINCT user_id) FROM d WHERE d.day = c.day) AS dau,
@@ -387,7 +399,7 @@ FROM d GROUP BY 1""",
 }
 
 ORACLE["q08_join_as_of_scd"] = with_views(
-    "WITH scd AS (" + sp._scd_sql(sp.LAST_YEAR).strip() + """)
+    "WITH scd AS (" + sp._SCD.strip() + """)
 SELECT f.filmid, f.actorid, f.year, s.quality_class, s.is_active
 FROM actor_films f LEFT JOIN scd s ON s.actorid = f.actorid AND f.year BETWEEN s.start_year AND s.end_year""",
     "actor_films")

@@ -7,22 +7,21 @@ tests check that iterating the steps gives the same state.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.arrays import join_text
 from tidemark.operators import cumulate as cu
 from tidemark.operators import scd
-from tidemark.plans.oracle_views import with_views
+from tidemark.plans.oracle_views import AS_OF, FIRST_DAY, LAST_YEAR, with_views
 from tidemark.sources import fixtures as fx
 
-LAST_YEAR = 2001          # last actor-film / season year in the data
-EVENTS_START = "2024-01-01"
-EVENTS_AS_OF = "2024-01-30"
-
 SCD_ATTRS = ["quality_class", "is_active"]
 
 
-def actor_snapshots(spark, sf_dir, upto=LAST_YEAR, with_films=True):
+def actor_snapshots(spark, sf_dir, upto=None, with_films=True):
+    upto = fx.last_year(spark, sf_dir) if upto is None else upto
     return cu.cumulate_actors_backfill(fx.actor_films(spark, sf_dir), upto, with_films=with_films)
 
 
@@ -34,14 +33,42 @@ def c03_cumulate_actors(spark, sf_dir):
 
 
 def c04_scd2_backfill(spark, sf_dir):
-    snap = actor_snapshots(spark, sf_dir, with_films=False)
-    return scd.scd2_backfill(snap, "actorid", SCD_ATTRS, "current_year", LAST_YEAR, carry=["actor"])
+    return actor_history(spark, sf_dir)
+
+
+def actor_history(spark, sf_dir):
+    last = fx.last_year(spark, sf_dir)
+    snap = actor_snapshots(spark, sf_dir, last, with_films=False)
+    return scd.scd2_backfill(snap, "actorid", SCD_ATTRS, "current_year", last, carry=["actor"])
 
 
 def c05_scd2_increment(spark, sf_dir):
-    snap = actor_snapshots(spark, sf_dir, with_films=False)
-    prev = scd.scd2_backfill(snap, "actorid", SCD_ATTRS, "current_year", LAST_YEAR - 1, carry=["actor"])
-    return scd.scd2_increment(prev, snap, "actorid", SCD_ATTRS, "current_year", LAST_YEAR, carry=["actor"])
+    last = fx.last_year(spark, sf_dir)
+    snap = actor_snapshots(spark, sf_dir, last, with_films=False)
+    prev = scd.scd2_backfill(snap, "actorid", SCD_ATTRS, "current_year", last - 1, carry=["actor"])
+    return scd.scd2_increment(prev, snap, "actorid", SCD_ATTRS, "current_year", last, carry=["actor"])
+
+
+def c03_step(spark, sf_dir):
+    """The step form of C3: the newest year from the snapshot of the year before."""
+    last = fx.last_year(spark, sf_dir)
+    prev = actor_snapshots(spark, sf_dir, last - 1).where(F.col("current_year") == last - 1)
+    snap = cu.cumulate_actors_step(prev, fx.actor_films(spark, sf_dir), last)
+    return snap.select("actor", "actorid", cu.films_text(F.col("films")).alias("films"),
+                       F.size("films").cast("bigint").alias("n_films"),
+                       "quality_class", "is_active", "current_year")
+
+
+def c06_step(spark, sf_dir):
+    """The step form of C6: the as-of day from the datelists of the day before."""
+    keys = ["user_id", "browser_type"]
+    _, as_of = fx.event_days(spark, sf_dir)
+    prev = user_devices_cumulated(spark, sf_dir, as_of - dt.timedelta(days=1))
+    today = cu.daily_active_keys(user_device_events(spark, sf_dir), keys, "event_time", as_of, as_of, not_null=["user_id"])
+    s = cu.cumulate_datelist_step(prev, today, keys, as_of, "device_activity_datelist")
+    return s.select("user_id", "browser_type",
+                    join_text(F.col("device_activity_datelist")).alias("device_activity_datelist"),
+                    F.size("device_activity_datelist").cast("bigint").alias("n_dates"), "date")
 
 
 def user_device_events(spark, sf_dir):
@@ -53,9 +80,11 @@ def user_device_events(spark, sf_dir):
               .select(F.col("user_id").cast("string").alias("user_id"), "browser_type", "event_time"))
 
 
-def user_devices_cumulated(spark, sf_dir, as_of=EVENTS_AS_OF):
+def user_devices_cumulated(spark, sf_dir, as_of=None):
+    start, last = fx.event_days(spark, sf_dir)
+    as_of = last if as_of is None else as_of
     active = cu.daily_active_keys(user_device_events(spark, sf_dir), ["user_id", "browser_type"],
-                                  "event_time", EVENTS_START, as_of, not_null=["user_id"])
+                                  "event_time", start, as_of, not_null=["user_id"])
     return cu.cumulate_datelist_backfill(active, ["user_id", "browser_type"], as_of,
                                          "device_activity_datelist")
 
@@ -69,9 +98,9 @@ def c06_user_devices_cumulated(spark, sf_dir):
 
 def c06_hosts_cumulated(spark, sf_dir):
     we = fx.web_events(spark, sf_dir).select(F.col("subhost").alias("host"), "user_id", "event_time")
-    active = cu.daily_active_keys(we, ["host"], "event_time", EVENTS_START, EVENTS_AS_OF,
-                                  not_null=["user_id"])
-    s = cu.cumulate_datelist_backfill(active, ["host"], EVENTS_AS_OF, "host_activity_datelist")
+    start, as_of = fx.event_days(spark, sf_dir)
+    active = cu.daily_active_keys(we, ["host"], "event_time", start, as_of, not_null=["user_id"])
+    s = cu.cumulate_datelist_backfill(active, ["host"], as_of, "host_activity_datelist")
     return s.select("host", join_text(F.col("host_activity_datelist")).alias("host_activity_datelist"),
                     F.size("host_activity_datelist").cast("bigint").alias("n_dates"), "date")
 
@@ -84,11 +113,11 @@ def c07_datelist_bits(spark, sf_dir):
 
 def host_daily_metrics(spark, sf_dir):
     we = fx.web_events(spark, sf_dir).select(F.col("subhost").alias("host"), "user_id", "event_time")
-    return cu.daily_metrics(we, "host", "event_time", "user_id", EVENTS_START, EVENTS_AS_OF)
+    return cu.daily_metrics(we, "host", "event_time", "user_id", *fx.event_days(spark, sf_dir))
 
 
 def host_activity_reduced(spark, sf_dir):
-    return cu.reduced_fact_backfill(host_daily_metrics(spark, sf_dir), "host", EVENTS_AS_OF)
+    return cu.reduced_fact_backfill(host_daily_metrics(spark, sf_dir), "host", fx.event_days(spark, sf_dir)[1])
 
 
 def c08_host_activity_reduced(spark, sf_dir):
@@ -103,6 +132,8 @@ def c09_reduced_fact_daily(spark, sf_dir):
 
 QUERIES = {
     "c03_cumulate_actors": c03_cumulate_actors,
+    "c03_step": c03_step,
+    "c06_step": c06_step,
     "c04_scd2_backfill": c04_scd2_backfill,
     "c05_scd2_increment": c05_scd2_increment,
     "c06_user_devices_cumulated": c06_user_devices_cumulated,
@@ -132,29 +163,25 @@ snap AS (
 """
 
 
-def _scd_sql(upto: int) -> str:
-    return _ACTOR_SNAP + f""",
-wp AS (
-  SELECT *, lag(current_year) OVER w AS pcy, lag(quality_class) OVER w AS pq, lag(is_active) OVER w AS pa
-  FROM snap WHERE current_year <= {upto}
-  WINDOW w AS (PARTITION BY actorid ORDER BY current_year)),
-wi AS (
-  SELECT *, CASE WHEN pcy IS NULL OR pq IS DISTINCT FROM quality_class
-                   OR pa IS DISTINCT FROM is_active THEN 1 ELSE 0 END AS chg FROM wp),
-ws AS (
-  SELECT *, sum(chg) OVER (PARTITION BY actorid ORDER BY current_year ROWS UNBOUNDED PRECEDING) AS run
-  FROM wi)
-SELECT actorid, max(actor) AS actor, first(quality_class) AS quality_class, first(is_active) AS is_active,
-       CAST({upto} AS INTEGER) AS current_year,
-       min(current_year) AS start_year, max(current_year) AS end_year
-FROM ws GROUP BY actorid, run"""
+# A run's first years have no equal state the year before, its last years none the year
+# after; each first year belongs with the nearest last year at or after it.
+_SCD = _ACTOR_SNAP + f""",
+edge AS (
+  SELECT a.*, NOT EXISTS (SELECT 1 FROM snap b WHERE b.actorid = a.actorid AND b.current_year = a.current_year - 1
+               AND b.quality_class IS NOT DISTINCT FROM a.quality_class AND b.is_active = a.is_active) AS opens,
+         NOT EXISTS (SELECT 1 FROM snap b WHERE b.actorid = a.actorid AND b.current_year = a.current_year + 1
+               AND b.quality_class IS NOT DISTINCT FROM a.quality_class AND b.is_active = a.is_active) AS closes
+  FROM snap a)
+SELECT o.actorid, o.actor, o.quality_class, o.is_active, {LAST_YEAR} AS current_year, o.current_year AS start_year,
+       (SELECT min(c.current_year) FROM edge c WHERE c.actorid = o.actorid AND c.closes AND c.current_year >= o.current_year) AS end_year
+FROM edge o WHERE o.opens"""
 
 
 _UD_ACTIVE = f"""
 SELECT DISTINCT CAST(e.user_id AS VARCHAR) AS user_id, d.browser_type, CAST(e.event_time AS DATE) AS d
 FROM web_events e JOIN devices d ON e.device_id = d.device_id
 WHERE e.user_id IS NOT NULL
-  AND CAST(e.event_time AS DATE) BETWEEN DATE '{EVENTS_START}' AND DATE '{EVENTS_AS_OF}'"""
+  AND CAST(e.event_time AS DATE) BETWEEN {FIRST_DAY} AND {AS_OF}"""
 
 _HOST_DAILY = f"""
 daily AS (
@@ -162,12 +189,12 @@ daily AS (
          count(DISTINCT user_id) AS uv
   FROM web_events
   WHERE user_id IS NOT NULL
-    AND CAST(event_time AS DATE) BETWEEN DATE '{EVENTS_START}' AND DATE '{EVENTS_AS_OF}'
+    AND CAST(event_time AS DATE) BETWEEN {FIRST_DAY} AND {AS_OF}
   GROUP BY 1, 2),
 hm AS (SELECT DISTINCT host, CAST(date_trunc('month', date) AS DATE) AS month_start FROM daily),
 slots AS (
   SELECT host, month_start,
-         unnest(range(0, least(DATE '{EVENTS_AS_OF}', last_day(month_start)) - month_start + 1)) AS i
+         unnest(range(0, least({AS_OF}, last_day(month_start)) - month_start + 1)) AS i
   FROM hm)"""
 
 ORACLE = {
@@ -177,29 +204,29 @@ SELECT s.actor, s.actorid, s.quality_class, s.is_active, s.current_year,
         FROM actor_films f WHERE f.actorid = s.actorid AND f.year <= s.current_year) AS films,
        (SELECT count(*) FROM actor_films f WHERE f.actorid = s.actorid AND f.year <= s.current_year) AS n_films
 FROM snap s""", "actor_films"),
-    "c04_scd2_backfill": with_views(_scd_sql(LAST_YEAR), "actor_films"),
-    "c05_scd2_increment": with_views(_scd_sql(LAST_YEAR), "actor_films"),
+    "c04_scd2_backfill": with_views(_SCD, "actor_films"),
+    "c05_scd2_increment": with_views(_SCD, "actor_films"),
     "c06_user_devices_cumulated": with_views(f"""
 SELECT user_id, browser_type, string_agg(CAST(d AS VARCHAR), ',' ORDER BY d DESC) AS device_activity_datelist,
-       count(*) AS n_dates, DATE '{EVENTS_AS_OF}' AS date
+       count(*) AS n_dates, {AS_OF} AS date
 FROM ({_UD_ACTIVE}) GROUP BY user_id, browser_type""", "web_events", "devices"),
     "c06_hosts_cumulated": with_views(f"""
 SELECT host, string_agg(CAST(d AS VARCHAR), ',' ORDER BY d DESC) AS host_activity_datelist,
-       count(*) AS n_dates, DATE '{EVENTS_AS_OF}' AS date
+       count(*) AS n_dates, {AS_OF} AS date
 FROM (SELECT DISTINCT subhost AS host, CAST(event_time AS DATE) AS d FROM web_events
       WHERE user_id IS NOT NULL
-        AND CAST(event_time AS DATE) BETWEEN DATE '{EVENTS_START}' AND DATE '{EVENTS_AS_OF}')
+        AND CAST(event_time AS DATE) BETWEEN {FIRST_DAY} AND {AS_OF})
 GROUP BY host""", "web_events"),
     "c07_datelist_bits": with_views(f"""
 WITH b AS (
   SELECT user_id, browser_type,
-         CAST(coalesce(sum(CASE WHEN DATE '{EVENTS_AS_OF}' - d BETWEEN 0 AND 31
-                                THEN CAST(1 AS BIGINT) << CAST(31 - (DATE '{EVENTS_AS_OF}' - d) AS INTEGER)
+         CAST(coalesce(sum(CASE WHEN {AS_OF} - d BETWEEN 0 AND 31
+                                THEN CAST(1 AS BIGINT) << CAST(31 - ({AS_OF} - d) AS INTEGER)
                                 ELSE 0 END), 0) AS BIGINT) AS datelist_int
   FROM ({_UD_ACTIVE}) GROUP BY user_id, browser_type)
 SELECT user_id, browser_type, datelist_int, CAST(bit_count(datelist_int) AS INTEGER) AS days_active,
        datelist_int <> 0 AS is_monthly_active, (datelist_int & 4261412864) <> 0 AS is_weekly_active,
-       DATE '{EVENTS_AS_OF}' AS date
+       {AS_OF} AS date
 FROM b""", "web_events", "devices"),
     "c08_host_activity_reduced": with_views(f"""
 WITH {_HOST_DAILY}
@@ -216,3 +243,5 @@ SELECT s.month_start + CAST(s.i AS INTEGER) AS date,
 FROM slots s LEFT JOIN daily d ON d.host = s.host AND d.date = s.month_start + CAST(s.i AS INTEGER)
 GROUP BY 1""", "web_events"),
 }
+ORACLE["c03_step"] = ORACLE["c03_cumulate_actors"] + f" WHERE s.current_year = {LAST_YEAR}"
+ORACLE["c06_step"] = ORACLE["c06_user_devices_cumulated"]

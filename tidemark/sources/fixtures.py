@@ -7,6 +7,8 @@ lives in ``tidemark.plans.oracle_views``; the two must stay in step.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """event_id, user_id (NULL when event_id % 20 = 0), device_id, host, subhost, ip,
+    """event_id, user_id (NULL when event_id % 20 = 0), device_id (NULL when event_id % 11 = 0), host, subhost, ip,
     event_time (timestamp_ntz, wall clock as stored), event_type."""
     return web_events_from(load(spark, sf_dir, "events"))
 
@@ -45,7 +47,7 @@ def web_events_from(events: DataFrame) -> DataFrame:
         "event_id",
         F.when(F.col("event_id") % 20 == 0, F.lit(None).cast("long"))
          .otherwise(F.col("user_id")).alias("user_id"),
-        (_k() % 16).cast("int").alias("device_id"),
+        F.when(F.col("event_id") % 11 != 0, (_k() % 16).cast("int")).alias("device_id"),
         F.concat(F.col("event_type"), F.lit(".example.com")).alias("host"),
         F.concat((F.col("user_id") % 25).cast("string"), F.lit("."), F.col("event_type")).alias("subhost"),
         F.concat(F.lit("10.0.0."), (F.col("user_id") % 2).cast("string")).alias("ip"),
@@ -107,9 +109,22 @@ def game_details(spark: SparkSession, sf_dir: str, with_game_date: bool = False)
     )
 
 
-def players(spark: SparkSession, sf_dir: str, last_season: int = 2001) -> DataFrame:
+def last_year(spark: SparkSession, sf_dir: str) -> int:
+    """The newest order year of the data: the last actor-film year and season."""
+    return load(spark, sf_dir, "orders").agg(F.max(F.year("o_orderdate"))).first()[0]
+
+
+def event_days(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    """The first and the last (as-of) day of the events."""
+    day = F.to_date("ts")
+    return tuple(load(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first())
+
+
+def players(spark: SparkSession, sf_dir: str, last_season: int | None = None) -> DataFrame:
     """player_name, current_season, is_active: every season from a customer's
-    first order up to ``last_season``; active when it ordered that year."""
+    first order up to ``last_season`` (default: the data's newest); active
+    when it ordered that year."""
+    last_season = last_year(spark, sf_dir) if last_season is None else last_season
     o = load(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").cast("int").alias("y"))
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
     seasons = (o.groupBy("o_custkey")
@@ -133,14 +148,19 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per match and player; each match also has a host player (a negative
+    tag) without kills, who never wins a medal."""
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
-    return (li.groupBy(F.col("l_orderkey").alias("match_id"), F.col("l_suppkey").alias("player_gamertag"))
-              .agg(F.sum("l_quantity").cast("long").alias("player_total_kills")))
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    played = (li.groupBy(F.col("l_orderkey").alias("match_id"), F.col("l_suppkey").alias("player_gamertag"))
+                .agg(F.sum("l_quantity").cast("long").alias("player_total_kills")))
+    hosts = o.select(F.col("o_orderkey").alias("match_id"), (-F.col("o_custkey") - 1).alias("player_gamertag"),
+                     F.lit(0).cast("long").alias("player_total_kills"))
+    return played.unionByName(hosts)
 
 
 def medals_matches_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = (load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber")
-          .where(F.col("l_linenumber") <= 4))
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber")
     p = load(spark, sf_dir, "part").select("p_partkey", "p_brand")
     return (li.join(p, li.l_partkey == p.p_partkey, "inner")
               .select(F.col("l_orderkey").alias("match_id"),

@@ -29,10 +29,10 @@ def parquet_source(spark: SparkSession, path: str, schema: StructType,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if not path.endswith("/") and path.endswith(".parquet"):
-        # a single file: stream it through a glob rooted at its folder
+        # a single file (or a folder of that name): stream the folder above it, that name only
         folder, name = path.rsplit("/", 1)
         reader = reader.option("basePath", folder)
-        path = f"{folder}/{name[:-len('.parquet')]}*.parquet"
+        path = f"{folder}/{{{name}}}"
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
@@ -78,10 +78,24 @@ def run_to_parquet(df: DataFrame, out_path: str, checkpoint: str, available_now:
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     q = w.start()
     if available_now:
-        q.awaitTermination(timeout_s)
+        _drain(q, timeout_s)
     return q
 
 
+def _drain(q, timeout_s: float | None) -> None:
+    """Wait until the query ends by itself; stop it and raise if it does not in time."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"the stream was not drained within {timeout_s} s; its sink is incomplete")
+
+
+def late_rows(q) -> int:
+    """Rows dropped behind the watermark so far, from the query's progress reports."""
+    return sum(int(s.get("numRowsDroppedByWatermark", 0)) for p in q.recentProgress for s in p["stateOperators"])
+
+
 def start_session_job(stream: DataFrame, out_path: str, checkpoint: str,
                       interval: str = "10 seconds"):
     """The long-running form (T5, T7): sessions of a live source (e.g.
@@ -94,7 +108,11 @@ def start_session_job(stream: DataFrame, out_path: str, checkpoint: str,
 
 def stream_sessions(spark: SparkSession, events_path: str, to_web_events, schema: StructType,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run the session job over ``events_path`` to completion; return the sink."""
+    """Run the session job over ``events_path`` to completion; return the sink.
+
+    Sessions of one key merge inside each task before the shuffle, so a busy
+    key sends one row per open session and task, not one per event."""
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     base = shared_path(spark, "stream_sessions")
     src = parquet_source(spark, events_path, schema, max_files_per_trigger)
     web = to_web_events(src).withColumn("event_timestamp", F.col("event_time").cast("timestamp"))
@@ -109,9 +127,20 @@ _SINK_SCHEMA = StructType([
     StructField("num_hits", LongType())])
 
 
-def foreach_batch_upsert(path: str, keys: list[str], partition_col: str):
-    """A ``foreachBatch`` sink that merges each micro-batch into a
-    keyed Parquet table (latest wins per key, touched partitions rewritten).
+def foreach_batch_append(path: str, partition_col: str | None = None):
+    """A ``foreachBatch`` sink that appends the raw rows of each batch into a
+    folder of its own (``batch=<id>``); a replayed batch replaces its folder."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        w = batch.write.mode("overwrite")
+        (w.partitionBy(partition_col) if partition_col else w).parquet(f"{path}/batch={batch_id}")
+
+    return sink
+
+
+def foreach_batch_upsert(path: str, keys: list[str], partition_col: str, order_by):
+    """A ``foreachBatch`` sink that merges each micro-batch into a keyed
+    Parquet table (of duplicate keys the first by ``order_by`` wins, touched
+    partitions rewritten).
 
     A replayed batch (after a failure) merges the same rows again and leaves
     the table unchanged, so the sink is idempotent."""
@@ -120,7 +149,7 @@ def foreach_batch_upsert(path: str, keys: list[str], partition_col: str):
     def sink(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        upsert_partitions(batch.sparkSession, path, batch, keys, partition_col)
+        upsert_partitions(batch.sparkSession, path, batch, keys, partition_col, order_by)
 
     return sink
 
@@ -130,5 +159,5 @@ def run_foreach_batch(df: DataFrame, sink, checkpoint: str, available_now: bool
     q = (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
            .foreachBatch(sink).trigger(availableNow=available_now).start())
     if available_now:
-        q.awaitTermination(timeout_s)
+        _drain(q, timeout_s)
     return q
