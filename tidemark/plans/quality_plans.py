@@ -298,9 +298,9 @@ SELECT host, date, hits, 'final' AS status FROM daily""", "web_events"),
     "q10_dominant_sources": with_views(f"""
 WITH d AS (SELECT CAST(event_time AS DATE) AS day, device_id FROM web_events),
 per AS (SELECT day, device_id, count(*) AS n FROM d GROUP BY day, device_id),
-fl AS (SELECT day, device_id FROM (SELECT *, n / sum(n) OVER (PARTITION BY day) AS share FROM per)
+fl AS (SELECT day, device_id, true AS b FROM (SELECT *, n / sum(n) OVER (PARTITION BY day) AS share FROM per)
        WHERE share > {DOMINANT_SHARE}),
-j AS (SELECT d.day, d.device_id, fl.device_id IS NOT NULL AS bot
+j AS (SELECT d.day, d.device_id, fl.b IS NOT NULL AS bot
       FROM d LEFT JOIN fl ON fl.day = d.day AND fl.device_id IS NOT DISTINCT FROM d.device_id)
 SELECT day, count(*) AS rows, count(*) FILTER (WHERE bot) AS dropped, count(*) FILTER (WHERE NOT bot) AS kept,
        count(DISTINCT CASE WHEN bot THEN device_id END) AS sources_dropped
