@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.staging import row_key, staged
 from tidemark.llm.substring_dedup import covered
 from tidemark.llm.textbytes import SpanHash, fill_text, mix64, pieces
-from tidemark.llm.window_counts import PACKED, _count_bucket, _told, bucket_count, listed, pack, per_key, repeated
+from tidemark.llm.window_counts import MARKS, PACKED, SEGMENTS, TOLD, Told, answer, bucket_count, count_rows, listed, pack, packed_table, repeated, rows_by_key
 
 LENGTH = 400
 GRAM = 64
@@ -49,8 +49,6 @@ GRAM = 64
 HOT_PLACES, HOT_LIST = 3000, 2_000_000
 #: Window starts handled at a time; bytes indexed at a time (a group is never cut).
 BLOCK, INDEX_BYTES = 4_000_000, 1_000_000
-#: Kind of packed rows that hold segments.
-SEGMENTS = 3
 SEPARATOR = 0xFF
 
 _GRAMS = SpanHash(41)
@@ -198,10 +196,10 @@ def _ranges(mask: np.ndarray, shift: int) -> np.ndarray:
     return (edge + shift).astype(np.int64)
 
 
-def _index_bucket(length: int):
+def _index_bucket(length: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         is_segment = table.column("kind").to_numpy() == SEGMENTS
-        told = [_count_bucket(table.filter(pa.array(~is_segment)))]
+        told = count_rows(table.filter(pa.array(~is_segment)), buckets)
         part = table.filter(pa.array(is_segment))
         seen: dict[tuple[int, bytes], int] = {}
         places: list[tuple[int, int, int]] = []
@@ -221,8 +219,7 @@ def _index_bucket(length: int):
             anchors = np.array([a for a, _ in items], np.int64)
             order = np.argsort(anchors, kind="stable")
             texts = [items[i][1] for i in order]
-            windows = np.array([len(t) - length + 1 for t in texts])
-            masks = _mark_groups(anchors[order], texts, windows, length)
+            masks = _mark_groups(anchors[order], texts, np.array([len(t) - length + 1 for t in texts]), length)
             by = dict(zip(order.tolist(), range(len(order))))
             keys, data = [], []
             for which, rk, start in places:
@@ -232,11 +229,8 @@ def _index_bucket(length: int):
                     keys.append(rk)
                     data.append(pairs)
             if keys:
-                flat = np.concatenate(data).view(np.uint64)
-                batch = _told(np.array(keys, np.int64), np.array([len(d) for d in data]), flat)
-                told.append(pa.Table.from_batches([batch.append_column("ranges", pa.array([True] * len(keys)))]))
-        told[0] = told[0].append_column("ranges", pa.array([False] * told[0].num_rows, pa.bool_()))
-        return pa.concat_tables(told)
+                told += rows_by_key(MARKS, buckets, np.array(keys, np.int64), np.array([len(d) for d in data]), np.concatenate(data).view(np.uint64))
+        return packed_table(told)
     return run
 
 
@@ -284,86 +278,65 @@ def _segment_rows(bucket: np.ndarray, key: np.ndarray, anchor: np.ndarray, start
                             *(pa.array(c, pa.binary()) for c in rows[1:])], names=["bucket", "kind", "keys", "sizes", "hashes"])
 
 
-def _candidates(length: int, gram: int, buckets: int, hot: np.ndarray, macro: int = 8_000_000):
+def _candidates(length: int, gram: int, buckets: int, hot: np.ndarray):
     """Segments of repeated anchors, and packed window hashes of the hot ones."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        known, keys = Told(told, TOLD), docs.column("rk").to_numpy()
         hashed: list = []
         held: list = []
-        size = 0
-
-        def flush():
-            cols = [np.concatenate(c) for c in list(zip(*held))[:4]]
-            texts = [t for h in held for t in h[4]]
-            yield _segment_rows((cols[1] % np.uint64(buckets)).astype(np.int64), cols[0], cols[1], cols[2], cols[3], texts)
-
-        def scan():
-            for b in batches:
-                keys, told = b.column("rk").to_numpy(), b.column("told")
-                for i, j, raw, off in pieces(fill_text(b.column("text"))):
-                    known = [told[k].as_py() for k in range(i, j)]
-                    if not any(known):
-                        continue
-                    text, anchor, start, windows = segments(raw, off, length, gram)
-                    first = np.searchsorted(text, np.arange(j - i + 1))
-                    again = np.concatenate([listed(anchor[first[k]: first[k + 1]], known[k]) for k in range(j - i)])
-                    is_hot = again & np.isin(anchor, hot)
-                    if is_hot.any():
-                        at = np.repeat(start[is_hot] - np.cumsum(windows[is_hot]) + windows[is_hot], windows[is_hot]) + np.arange(windows[is_hot].sum())
-                        h = mix64(_WINDOWS.spans(_WINDOWS.table[raw], at, at + length))
-                        owner = np.bincount(np.repeat(text[is_hot], windows[is_hot]), minlength=j - i)
-                        hashed.append((keys[i:j], owner, h))
-                    pick = np.flatnonzero(again & ~is_hot)
-                    whole = raw.tobytes()
-                    yield (keys[i:j][text[pick]], anchor[pick], start[pick] - off[text[pick]], windows[pick],
-                           [whole[s: s + w + length - 1] for s, w in zip(start[pick].tolist(), windows[pick].tolist())])
-
-        for got in scan():
-            held.append(got)
-            size += sum(map(len, got[4]))
-            if size >= macro:
-                yield from flush()
-                held, size = [], 0
-            if sum(len(x[2]) for x in hashed) >= 2_500_000:
-                yield from pack(iter(hashed), buckets)
-                hashed.clear()
+        for i, j, raw, off in pieces(fill_text(docs.column("text"))):
+            mine = [known.of(k) for k in keys[i:j]]
+            if not any(map(len, mine)):
+                continue
+            text, anchor, start, windows = segments(raw, off, length, gram)
+            first = np.searchsorted(text, np.arange(j - i + 1))
+            again = np.concatenate([listed(anchor[first[k]: first[k + 1]], mine[k]) for k in range(j - i)])
+            is_hot = again & np.isin(anchor, hot)
+            if is_hot.any():
+                at = np.repeat(start[is_hot] - np.cumsum(windows[is_hot]) + windows[is_hot], windows[is_hot]) + np.arange(windows[is_hot].sum())
+                h = mix64(_WINDOWS.spans(_WINDOWS.table[raw], at, at + length))
+                hashed.append((keys[i:j], np.bincount(np.repeat(text[is_hot], windows[is_hot]), minlength=j - i), h))
+            pick = np.flatnonzero(again & ~is_hot)
+            whole = raw.tobytes()
+            held.append((keys[i:j][text[pick]], anchor[pick], start[pick] - off[text[pick]], windows[pick],
+                         [whole[s: s + w + length - 1] for s, w in zip(start[pick].tolist(), windows[pick].tolist())]))
+        out = list(pack(iter(hashed), buckets))
         if held:
-            yield from flush()
-        if hashed:
-            yield from pack(iter(hashed), buckets)
+            key, anchor, start, windows = (np.concatenate(c) for c in list(zip(*held))[:4])
+            out.append(_segment_rows((anchor % np.uint64(buckets)).astype(np.int64), key, anchor, start, windows, [t for h in held for t in h[4]]))
+        return pa.Table.from_batches(out) if out else packed_table([])
     return run
 
 
-def _cut(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ranges, told = b.column("marks"), b.column("told")
-            for i, j, raw, off in pieces(fill_text(b.column("text"))):
-                rows: list[list] = [[], [], [], [], []]
-                for k in range(j - i):
-                    part = raw[off[k]: off[k + 1]]
-                    mask = np.zeros(max(len(part) - length + 1, 0), np.int64)
-                    if marks := ranges[i + k].as_py():
-                        pairs = np.frombuffer(b"".join(marks), np.int64).reshape(-1, 2)
-                        edge = np.zeros(len(mask) + 1, np.int64)
-                        np.add.at(edge, pairs[:, 0], 1)
-                        np.add.at(edge, pairs[:, 1], -1)
-                        mask = np.cumsum(edge[:-1])
-                    if known := told[i + k].as_py():
-                        at = np.arange(len(mask))
-                        mask = mask + listed(mix64(_WINDOWS.spans(_WINDOWS.table[part], at, at + length)), known)
-                    gone = covered(mask > 0, len(part), length) if mask.any() else np.zeros(len(part), bool)
-                    spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (len(gone) > 0 and gone[0]))
-                    kept = part[~gone].tobytes()
-                    for column, v in zip(rows, (len(part), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept)):
-                        column.append(v)
-                yield pa.record_batch([b.column("doc_id").slice(i, j - i), *(pa.array(c, pa.int64()) for c in rows[:3]),
-                                       pa.array(rows[3], pa.string()), pa.array(rows[4], pa.binary())],
-                                      names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+def _cut(length: int, with_kept: bool):
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        marks, hashes, keys = Told(told, MARKS), Told(told, TOLD), docs.column("rk").to_numpy()
+        rows: list[list] = [[], [], [], [], []]
+        for i, j, raw, off in pieces(fill_text(docs.column("text"))):
+            for k in range(j - i):
+                part = raw[off[k]: off[k + 1]]
+                mask = np.zeros(max(len(part) - length + 1, 0), np.int64)
+                if len(pairs := marks.of(keys[i + k]).view(np.int64).reshape(-1, 2)):
+                    edge = np.zeros(len(mask) + 1, np.int64)
+                    np.add.at(edge, pairs[:, 0], 1)
+                    np.add.at(edge, pairs[:, 1], -1)
+                    mask = np.cumsum(edge[:-1])
+                if len(known := hashes.of(keys[i + k])):
+                    at = np.arange(len(mask))
+                    mask = mask + listed(mix64(_WINDOWS.spans(_WINDOWS.table[part], at, at + length)), known)
+                gone = covered(mask > 0, len(part), length) if mask.any() else np.zeros(len(part), bool)
+                spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (len(gone) > 0 and gone[0]))
+                kept = part[~gone].tobytes()
+                for column, v in zip(rows, (len(part), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept if with_kept else None)):
+                    column.append(v)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+        return pa.table([docs.column("doc_id"), *(pa.array(c, t) for c, t in zip(rows, kinds))],
+                        names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
     return run
 
 
-def remove_long_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_places: int = HOT_PLACES) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes) of every document."""
+def remove_long_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_places: int = HOT_PLACES, with_kept: bool = True) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes; null unless ``with_kept``) of every document."""
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("rk"), "text")
     texts = src.select("rk", "text")
@@ -371,20 +344,17 @@ def remove_long_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     total = places.agg(F.sum("n")).first()[0] or 0
     cap = max(hot_places, total // HOT_LIST)
     hot = np.array([r["anchor"] for r in places.where(F.col("n") > cap).select("anchor").collect()], np.int64).view(np.uint64)  # at most HOT_LIST
-    buckets = bucket_count(src, total // 4)
-    told = per_key(repeated(texts.mapInArrow(_anchor_windows(length, gram, bucket_count(src, 0)), PACKED)))
-    both = texts.join(told.hint("shuffle_hash"), texts["rk"] == told["key"], "inner").select("rk", "text", "told")
-    packed = both.mapInArrow(_candidates(length, gram, buckets, hot), PACKED)
-    found = staged(spark, packed.groupBy("bucket").applyInArrow(_index_bucket(length), "key long, hashes binary, ranges boolean"), "long-matches")
-    some = F.octet_length("hashes") > 0
-    marks = found.where(some).groupBy("key").agg(F.collect_list(F.when(F.col("ranges"), F.col("hashes"))).alias("marks"),
-                                                 F.collect_list(F.when(~F.col("ranges"), F.col("hashes"))).alias("told"))
-    out = src.join(marks.hint("shuffle_hash"), src["rk"] == marks["key"], "left").select("doc_id", "text", "marks", "told")
-    return out.mapInArrow(_cut(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    text_bytes = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = bucket_count(src, text_bytes // 6)
+    told = repeated(texts.mapInArrow(_anchor_windows(length, gram, buckets), PACKED), buckets)
+    packed = answer(texts, told, buckets, _candidates(length, gram, buckets, hot), PACKED)
+    found = packed.groupBy("bucket").applyInArrow(_index_bucket(length, buckets), PACKED)
+    return answer(src, staged(spark, found, "long-matches"), buckets, _cut(length, with_kept),
+                  "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_long_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept")
+    return remove_long_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_kept=False).drop("kept")
 
 
 QUERIES = {"op9_runlength_index": query}

@@ -44,20 +44,18 @@ def write_sorted(df: DataFrame, path: str, n_files: int, cols: Sequence[str]) ->
 
 
 def file_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Total bytes and file count of a Parquet table, from the file
-    metadata column (no data pages are decoded)."""
-    files = (spark.read.parquet(path)
-                  .select(F.col("_metadata.file_path").alias("file_path"),
-                          F.col("_metadata.file_size").alias("file_size"))
-                  .distinct())
-    return files.agg(F.sum("file_size").cast("bigint").alias("size_bytes"),
+    """Total bytes and file count of a Parquet table, from a listing with one
+    row per file (no file is opened)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+                  .load(path).select("path", "length"))
+    return files.agg(F.sum("length").cast("bigint").alias("size_bytes"),
                      F.count(F.lit(1)).alias("num_files"))
 
 
 def layout_experiment(fact: DataFrame, variants: Sequence[tuple[str, int, Sequence[str]]],
                       base: str | None = None) -> DataFrame:
     """C20: write ``fact`` once (D36), then each (label, n_files, sort columns)
-    layout from that copy, and report size and file count per layout."""
+    layout from that copy, and report rows, size and file count per layout."""
     spark = fact.sparkSession
     base = base or shared_path(spark, "layout")
     src = f"{base}/fact"
@@ -67,8 +65,9 @@ def layout_experiment(fact: DataFrame, variants: Sequence[tuple[str, int, Sequen
     for label, n, cols in variants:
         path = f"{base}/{label}_{n:02d}"
         write_sorted(staged, path, n, cols)
-        row = file_stats(spark, path).select(F.lit(label).alias("layout"),
-                                             F.lit(n).alias("n_partitions"), "size_bytes", "num_files")
+        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))  # from the file footers
+        row = file_stats(spark, path).crossJoin(rows).select(
+            F.lit(label).alias("layout"), F.lit(n).alias("n_partitions"), "rows", "size_bytes", "num_files")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -81,6 +80,15 @@ def create_bucketed_table(spark: SparkSession, table: str, columns_ddl: str, key
               f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
 
 
+def create_table_as(spark: SparkSession, df: DataFrame, table: str, path: str) -> DataFrame:
+    """CREATE TABLE AS SELECT at ``path``; the result is computed once and
+    every later query reads the table."""
+    df.createOrReplaceTempView(f"{table}_source")
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}' AS SELECT * FROM {table}_source")
+    spark.catalog.dropTempView(f"{table}_source")
+    return spark.table(table)
+
+
 def append_by_name(df: DataFrame, table: str) -> None:
     """Append into an existing table matching columns by name (not position, S9)."""
     cols = df.sparkSession.table(table).columns

@@ -32,8 +32,12 @@ def winners(games: DataFrame) -> DataFrame:
          .when(F.col("home_team_wins") == 0, F.col("visitor_team_id")).alias("won_team_id"))
 
 
-def game_rollup(details: DataFrame, games: DataFrame, teams: DataFrame) -> DataFrame:
-    """Points and wins by GROUPING SETS (player, team), (player, season), (team).
+ROLLUP_SETS = (("player_name", "team_name"), ("player_name", "season"), ("team_name",))
+
+
+def game_rollup(details: DataFrame, games: DataFrame, teams: DataFrame, sets=ROLLUP_SETS) -> DataFrame:
+    """Points and wins by GROUPING SETS (player, team), (player, season), (team);
+    ``sets`` limits the work to the groupings that are asked for.
 
     wins = distinct games won (D23); ``grouping_set`` = grouping_id over
     (player_name, team_name, season) tells subtotal rows from real values (D24).
@@ -50,8 +54,7 @@ def game_rollup(details: DataFrame, games: DataFrame, teams: DataFrame) -> DataF
         F.col("game_id"),
         (F.col("won_team_id") == F.col("team_id")).alias("did_win"),
         F.coalesce(F.col("pts"), F.lit(0)).alias("pts"))
-    return (inp.groupingSets([["player_name", "team_name"], ["player_name", "season"], ["team_name"]],
-                             "player_name", "team_name", "season")
+    return (inp.groupingSets([list(s) for s in sets], "player_name", "team_name", "season")
                .agg(F.sum("pts").cast("bigint").alias("total_points"),
                     F.count_distinct(F.when(F.col("did_win"), F.col("game_id"))).alias("total_wins"),
                     F.grouping_id("player_name", "team_name", "season").alias("grouping_set")))

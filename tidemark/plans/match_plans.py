@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import layout
 from tidemark.operators import matches as mt
+from tidemark.operators.upsert import write_period
 from tidemark.plans.oracle_views import with_views
 from tidemark.session import shared_path
 from tidemark.sources import fixtures as fx
@@ -61,7 +62,30 @@ def c19_medal_per_map(spark, sf_dir):
 
 
 def c20_layout_experiment(spark, sf_dir):
-    return layout.layout_experiment(fact(spark, sf_dir), LAYOUTS)
+    """Rows written per layout and whether it kept to its file count; the sizes
+    depend on the encoder, so they are left to the operator's own report."""
+    out = layout.layout_experiment(fact(spark, sf_dir), LAYOUTS)
+    return out.select("layout", "n_partitions", "rows", (F.col("num_files") <= F.col("n_partitions")).alias("files_within"))
+
+
+def s05_ddl_table(spark, sf_dir):
+    """Typed DDL, partitioned and bucketed; rows appended by name from another column order, then read back."""
+    path, table = shared_path(spark, "ddl"), f"matches_ddl_{uuid.uuid4().hex[:8]}"
+    layout.create_bucketed_table(spark, table, "match_id BIGINT, completion_date DATE, mapid BIGINT, playlist_id STRING",
+                                 "match_id", BUCKETS, path, "playlist_id")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    layout.append_by_name(fx.matches(spark, sf_dir).select("playlist_id", "mapid", "match_id", "completion_date"), table)
+    spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
+    return spark.read.parquet(path).select("match_id", "completion_date", "mapid", "playlist_id")
+
+
+def s06_period_table(spark, sf_dir):
+    """A season-partitioned table; every season is written, the newest one twice."""
+    path = shared_path(spark, "seasons")
+    games = fx.games(spark, sf_dir)
+    write_period(games, path, "season")
+    write_period(games.where(F.col("season") == fx.last_year(spark, sf_dir)), path, "season")
+    return spark.read.parquet(path).groupBy("season").agg(F.count(F.lit(1)).alias("games"), F.sum("home_team_id").cast("bigint").alias("home_sum"))
 
 
 def j12_bucketed_match_fact(spark, sf_dir):
@@ -77,7 +101,10 @@ def j12_bucketed_match_fact(spark, sf_dir):
     p = layout.write_bucketed(fx.medals_matches_players(spark, sf_dir), f"medals_players_b{tag}",
                               "match_id", BUCKETS, f"{base}/medals_players")
     mm = mt.medal_map(p, fx.medals(spark, sf_dir), prepartition=False)
-    return _flat(mt.match_fact(m, d, mm, fx.maps(spark, sf_dir)))
+    out = _flat(mt.match_fact(m, d, mm, fx.maps(spark, sf_dir)))
+    for name in ("matches", "match_details", "medals_players"):  # external tables: the files stay for ``out``
+        spark.sql(f"DROP TABLE {name}_b{tag}")
+    return out
 
 
 QUERIES = {
@@ -89,6 +116,8 @@ QUERIES = {
     "c19_medal_per_map": c19_medal_per_map,
     "c20_layout_experiment": c20_layout_experiment,
     "j12_bucketed_match_fact": j12_bucketed_match_fact,
+    "s05_ddl_table": s05_ddl_table,
+    "s06_period_table": s06_period_table,
 }
 
 _REPAIR = " ".join(f"WHEN name = '{n}' THEN '{i}'" for n, i in mt.MEDAL_ID_REPAIRS.items())
@@ -135,3 +164,10 @@ FROM fact f JOIN mc ON mc.match_id = f.match_id AND mc.player_gamertag = f.playe
 WHERE mc.medal_name = '{MEDAL_OF_INTEREST}'
 GROUP BY f.map_name""", *_VIEWS),
 }
+
+ORACLE["c20_layout_experiment"] = with_views(_FACT + """
+SELECT l.layout, l.n AS n_partitions, (SELECT count(*) FROM fact) AS rows, true AS files_within
+FROM (VALUES """ + ", ".join(f"('{label}', {n})" for label, n, _ in LAYOUTS) + ") AS l(layout, n)", *_VIEWS)
+ORACLE["s05_ddl_table"] = with_views("SELECT match_id, completion_date, mapid, playlist_id FROM matches", "matches")
+ORACLE["s06_period_table"] = with_views(
+    "SELECT season, count(*) AS games, CAST(sum(home_team_id) AS BIGINT) AS home_sum FROM games GROUP BY season", "games")

@@ -77,10 +77,13 @@ VIEWS: dict[str, str] = {
         FROM lineitem GROUP BY l_orderkey, l_suppkey
         UNION ALL SELECT o_orderkey, -o_custkey - 1, 0 FROM orders""",
     "medals_matches_players": """
-        SELECT l.l_orderkey AS match_id, l.l_suppkey AS player_gamertag, p.p_brand AS medal_id,
+        SELECT l.l_orderkey AS match_id, l.l_suppkey AS player_gamertag,
+               CASE p.p_brand WHEN 'Brand#3' THEN '2896365521' WHEN 'Brand#5' THEN '1080468863' ELSE p.p_brand END AS medal_id,
                CAST(l.l_linenumber AS BIGINT) AS medal_count
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
-    "medals": "SELECT p_brand AS medal_id, p_brand AS name FROM part",
+    "medals": """
+        SELECT p_brand AS medal_id, CASE p_brand WHEN 'Brand#3' THEN 'Team Takedown' WHEN 'Brand#5' THEN 'Perfect Kill'
+               WHEN 'Brand#9' THEN NULL ELSE p_brand END AS name FROM part""",
     "maps": "SELECT CAST(n_nationkey AS BIGINT) AS mapid, n_name AS name FROM nation",
     "fx_rates": """
         SELECT o_orderpriority AS ccy, CAST(o_orderdate AS DATE) AS rate_date,

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators import sessions as ss
 from tidemark.plans.oracle_views import with_views
+from tidemark.session import shared_path
 from tidemark.sources import fixtures as fx
 from tidemark.sources.tables import load, table_path
-from tidemark.streaming.sessions_stream import stream_sessions
+from tidemark.streaming.sessions_stream import decode_json_events, foreach_batch_append, run_foreach_batch, stream_sessions
 
 GAP_SECONDS = 300
 LATENESS_SECONDS = 10
@@ -48,7 +50,22 @@ def c16_host_group_compare(spark, sf_dir):
     return ss.compare_host_groups(batch_sessions(spark, sf_dir), HOST_GROUPS, FALLBACK)
 
 
+def t01_text_events(spark, sf_dir):
+    """Events as JSON text with an ISO time, streamed, decoded and
+    appended raw batch by batch; read back with the event time as a timestamp."""
+    base = shared_path(spark, "text_events")
+    e = fx.web_events(spark, sf_dir)
+    iso = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    e.select(F.to_json(F.struct("event_id", "ip", "host", iso.alias("event_time"))).alias("value")).write.text(f"{base}/in")
+    raw = spark.readStream.schema("value string").text(f"{base}/in")
+    decoded = decode_json_events(raw, StructType.fromDDL("event_id long, ip string, host string, event_time string"))
+    run_foreach_batch(decoded, foreach_batch_append(f"{base}/out"), f"{base}/checkpoint").stop()
+    out = spark.read.schema(decoded.schema).parquet(f"{base}/out/batch=*")
+    return out.select("event_id", "ip", "host", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"))
+
+
 QUERIES = {
+    "t01_text_events": t01_text_events,
     "c15_sessionize": c15_sessionize,
     "c15_stream_sessions": c15_stream_sessions,
     "c16_avg_hits_for_host": c16_avg_hits_for_host,
@@ -75,6 +92,7 @@ s AS (
 _GROUP_CASE = " ".join(f"WHEN host LIKE '%{p}%' THEN '{label}'" for p, label in HOST_GROUPS)
 
 ORACLE = {
+    "t01_text_events": with_views("SELECT event_id, ip, host, date_trunc('millisecond', event_time) AS event_timestamp FROM web_events", "web_events"),
     "c15_sessionize": with_views(_SESSIONS + "SELECT * FROM s", "web_events"),
     "c15_stream_sessions": with_views(_SESSIONS + f"""
 SELECT * FROM s

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.ip import long_to_ipv4
@@ -159,20 +159,36 @@ def match_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return played.unionByName(hosts)
 
 
+# Brand -> (medal name, id that players' rows carry): the two repaired medals.
+REPAIRED_BRANDS = {"Brand#3": ("Team Takedown", "2896365521"), "Brand#5": ("Perfect Kill", "1080468863")}
+NAMELESS_BRAND = "Brand#9"
+
+
+def _medal_id() -> Column:
+    out = F.col("p_brand")
+    for brand, (_, medal_id) in REPAIRED_BRANDS.items():
+        out = F.when(F.col("p_brand") == brand, F.lit(medal_id)).otherwise(out)
+    return out
+
+
 def medals_matches_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber")
     p = load(spark, sf_dir, "part").select("p_partkey", "p_brand")
     return (li.join(p, li.l_partkey == p.p_partkey, "inner")
               .select(F.col("l_orderkey").alias("match_id"),
                       F.col("l_suppkey").alias("player_gamertag"),
-                      F.col("p_brand").alias("medal_id"),
+                      _medal_id().alias("medal_id"),
                       F.col("l_linenumber").cast("long").alias("medal_count")))
 
 
 def medals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per part: many duplicate (medal_id, name) rows."""
+    """One row per part: many duplicate (medal_id, name) rows.  Two brands carry the
+    names whose ids are repaired (their raw id is wrong), one has no name."""
     p = load(spark, sf_dir, "part").select("p_brand")
-    return p.select(F.col("p_brand").alias("medal_id"), F.col("p_brand").alias("name"))
+    name = F.col("p_brand")
+    for brand, (medal, _) in REPAIRED_BRANDS.items():
+        name = F.when(F.col("p_brand") == brand, F.lit(medal)).otherwise(name)
+    return p.select(F.col("p_brand").alias("medal_id"), F.when(F.col("p_brand") != NAMELESS_BRAND, name).alias("name"))
 
 
 def maps(spark: SparkSession, sf_dir: str) -> DataFrame:
