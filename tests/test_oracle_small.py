@@ -9,7 +9,7 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as ent
+from tidemark.plans import all_oracles, all_queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -35,12 +35,12 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(ent.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(all_oracles()))
 def test_query_matches_oracle(spark, con, key):
-    sdf = ent.queries()[key](spark, SF)
+    sdf = all_queries()[key](spark, SF)
     cols = sorted(sdf.columns)
     got = sorted("|".join(_render(r[c]) for c in cols) for r in sdf.collect())
-    rel = con.sql(ent.oracle_sql()[key])
+    rel = con.sql(all_oracles()[key])
     assert sorted(rel.columns) == cols
     idx = [rel.columns.index(c) for c in cols]
     exp = sorted("|".join(_render(r[i]) for i in idx) for r in rel.fetchall())

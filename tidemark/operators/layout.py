@@ -66,8 +66,8 @@ def layout_experiment(fact: DataFrame, variants: Sequence[tuple[str, int, Sequen
         path = f"{base}/{label}_{n:02d}"
         write_sorted(staged, path, n, cols)
         rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))  # from the file footers
-        row = file_stats(spark, path).crossJoin(rows).select(
-            F.lit(label).alias("layout"), F.lit(n).alias("n_partitions"), "rows", "size_bytes", "num_files")
+        row = file_stats(spark, path).unionByName(rows, allowMissingColumns=True).groupBy(
+            F.lit(label).alias("layout"), F.lit(n).alias("n_partitions")).agg(*[F.max(c).alias(c) for c in ("rows", "size_bytes", "num_files")])
         out = row if out is None else out.unionByName(row)
     return out
 

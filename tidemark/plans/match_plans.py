@@ -73,7 +73,6 @@ def s05_ddl_table(spark, sf_dir):
     path, table = shared_path(spark, "ddl"), f"matches_ddl_{uuid.uuid4().hex[:8]}"
     layout.create_bucketed_table(spark, table, "match_id BIGINT, completion_date DATE, mapid BIGINT, playlist_id STRING",
                                  "match_id", BUCKETS, path, "playlist_id")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     layout.append_by_name(fx.matches(spark, sf_dir).select("playlist_id", "mapid", "match_id", "completion_date"), table)
     spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
     return spark.read.parquet(path).select("match_id", "completion_date", "mapid", "playlist_id")
