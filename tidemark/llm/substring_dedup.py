@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.staging import row_key
 from tidemark.llm.textbytes import SPACE, SpanHash, fill_text, mix64, pieces, word_hashes, words_of
-from tidemark.llm.window_counts import PACKED, bucket_count, listed, pack, per_key, repeated
+from tidemark.llm.window_counts import PACKED, TOLD, Told, answer, bucket_count, listed, pack, repeated
 
 WINDOW = 35
 _ROLL = SpanHash(23)
@@ -67,27 +67,25 @@ def _windows(window: int, buckets: int):
 
 
 def _cut(window: int, with_text: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            told = b.column("told")
-            for i, j, raw, off in pieces(fill_text(b.column("text"))):
-                s, e, words, size, h = window_hashes(raw, off, window)
-                whole = raw.tobytes()
-                rows: list[list] = [[], [], []]
-                texts = []
-                word, at = 0, 0
-                for k in range(j - i):
-                    n, m = int(words[k]), int(size[k])
-                    gone = covered(listed(h[at: at + m], told[i + k].as_py()), n, window)
-                    keep = np.flatnonzero(~gone) + word
-                    kept = b" ".join([whole[a:z] for a, z in zip(s[keep].tolist(), e[keep].tolist())])
-                    for column, v in zip(rows, (n, int(gone.sum()), hashlib.sha256(kept).hexdigest())):
-                        column.append(v)
-                    texts.append(kept.decode() if with_text else None)
-                    word, at = word + n, at + m
-                yield pa.record_batch([b.column("doc_id").slice(i, j - i), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()),
-                                       pa.array(rows[2], pa.string()), pa.array(texts, pa.string())],
-                                      names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        known = Told(told, TOLD)
+        keys = docs.column("rk").to_numpy()
+        rows: list[list] = [[], [], [], []]
+        for i, j, raw, off in pieces(fill_text(docs.column("text"))):
+            s, e, words, size, h = window_hashes(raw, off, window)
+            whole = raw.tobytes()
+            word, at = 0, 0
+            for k in range(j - i):
+                n, m = int(words[k]), int(size[k])
+                gone = covered(listed(h[at: at + m], known.of(keys[i + k])), n, window)
+                keep = np.flatnonzero(~gone) + word
+                kept = b" ".join([whole[a:z] for a, z in zip(s[keep].tolist(), e[keep].tolist())])
+                for column, v in zip(rows, (n, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if with_text else None)):
+                    column.append(v)
+                word, at = word + n, at + m
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+        return pa.table([docs.column("doc_id"), *(pa.array(c, t) for c, t in zip(rows, kinds))],
+                        names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
     return run
 
 
@@ -96,9 +94,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("rk"), "text")
     text_bytes = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = bucket_count(src, text_bytes // 6)
-    told = per_key(repeated(src.select("rk", "text").mapInArrow(_windows(window, buckets), PACKED)))
-    both = src.join(told.hint("shuffle_hash"), src["rk"] == told["key"], "left").select("doc_id", "text", "told")
-    return both.mapInArrow(_cut(window, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    told = repeated(src.select("rk", "text").mapInArrow(_windows(window, buckets), PACKED), buckets)
+    return answer(src, told, buckets, _cut(window, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
