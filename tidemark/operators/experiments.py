@@ -37,10 +37,11 @@ def active_days(events: DataFrame, user: str, ts: str) -> DataFrame:
                   .select(F.col(user).alias("user_id"), F.to_date(F.col(ts)).alias("day")).distinct())
 
 
-def retention(days: DataFrame, offsets: Sequence[int] = (1, 7, 28)) -> DataFrame:
-    """Per cohort day (first active day): cohort size and users active exactly
-    N days later, for each N."""
-    first = days.groupBy("user_id").agg(F.min("day").alias("cohort_day"))
+def retention(days: DataFrame, offsets: Sequence[int] = (1, 7, 28), anchors: DataFrame | None = None) -> DataFrame:
+    """Per cohort day: cohort size and users active exactly N days later, for
+    each N.  The cohort starts at the user's first active day, or at the days
+    in ``anchors`` (user_id, cohort_day: returns, upgrades, ...; a user may have several)."""
+    first = days.groupBy("user_id").agg(F.min("day").alias("cohort_day")) if anchors is None else anchors.select("user_id", "cohort_day").distinct()
     j = days.join(first, "user_id", "inner").withColumn("_off", F.datediff("day", "cohort_day"))
     per_user = j.groupBy("user_id", "cohort_day").agg(
         *[F.max((F.col("_off") == n).cast("int")).alias(f"d{n}") for n in offsets])
@@ -49,6 +50,23 @@ def retention(days: DataFrame, offsets: Sequence[int] = (1, 7, 28)) -> DataFrame
         *[F.sum(f"d{n}").cast("bigint").alias(f"retained_d{n}") for n in offsets])
 
 
+def return_days(days: DataFrame, idle: int = 7) -> DataFrame:
+    """Anchors of E2: (user_id, cohort_day) of each active day after more than ``idle`` idle days."""
+    return _gaps(days).where(F.col("gap") > idle).select("user_id", F.col("day").alias("cohort_day"))
+
+
+def churn_by_cell(days: DataFrame, cells: DataFrame, idle: int, as_of=None) -> DataFrame:
+    """Per cell, users with any activity and those of them without any in the
+    last ``idle`` days up to ``as_of`` (default: the newest day)."""
+    if as_of is None:
+        as_of = days.agg(F.max("day")).first()[0]
+    last = days.groupBy("user_id").agg(F.max("day").alias("_last"))
+    gone = F.datediff(F.lit(as_of).cast("date"), F.col("_last")) > idle
+    return (cells.join(last, "user_id", "inner").groupBy("cell")
+                 .agg(F.count(F.lit(1)).alias("users"), F.count_if(gone).alias("churned"))
+                 .withColumn("churn_rate", F.try_divide("churned", "users")))
+
+
 def longest_daily_streak(days: DataFrame, min_run: int = 7) -> DataFrame:
     """Per user the longest run of consecutive active days and whether it
     reaches ``min_run`` (streak survival)."""

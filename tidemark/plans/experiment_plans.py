@@ -63,6 +63,9 @@ def e07_sessions_with_purchase(spark, sf_dir):
     return ex.sessions_with(s, "purchases")
 
 
+CHURN_IDLE = 180
+
+
 def e08_resurrection_rate(spark, sf_dir):
     return ex.resurrection_rate(_order_days(spark, sf_dir).distinct(), 7, 7)
 
@@ -99,6 +102,16 @@ def e13_uplift(spark, sf_dir):
     return ex.uplift(revenue, refunds, cells)
 
 
+def e02_retention_after_return(spark, sf_dir):
+    days = _order_days(spark, sf_dir).distinct()
+    return ex.retention(days, (30, 60, 90), ex.return_days(days, CHURN_IDLE))
+
+
+def e13_churn_by_cell(spark, sf_dir):
+    days = _order_days(spark, sf_dir).distinct()
+    return ex.churn_by_cell(days, ex.assign_cells(days, "user_id", SALT), CHURN_IDLE)
+
+
 def e14_compare_cells(spark, sf_dir):
     w = _web(spark, sf_dir).where(F.col("user_id").isNotNull())
     per_user = (w.groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("purchases"))
@@ -121,6 +134,8 @@ QUERIES = {
     "e12_weekly_engagement": e12_weekly_engagement,
     "e13_uplift": e13_uplift,
     "e14_compare_cells": e14_compare_cells,
+    "e02_retention_after_return": e02_retention_after_return,
+    "e13_churn_by_cell": e13_churn_by_cell,
 }
 
 
@@ -264,3 +279,16 @@ SELECT n0 AS n_control, n1 AS n_treatment, round(m0, 6) AS mean_control, round(m
        round((m1 - m0) / sqrt(v1 / n1 + v0 / n0), 6) AS z_score
 FROM o""", "web_events"),
 }
+
+ORACLE["e02_retention_after_return"] = with_views(f"""
+WITH d AS (SELECT DISTINCT user_id, day FROM activity),
+a AS (SELECT user_id, day AS cohort_day FROM d x
+      WHERE (SELECT max(y.day) FROM d y WHERE y.user_id = x.user_id AND y.day < x.day) < day - {CHURN_IDLE})
+SELECT cohort_day, count(*) AS cohort_size, """ + ", ".join(
+    f"count(*) FILTER (WHERE EXISTS (SELECT 1 FROM d WHERE d.user_id = a.user_id AND d.day = a.cohort_day + {n})) AS retained_d{n}" for n in (30, 60, 90)) + """
+FROM a GROUP BY cohort_day""", "activity")
+ORACLE["e13_churn_by_cell"] = with_views(f"""
+WITH l AS (SELECT user_id, {cell_sql('user_id')} AS cell, max(day) AS last_day FROM activity GROUP BY user_id)
+SELECT cell, count(*) AS users, count(*) FILTER (WHERE (SELECT max(day) FROM activity) - last_day > {CHURN_IDLE}) AS churned,
+       count(*) FILTER (WHERE (SELECT max(day) FROM activity) - last_day > {CHURN_IDLE}) / count(*) AS churn_rate
+FROM l GROUP BY cell""", "activity")
