@@ -27,6 +27,7 @@ import re
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -40,8 +41,8 @@ from tidemark.llm.textbytes import fill_text
 
 CAPACITY = 1024
 END_ID = 2
-#: Entries of a task's word cache before it is emptied.
-CACHE_WORDS = 400_000
+#: Entries of a worker's word cache from which on it takes no more.
+CACHE_WORDS = 700_000
 #: Pieces of one length that a task numbers, about; and parts at most.
 ROWS_PER_SALT, MAX_SALTS = 2_000_000, 4096
 
@@ -57,17 +58,42 @@ def tokenizer_json(path: str | None = None) -> str:
         return f.read()
 
 
+#: Every white-space character but blank and line feed (and some that only look like it), and NUL.
+_RARE = re.compile("[\0\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
 #: A blank before a visible character always starts a new token, whatever precedes it.
-_CUT = re.compile(r"(?<=.)(?= [!-~¡-῿])", re.S)
+_CUT = re.compile("(?<=.)(?= [!-~\u00a1-\u167f])", re.S)
+#: One token run: letters, with a blank before them or not.
+_LETTERS = re.compile("[ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+
+
+def split_words(text: str) -> list[str]:
+    """``text`` cut where the tokenizer surely starts a new token: before each blank
+    and around each line feed if these are single and the only white space, else
+    before blanks that a visible character follows."""
+    if not text:
+        return []
+    if text[-1] in " \n" or any(p in text for p in _PAIRS) or _RARE.search(text):
+        return _CUT.split(text)
+    parts = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    return parts[1:] if not parts[0] else parts
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level tokenizers write for bytes (as latin-1 characters):
+    printable ones stand for themselves, the others are numbered from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in set(plain))}
 
 
 class WordCoder:
     """Token ids of whole texts, as little-endian uint32 bytes.
 
-    A text is cut at single blanks that precede a visible character; the tokenizer
-    never joins characters across such a place, so the ids of the parts,
-    joined, are the ids of the text.  Parts are looked up in a cache and only
-    new ones are tokenised.
+    A text is cut at places that the tokenizer never joins characters across, so the
+    ids of the parts, joined, are the ids of the text.  Parts are looked up in a
+    cache of bounded size.  A new part without its last comma or the like (a token
+    of its own after a letter) that is all letters is one run for the tokenizer's
+    model, which then merges it directly; any other part goes through the tokenizer.
     """
 
     def __init__(self, json_text: str) -> None:
@@ -80,24 +106,32 @@ class WordCoder:
             home.tokenizer.encode_special_tokens = True
             home.tokenizer.no_padding()
             home.tokenizer.no_truncation()
-        self.tokenizer, self.cache = home.tokenizer, home.cache
+        self.tokenizer, self.cache, self.model, self.letters = home.tokenizer, home.cache, home.tokenizer.model, byte_letters()
+
+    def _run(self, part: str) -> bytes:
+        if not _LETTERS(part):
+            return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+        run = part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(run)]).tobytes()
+
+    def _new(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that the cache lacks."""
+        get, known = self.cache.get, {}
+        for w in words:
+            if w[-1] in ",.;:" and w[-2:-1].isalpha():
+                known[w] = (get(w[:-1]) or self._run(w[:-1])) + (get(w[-1]) or self._run(w[-1]))
+            else:
+                known[w] = self._run(w)
+        if len(self.cache) < CACHE_WORDS:
+            self.cache.update(known)
+        return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
         parts = [split_words(t) for t in texts]
-        new = list({w for ws in parts for w in ws if w not in cache})
-        for i in range(0, len(new), 20_000):
-            some = new[i: i + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([cache[w] for w in ws]) for ws in parts]
-
-
-def split_words(text: str) -> list[str]:
-    """``text`` cut before blanks that a visible character follows."""
-    return _CUT.split(text) if text else []
+        found = [list(map(self.cache.get, ws)) for ws in parts]
+        new = {w for ws, ids in zip(parts, found) if not all(ids) for w, v in zip(ws, ids) if v is None}
+        known = self._new(new) if new else {}
+        return [b"".join(ids if all(ids) else [v or known[w] for w, v in zip(ws, ids)]) for ws, ids in zip(parts, found)]
 
 
 def cut_pieces(n_ids: int, capacity: int) -> list[tuple[int, int]]:
