@@ -134,9 +134,9 @@ class FactorMachine:
     def score(self, row, feat, val, n: int) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.raw(row, feat, val, n), -30, 30)))
 
-    def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = 6, batch: int = 128,
+    def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, steps: int = 300, batch: int = 128,
             rate: float = 0.2, l2: float = 1e-4, seed: int = 7) -> "FactorMachine":
-        """AdaGrad on the log loss; rows: (features, values) of each example."""
+        """AdaGrad on the log loss, in whole passes of about ``steps`` steps in all; rows: (features, values) of each example."""
         rng = np.random.default_rng(seed)
         share = (y.sum() + 1) / (len(y) + 2) if len(y) else 0.5
         self.w0 = float(np.log(share / (1 - share)))
@@ -144,8 +144,9 @@ class FactorMachine:
             self.v[:] = 0
             return self
         gw, gv, g0 = np.full_like(self.w, 1e-2), np.full_like(self.v, 1e-2), 1e-2
-        for _ in range(epochs):
-            for at in np.array_split(rng.permutation(len(y)), max(1, len(y) // batch)):
+        parts = max(1, len(y) // batch)
+        for _ in range(-(-steps // parts)):
+            for at in np.array_split(rng.permutation(len(y)), parts):
                 feat = np.concatenate([rows[i][0] for i in at])
                 val = np.concatenate([rows[i][1] for i in at])
                 row = np.repeat(np.arange(len(at)), [len(rows[i][0]) for i in at])
