@@ -30,7 +30,6 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
