@@ -42,7 +42,7 @@ from tidemark.llm.textbytes import fill_text
 CAPACITY = 1024
 END_ID = 2
 #: Entries of a worker's word cache from which on it takes no more.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 #: Pieces of one length that a task numbers, about; and parts at most.
 ROWS_PER_SALT, MAX_SALTS = 2_000_000, 4096
 
