@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MACRO = 2_500_000
+MACRO = 1_500_000
 WINDOWS_PER_BUCKET = 3_000_000
 
 PACKED = "bucket int, kind int, keys binary, sizes binary, hashes binary"
