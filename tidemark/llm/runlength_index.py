@@ -46,9 +46,9 @@ from tidemark.llm.window_counts import MARKS, PACKED, SEGMENTS, TOLD, Told, answ
 LENGTH = 400
 GRAM = 64
 #: Places of an anchor from which on its windows are counted instead of indexed, and hot anchors at most.
-HOT_PLACES, HOT_LIST = 3000, 2_000_000
+HOT_PLACES, HOT_LIST = 1000, 2_000_000
 #: Window starts handled at a time; bytes indexed at a time (a group is never cut).
-BLOCK, INDEX_BYTES = 4_000_000, 1_000_000
+BLOCK, INDEX_BYTES = 2_000_000, 500_000
 SEPARATOR = 0xFF
 
 _GRAMS = SpanHash(41)

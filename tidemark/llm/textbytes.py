@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time inside a task.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 
 _U = np.uint64
 
