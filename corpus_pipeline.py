@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs go from the texts."""
-    return line_winnow.dedup_lines(docs)
+    """Later copies of repeated line runs, and of single lines of a few words, go from the texts."""
+    return line_winnow.dedup_lines(docs, single_words=line_winnow.SINGLE_WORDS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -233,6 +233,22 @@ def test_lines_long_runs_and_self_repeats(spark):
     assert got == {1: docs[0][1], 2: "own", 3: "a\nb\n\nz", 4: "", 5: "line 7 of the run"}
 
 
+def test_single_lines_between_unlike_neighbours(spark, awkward):
+    line = "This work is licensed under the GNU General Public License, version 3."
+    docs = [(i, f"before {i}\n{line}\nafter {i}") for i in range(5)] + [(7, "own\n" + line.replace(" ", "\t")), (8, line.replace(" ", "\t")), (9, "seven words are not enough for this\nx"), (10, "seven words are not enough for this")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dict(rows(line_winnow.dedup_lines(df, single_words=line_winnow.SINGLE_WORDS)))
+    assert got == {0: docs[0][1], **{i: f"before {i}\nafter {i}" for i in range(1, 5)}, 7: docs[5][1], 8: "", 9: docs[7][1], 10: docs[8][1]}
+    import corpus_pipeline as p
+    assert dict(rows(p.line_dedup(spark, df, SMALL))) == got
+    documents = awkward.dropDuplicates(["doc_id"]).select("doc_id", "text").union(df.where("doc_id > 7")).toArrow()
+    con = duckdb.connect()
+    con.register("documents", documents)
+    want = con.execute(f"SELECT doc_id, text, n_removed FROM ({line_winnow.SQL_SINGLE})").fetchall()
+    mixed = spark.createDataFrame(documents)
+    same(rows(line_winnow.dedup_lines(mixed, report=True, single_words=line_winnow.SINGLE_WORDS), "doc_id", "text", "n_removed"), want)
+
+
 # ---------------------------------------------------------------- 7 urls
 
 def test_url_parts_and_rules(spark):

@@ -4,15 +4,20 @@
    window of ``run_lines`` line hashes the smallest (the rightmost of equal
    ones) is a fingerprint, so any run of ``run_lines`` lines that two places
    share holds a fingerprint that both places selected.  Lines of
-   ``long_words`` words or more are fingerprints by themselves.
+   ``long_words`` words or more are fingerprints by themselves; with ``single_words``
+   also those of that many words, told apart by any white space.
 2. Fingerprints that occur at more than one place are joined back to their
    positions.
 3. Each such position is extended both ways: the ``run_lines``-line windows
-   that cover it (and the single line, if long) are compared by a 128-bit hash
+   that cover it (and the single line, if it is a fingerprint by itself) are compared by a 128-bit hash
    of their lines.  Longer runs are unions of these windows.
 4. Of equal windows the first, by (doc_id, text hash, line), stays; the lines of
    later ones are deleted.  Windows are judged on the input.
 
+``op6_line_winnow`` and its SQL take the first two rules only; ``op6_single_lines``
+and the pipeline also take ``SINGLE_WORDS``, so a line that repeats between unlike
+neighbours goes too.  A line without white space is one word.
+
 Only DataFrame functions run here.  Positions are only ever linked to the
 group's first place (two map-side combined minima), never to each other, and
 the joins that bring the answer back are salted, so a line that a third of
@@ -33,28 +38,34 @@ from tidemark.llm.staging import packed_rows, row_key, staged
 
 RUN_LINES = 2
 LONG_WORDS = 50
+#: Words of a line that counts by itself where ``single_words`` is asked for.
+SINGLE_WORDS = 8
+#: A word: anything between white space (the same in Java's and RE2's syntax).
+WORD = r"[^\s\x0B\x{85}\p{Z}]+"
 #: Parts into which each group of equal keys is dealt in joins.
 SALTS = 16
 
 
-def _positions(docs: DataFrame, t: int, long_words: int) -> DataFrame:
+def _positions(docs: DataFrame, t: int, long_words: int, single_words: int | None) -> DataFrame:
     """Fingerprints: _k, _d, place, h and the windows that cover the place."""
     base = docs.select(row_key("doc_id", "text").alias("_k"), F.col("doc_id").alias("_d"),
                        F.expr("filter(transform(split(text, '\n'), (l, i) -> struct(i AS i, trim(l) AS t)), x -> x.t <> '')").alias("items"))
     base = base.where("size(items) > 0").select("_k", "_d", F.expr("transform(items, x -> x.i)").alias("at"), F.expr("transform(items, x -> x.t)").alias("ts"))
-    base = base.select("*", F.expr("transform(ts, x -> xxhash64(x))").alias("hs"), F.size("ts").alias("n"))
+    alone = f"length(x) - length(replace(x, ' ', '')) >= {long_words - 1}"
+    if single_words is not None:
+        alone += f" OR regexp_count(x, r'{WORD}') >= {single_words}"
+    base = base.select("*", F.expr("transform(ts, x -> xxhash64(x))").alias("hs"), F.expr(f"transform(ts, x -> {alone})").alias("alone"), F.size("ts").alias("n"))
     minima = f"""CASE WHEN n >= {t} THEN transform(sequence(0, n - {t}), i ->
         i + {t} - CAST(array_position(reverse(slice(hs, i + 1, {t})), array_min(slice(hs, i + 1, {t}))) AS INT)) ELSE array() END"""
-    is_long = f"length(ts[p]) - length(replace(ts[p], ' ', '')) >= {long_words - 1}"
-    base = base.select("*", F.expr(f"array_distinct(concat({minima}, filter(sequence(0, n - 1), p -> {is_long})))").alias("sel"))
+    base = base.select("*", F.expr(f"array_distinct(concat({minima}, filter(sequence(0, n - 1), p -> alone[p])))").alias("sel"))
 
     def window(start: str, size: str) -> str:
         part = f"slice(ts, {start} + 1, {size})"
         return f"struct(xxhash64({part}) AS w1, xxhash64(1, {part}) AS w2, slice(at, {start} + 1, {size}) AS rows)"
 
     around = f"CASE WHEN n >= {t} THEN transform(sequence(greatest(0, p - {t - 1}), least(p, n - {t})), s -> {window('s', str(t))}) ELSE array() END"
-    own = f"CASE WHEN {is_long} THEN array({window('p', '1')}) ELSE array() END"
-    # `hs`, `n`, `ts` and `at` are each used more than once, so the optimiser keeps them as columns.
+    own = f"CASE WHEN alone[p] THEN array({window('p', '1')}) ELSE array() END"
+    # `hs`, `alone`, `n`, `ts` and `at` are each used more than once, so the optimiser keeps them as columns.
     out = base.select("_k", "_d", F.explode(F.expr(f"transform(sel, p -> struct(hs[p] AS h, at[p] AS place, concat({around}, {own}) AS wins))")).alias("f"))
     return out.select("_k", "_d", "f.h", "f.place", "f.wins")
 
@@ -67,10 +78,10 @@ def _salt() -> Column:
     return F.pmod(F.col("_k"), F.lit(SALTS)).cast("int").alias("_s")
 
 
-def repeated_lines(docs: DataFrame, run_lines: int = RUN_LINES, long_words: int = LONG_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, run_lines: int = RUN_LINES, long_words: int = LONG_WORDS, single_words: int | None = None) -> DataFrame:
     """_k, _d, gone (sorted line numbers to delete) of each document that loses lines."""
     spark = docs.sparkSession
-    found = staged(spark, _positions(docs, run_lines, long_words), "line-fingerprints")
+    found = staged(spark, _positions(docs, run_lines, long_words, single_words), "line-fingerprints")
     place = F.struct("_d", "_k", "place")
     again = found.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("h")
     hits = found.select("*", _salt()).join(_salted(again), ["h", "_s"])
@@ -81,9 +92,9 @@ def repeated_lines(docs: DataFrame, run_lines: int = RUN_LINES, long_words: int
     return later.groupBy("_k", "_d").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("rows")))).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, run_lines: int = RUN_LINES, long_words: int = LONG_WORDS, report: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, run_lines: int = RUN_LINES, long_words: int = LONG_WORDS, report: bool = False, single_words: int | None = None) -> DataFrame:
     """``docs`` with later repeated runs deleted from ``text``; ``report`` adds n_lines and n_removed."""
-    gone = staged(docs.sparkSession, repeated_lines(docs, run_lines, long_words), "line-gone")
+    gone = staged(docs.sparkSession, repeated_lines(docs, run_lines, long_words, single_words), "line-gone")
     gone = gone.select(F.col("_k").alias("_k2"), F.col("_d").alias("_d2"), "gone")
     left = packed_rows(docs).join(gone.hint("shuffle_hash"), (F.col("_k") == F.col("_k2")) & F.col("_d").eqNullSafe(F.col("_d2")), "left")
     out = left.select("_row", "gone", F.split("_row.text", "\n").alias("_lines"))
@@ -102,6 +113,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs, report=True).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def query_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return dedup_lines(docs, report=True, single_words=SINGLE_WORDS).select("doc_id", "n_lines", "n_removed", "text")
+
+
 SQL = f"""
 WITH x AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls, dense_rank() OVER (ORDER BY doc_id NULLS FIRST, text) AS k FROM documents),
 l AS (SELECT k, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM (SELECT DISTINCT k, ls FROM x WHERE text IS NOT NULL)),
@@ -117,5 +133,8 @@ SELECT doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(m, 0) AS n_removed, CAS
 FROM x LEFT JOIN n USING (k) LEFT JOIN t USING (k)
 """
 
-QUERIES = {"op6_line_winnow": query}
-ORACLE = {"op6_line_winnow": SQL}
+_LONG = f"length(a) - length(replace(a, ' ', '')) >= {LONG_WORDS - 1}"
+SQL_SINGLE = SQL.replace(_LONG, f"({_LONG} OR len(regexp_extract_all(a, '{WORD}')) >= {SINGLE_WORDS})")
+
+QUERIES = {"op6_line_winnow": query, "op6_single_lines": query_single}
+ORACLE = {"op6_line_winnow": SQL, "op6_single_lines": SQL_SINGLE}
