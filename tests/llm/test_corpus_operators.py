@@ -272,6 +272,12 @@ def test_url_templates_split_bad_branches(spark):
     assert all("*" in r["template"] for r in got)
 
 
+def test_url_templates_many_labels_on_one_host(spark):
+    pages = spark.range(240_000).select(F.col("id").alias("page_id"), F.expr("concat('http://h.org/', if(id % 2 = 0, 'news/', 'spam/'), id)").alias("url"), (1 - F.col("id") % 2).alias("good"))
+    got = rows(url_templates.judged(pages).groupBy(F.split("path", "/")[1].alias("top"), "verdict").count())
+    assert sorted(got) == [("news", "allow", 120_000), ("spam", "block", 120_000)]
+
+
 # ---------------------------------------------------------------- 8 simhash
 
 def simhash(text):

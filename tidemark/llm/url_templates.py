@@ -68,8 +68,10 @@ def templates(pages: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         parent = child.groupBy("host", "template").agg(F.sum("n").alias("pn"), F.sum("k").alias("pk"), F.sum("g").alias("pg"))
         kept = child.join(parent, ["host", "template"]).where((F.col("n") >= MIN_PAGES) & (F.col("n") * MIN_SHARE >= F.col("pn")))
         # (g - k p)^2 / (k p (1 - p)) with p = pg / pk, without divisions
-        gap = F.col("g") * F.col("pk") - F.col("k") * F.col("pg")
-        same = gap * gap <= SAME * F.col("k") * F.col("pg") * (F.col("pk") - F.col("pg"))
+        # in doubles: a bigint square overflows from 110,000 labelled pages of a host on
+        g, k, pk, pg = (F.col(c).cast("double") for c in ("g", "k", "pk", "pg"))
+        gap = g * pk - k * pg
+        same = gap * gap <= SAME * k * pg * (pk - pg)
         kept = kept.select("host", "template", "_seg", F.when(same, F.lit("~")).otherwise(F.col("_seg")).alias("_token"))
         kept = staged(df.sparkSession, kept, "url-branches")  # at most a MIN_PAGES-th of the pages; cuts the lineage of the levels above
         df = df.join(bounded(kept), ["host", "template", "_seg"], "left")
