@@ -278,6 +278,18 @@ def test_url_templates_many_labels_on_one_host(spark):
     assert sorted(got) == [("news", "allow", 120_000), ("spam", "block", 120_000)]
 
 
+def test_url_branches_of_a_large_host_and_deep_paths(spark, monkeypatch):
+    pages = [f"/s{i % 100}/{i}" for i in range(3000)] + [f"/a/b/c/d/e/f/g/h/{'spam' if i % 2 else 'news'}/{i}" for i in range(80)]
+    pages += ["/z" * 700, "/z/1/2/3/4/5/6"]  # long paths of their own
+    data = [(i, f"http://h.org{p}", 0 if p.startswith("/s7/") or "spam" in p else 1) for i, p in enumerate(pages)]
+    df = spark.createDataFrame(data, "page_id long, url string, good int")
+    for most in (url_templates.MAX_BROADCAST, 0):  # broadcast, then salted
+        monkeypatch.setattr(url_templates, "MAX_BROADCAST", most, raising=False)
+        got = url_templates.judged(df).collect()
+        assert len(got) == len(data) == len({r["page_id"] for r in got})
+        assert {r["path"] for r in got if r["verdict"] == "block"} == {p for p in pages if p.startswith("/s7/") or "spam" in p}
+
+
 # ---------------------------------------------------------------- 8 simhash
 
 def simhash(text):

@@ -4,8 +4,8 @@ Rules decide first.  Every other page goes by its template:
 
 1. Paths are split into segments.  From the root of each host downwards, the
    values of the next segment under one template are counted.  A value that is
-   rare there (under ``MIN_PAGES`` pages or a ``MIN_SHARE``-th of its siblings' pages) is
-   variable and becomes the wildcard ``*``.
+   rare there (under ``MIN_PAGES`` pages) is variable and becomes the wildcard ``*``,
+   however large the host is.
 2. Frequent siblings whose share of good labels does not differ from their
    parent's (chi-square of one degree below ``SAME``) merge into one branch ``~``;
    the others stay literal.
@@ -13,9 +13,13 @@ Rules decide first.  Every other page goes by its template:
    of all pages by ``PRIOR`` pages.  Below ``REJECT`` it is blocked.
 
 Each level is one map-side combined count per (host, template, value) and a join with
-the frequent values only, which is broadcast behind a checked size, so a
-host with a third of all pages is never gathered.  Segments below
-``MAX_DEPTH`` levels count as variable.
+the frequent values only, which is broadcast behind a checked size, else salted, so a
+host with a third of all pages is never gathered.  The tree goes down as far as any
+template still has ``MIN_PAGES`` pages with segments; below that all values are rare.
+
+The SQL stops at ``MAX_DEPTH`` levels and drops values under a ``MIN_SHARE``-th of their
+siblings' pages.  Where paths are deeper or such values exist, the query goes further
+than its SQL.
 
 Only DataFrame functions run here.  Defined cases: a null url, or one without
 ``://``, has an empty host and path; pages without a label shape the tree but not
@@ -24,17 +28,21 @@ the purity; repeated rows count each; without labels everything is allowed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.decontaminate import LOWER, UPPER, bounded
+from tidemark.llm.decontaminate import LOWER, MAX_BROADCAST, UPPER, bounded
 from tidemark.llm.staging import staged
 
-MIN_PAGES, MIN_SHARE = 8, 50
+MIN_PAGES, MIN_SHARE = 8, 50  # MIN_SHARE and MAX_DEPTH bound the SQL only
 SAME = 3.84
 PRIOR = 20
 REJECT = 0.7
 MAX_DEPTH = 4
+#: Levels between two written tables of the pages that go deeper.
+STEP = 4
+#: Parts into which each value is dealt where the frequent values are too many to broadcast.
+SALTS = 16
 
 #: The contract's rules (verdict, host, path).
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -57,16 +65,38 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def templates(pages: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """``pages`` (host, path, good: 1, 0 or null) with ``template``."""
+def _deepest(df: DataFrame) -> int:
+    """Levels down to which some template has MIN_PAGES pages with segments; one long path adds none."""
+    sizes = df.groupBy("host", "template", F.size("_segs").alias("_size")).count()
+    longer = F.sum("count").over(Window.partitionBy("host", "template").orderBy(F.desc("_size")))
+    return sizes.withColumn("_longer", longer).where(F.col("_longer") >= MIN_PAGES).agg(F.max("_size")).first()[0] or 0
+
+
+def _with_tokens(df: DataFrame, kept: DataFrame) -> DataFrame:
+    """``df`` with the _token of each frequent value."""
+    keys = ["host", "template", "_seg"]
+    if kept.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
+        return df.join(F.broadcast(kept), keys, "left")
+    dealt = kept.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return df.withColumn("_salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int")).join(dealt, [*keys, "_salt"], "left").drop("_salt")
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """``pages`` (page_id, host, path, good: 1, 0 or null) with ``template``."""
     df = pages.withColumn("_segs", F.array_remove(F.split("path", "/"), "")).withColumn("template", F.lit(""))
-    for level in range(min(max_depth, df.agg(F.max(F.size("_segs"))).first()[0] or 0)):
-        seg = F.expr(f"CASE WHEN size(_segs) > {level} THEN _segs[{level}] END")
-        df = df.withColumn("_seg", seg)
+    done, level, depth = [], 0, _deepest(df)
+    while level < depth:
+        if level and level % STEP == 0:  # cuts the lineage of the pages; finished ones are not carried on
+            done.append(df.where(F.size("_segs") <= level))
+            df = staged(df.sparkSession, df.where(F.size("_segs") > level), "url-deeper")
+            depth = _deepest(df)
+            if level >= depth:
+                break
+        df = df.withColumn("_seg", F.expr(f"CASE WHEN size(_segs) > {level} THEN _segs[{level}] END"))
         child = (df.where("_seg IS NOT NULL").groupBy("host", "template", "_seg")
                  .agg(F.count("*").alias("n"), F.count("good").alias("k"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")))
-        parent = child.groupBy("host", "template").agg(F.sum("n").alias("pn"), F.sum("k").alias("pk"), F.sum("g").alias("pg"))
-        kept = child.join(parent, ["host", "template"]).where((F.col("n") >= MIN_PAGES) & (F.col("n") * MIN_SHARE >= F.col("pn")))
+        parent = child.groupBy("host", "template").agg(F.sum("k").alias("pk"), F.sum("g").alias("pg"))
+        kept = child.join(parent, ["host", "template"]).where(F.col("n") >= MIN_PAGES)
         # (g - k p)^2 / (k p (1 - p)) with p = pg / pk, without divisions
         # in doubles: a bigint square overflows from 110,000 labelled pages of a host on
         g, k, pk, pg = (F.col(c).cast("double") for c in ("g", "k", "pk", "pg"))
@@ -74,20 +104,24 @@ def templates(pages: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         same = gap * gap <= SAME * k * pg * (pk - pg)
         kept = kept.select("host", "template", "_seg", F.when(same, F.lit("~")).otherwise(F.col("_seg")).alias("_token"))
         kept = staged(df.sparkSession, kept, "url-branches")  # at most a MIN_PAGES-th of the pages; cuts the lineage of the levels above
-        df = df.join(bounded(kept), ["host", "template", "_seg"], "left")
+        df = _with_tokens(df, kept)
         step = F.concat(F.lit("/"), F.coalesce("_token", F.lit("*")))
         df = df.withColumn("template", F.when(F.col("_seg").isNull(), F.col("template")).otherwise(F.concat("template", step))).drop("_token", "_seg")
-    deeper = F.when(F.size("_segs") > max_depth, F.concat("template", F.lit("/*"))).otherwise(F.col("template"))
-    return df.withColumn("template", deeper).drop("_segs")
+        level += 1
+    rest = F.repeat(F.lit("/*"), F.greatest(F.size("_segs") - F.lit(level), F.lit(0)))  # only rare values are left there
+    out = df.withColumn("template", F.concat("template", rest))
+    for part in done:
+        out = out.unionByName(part)
+    return out.drop("_segs")
 
 
-def judged(pages: DataFrame, rules=RULES, max_depth: int = MAX_DEPTH) -> DataFrame:
+def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, template, purity of pages (page_id, url, good)."""
     host, path = split_url(F.col("url"))
     df = pages.select("page_id", host.alias("host"), path.alias("path"), F.col("good").cast("long").alias("good"))
     total, good = df.agg(F.count("good"), F.coalesce(F.sum("good"), F.lit(0))).first()
     base = (good + 1) / (total + 2) if total else 1.0
-    df = templates(df, max_depth)
+    df = templates(df)
     stats = df.groupBy("host", "template").agg(F.count("good").alias("k"), F.coalesce(F.sum("good"), F.lit(0)).alias("g"))
     stats = stats.select("host", "template", ((F.col("g") + F.lit(PRIOR * base)) / (F.col("k") + F.lit(float(PRIOR)))).alias("purity"))
     stats = staged(df.sparkSession, stats, "url-purity")
