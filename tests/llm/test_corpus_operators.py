@@ -124,6 +124,14 @@ def test_page_template_classes():
     assert page_template.article(pages[2], t).split("\n")[0] == "text 2"
 
 
+def test_template_text_by_support_and_nested_classes():
+    notice, share = "<div><p>We moved house</p></div>", "<span>Share this</span>"
+    pages = [f"<body>{notice if i else ''}<div><p>text {i}</p></div><ul><li>a{i} {share}</li><li>b{i} {share}</li></ul></body>" for i in range(6)] + ["", "<body></body>"]
+    tokens = [page_template.tokens(p) for p in pages]
+    t = page_template.Template(tokens)
+    assert [page_template.article(p, t) for p in tokens] == [f"text {i}\na{i}\nb{i}" for i in range(6)] + ["", ""]
+
+
 # ---------------------------------------------------------------- 3 fingerprints
 
 def test_spot_signatures_awkward(awkward, nothing):

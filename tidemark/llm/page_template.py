@@ -9,9 +9,10 @@ pages has more blocks, so no group grows with the data).  In each block:
    equivalence class.  A class of tokens that occur once in most pages, in the same
    order everywhere, is valid and is the template's spine; classes of repeated
    tokens are valid if they keep their order and nest inside one gap of the spine.
-3. Text that is a template token itself (the same at the same path in every page
-   of a block of ``MIN_PAGES`` pages or more, and not in an element that is named as the
-   article) belongs to the template.  What lies in the gaps are slots.
+3. Text of the spine or of a valid repeated class (the same at the same path in
+   ``SUPPORT`` of the pages with content, if these are ``MIN_PAGES`` or more) belongs to the
+   template, unless an element that is named as the article holds it.  What lies in
+   the gaps are slots.  In a named article the lists of names below decide alone.
 4. Slots are extracted if the template puts them inside the article (the element
    that holds most slot text if no page names one), outside menus, headers,
    footers, sidebars, notices, adverts, forms, scripts, styles and comments.
@@ -141,6 +142,7 @@ class Template:
     """Equivalence classes of a block of pages."""
 
     def __init__(self, pages: list[list[Token]]) -> None:
+        pages = [page for page in pages if any(t.text and not t.text.isspace() for t in page)]
         n = len(pages)
         counts: dict = defaultdict(Counter)
         for p, page in enumerate(pages):
@@ -152,8 +154,8 @@ class Template:
         self.spine = self._ordered(pages, {r for vector, roles in classes.items() if max(vector) == 1 and sum(vector) >= SUPPORT * n for r in roles})
         #: Repeated classes that stay inside one gap of the spine.
         self.repeated = self._nested(pages, {r: k for k, (vector, roles) in enumerate(classes.items()) if max(vector) > 1 and sum(v > 0 for v in vector) >= SUPPORT * n for r in roles})
-        self.fixed_text = {r for r in self.spine if r[0] == "t"} if n >= MIN_PAGES else set()
-        self.fixed_text = {r for r in self.fixed_text if len(counts[r]) == n and MAIN.isdisjoint(x.split(":")[0] for x in r[2])}
+        self.fixed_text = {r for r in self.spine | self.repeated if r[0] == "t" and r[1]} if n >= MIN_PAGES else set()
+        self.fixed_text = {r for r in self.fixed_text if MAIN.isdisjoint(x.split(":")[0] for x in r[2])}
         self.main = self._main(pages)
 
     @staticmethod
