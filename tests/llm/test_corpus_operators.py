@@ -132,6 +132,27 @@ def test_template_text_by_support_and_nested_classes():
     assert [page_template.article(p, t) for p in tokens] == [f"text {i}\na{i}\nb{i}" for i in range(6)] + ["", ""]
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div id=page class='has-sidebar'><article><p>One</p></article></div>", "One"),
+    ("<article class='post has-related'><p>One</p></article>", "One"),
+    ("<article class=related><p>One</p></article>", "One"),
+    ("<main class='no-comments'><p>One</p></main>", "One"),
+    ("<article><div class='article-header'><h1>Title</h1></div><h2 class=header>Two</h2><p>One</p></article>", "Title\nTwo\nOne"),
+    ("<article><p data-id=footer data-role='menu'>One</p></article>", "One"),
+    ("<div class=content data-x='1' class=search><p>nearly all of the text of the page</p></div><p>rest</p>", "nearly all of the text of the page\nrest"),
+    ("<article><p>Long enough to be the main text</p><div class='x site-footer'>f</div><div id='cookie-notice'>c</div><p class=menu>m</p><p class='share-links'>s</p></article>", "Long enough to be the main text"),
+])
+def test_names_mark_whole(page, want):
+    tokens = [page_template.tokens(f"<html><body>{page}</body></html>")]
+    assert page_template.article(tokens[0], page_template.Template(tokens)) == want
+
+
+def test_slots_beside_the_largest_element_stay():
+    pages = [page_template.tokens(f"<body><div class=intro>Intro {i}</div><div class=body><p>{f'body {i} ' * 20}</p></div><div class=footer>f{i}</div></body>") for i in range(6)]
+    t = page_template.Template(pages)
+    assert [page_template.article(p, t) for p in pages] == [f"Intro {i}\n{(f'body {i} ' * 20).strip()}" for i in range(6)]
+
+
 # ---------------------------------------------------------------- 3 fingerprints
 
 def test_spot_signatures_awkward(awkward, nothing):

@@ -13,9 +13,11 @@ pages has more blocks, so no group grows with the data).  In each block:
    ``SUPPORT`` of the pages with content, if these are ``MIN_PAGES`` or more) belongs to the
    template, unless an element that is named as the article holds it.  What lies in
    the gaps are slots.  In a named article the lists of names below decide alone.
-4. Slots are extracted if the template puts them inside the article (the element
-   that holds most slot text if no page names one), outside menus, headers,
-   footers, sidebars, notices, adverts, forms, scripts, styles and comments.
+4. Slots are extracted if they lie inside the article (anywhere if no page names
+   one), outside menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+   styles and comments.  A class, id or role marks such a region if the whole name says
+   so, but never on an article, main or heading, nor on an element that holds more than
+   half of the page's text.
 
 A page that does not follow its block's template is read by the same rules from its own
 tokens.  Text: references decoded, white space inside a block to one space,
@@ -57,12 +59,15 @@ OUTSIDE_WORDS = frozenset((
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus "
     "dropdown footer form header masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted "
     "related replies search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget complementary contentinfo").split())
+#: Words that a whole name may hold beside these (``site-footer``; ``has-sidebar`` and ``article-header`` say something else).
+BESIDE_WORDS = frozenset("site global top bottom left right bar box button buttons link links list wrapper container".split())
+UNMARKED = MAIN | frozenset("html body h1 h2 h3 h4 h5 h6".split())
 #: Elements whose start closes an open one of the same kind.
 SELF_CLOSING = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table article section div nav aside footer header main form body".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_MARK = re.compile(r"""(?<![^\s"'/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _SPACE = re.compile(r"\s+")
 
 
@@ -75,8 +80,8 @@ class Token:
 
 
 def _marks(attrs: str) -> str:
-    words = " ".join(m.strip("\"'") for m in _MARK.findall(attrs)).lower()
-    return ".".join(sorted(set(re.split(r"[^a-z0-9]+", words)) - {""})) if words else ""
+    """The class names, ids and roles, by spaces."""
+    return " ".join(sorted({w for m in _MARK.findall(attrs) for w in m.strip("\"'").lower().split()}))
 
 
 def tokens(page: str) -> list[Token]:
@@ -130,14 +135,34 @@ def tokens(page: str) -> list[Token]:
     return out
 
 
-def _outside(path: tuple[str, ...]) -> bool:
-    for part in path:
-        name, _, marks = part.partition(":")
-        if name in OUTSIDE or (marks and name not in ("html", "body") and not OUTSIDE_WORDS.isdisjoint(marks.split("."))):
+def _marked(part: str) -> bool:
+    """Whether a class name, id or role of a path part marks a region without main text."""
+    name, _, marks = part.partition(":")
+    if not marks or name in UNMARKED:
+        return False
+    for mark in marks.split():
+        words = set(re.split(r"[^a-z0-9]+", mark)) - {""}
+        if words & OUTSIDE_WORDS and words <= OUTSIDE_WORDS | BESIDE_WORDS:
             return True
     return False
 
 
+def _outside_paths(page: list[Token]) -> set[tuple[str, ...]]:
+    """The paths of a page's texts that lie outside its main text."""
+    size: Counter = Counter()
+    for t in page:
+        if t.text is not None and (n := len(t.text.strip())):
+            size[t.path] += n
+    marked = {part: _marked(part) for path in size for part in path}
+    held: Counter = Counter()  # text below each marked element
+    for path, n in size.items():
+        for i, part in enumerate(path):
+            if marked[part]:
+                held[path[: i + 1]] += n
+    most = sum(size.values()) / 2
+    return {path for path in size if any(part.split(":")[0] in OUTSIDE or (marked[part] and held[path[: i + 1]] <= most) for i, part in enumerate(path))}
+
+
 class Template:
     """Equivalence classes of a block of pages."""
 
@@ -200,22 +225,15 @@ class Template:
         return t.text is not None and self.role(t) not in self.fixed_text
 
     def _main(self, pages: list[list[Token]]) -> str | None:
-        """Name of the element that holds the article, or the path part that holds most slot text."""
-        size: Counter = Counter()
+        """Name of the element that holds the article, if any page names one."""
         named: Counter = Counter()
         for page in pages:
+            outside = _outside_paths(page)
             for t in page:
-                if self.slot(t) and not _outside(t.path):
-                    for part in set(t.path):
-                        name = part.split(":")[0]
-                        if name in MAIN:
-                            named[name] += len(t.text)
-                        size[part] += len(t.text)
-        if named:
-            return "article" if named["article"] else "main"
-        total = max(size.values(), default=0)
-        deep = [p for p, s in size.items() if s >= 0.8 * total and p.split(":")[0] in ("div", "section", "td")]
-        return min(deep, key=lambda p: size[p], default=None)
+                if self.slot(t) and t.path not in outside:
+                    for name in {part.split(":")[0] for part in t.path} & MAIN:
+                        named[name] += len(t.text)
+        return ("article" if named["article"] else "main") if named else None
 
 
 def _inside(path: tuple[str, ...], main: str | None) -> bool:
@@ -226,9 +244,10 @@ def article(page: list[Token], template: Template) -> str:
     """The slots of the article as text."""
     named = any(_inside(t.path, template.main) for t in page if t.text is not None)
     main = template.main if named else next((m for m in ("article", "main") if any(_inside(t.path, m) for t in page)), None)
+    outside = _outside_paths(page)
     blocks: dict[int, list[str]] = defaultdict(list)
     for t in page:
-        if template.slot(t) and _inside(t.path, main) and not _outside(t.path):
+        if template.slot(t) and _inside(t.path, main) and t.path not in outside:
             blocks[t.block].append(t.text)
     lines = (_SPACE.sub(" ", entities.unescape("".join(parts))).strip() for _, parts in sorted(blocks.items()))
     return "\n".join(x for x in lines if x)
