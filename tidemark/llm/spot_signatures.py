@@ -6,10 +6,11 @@ make one signature (the first 8 hex digits of their MD5); a text's fingerprint i
 the sorted set of its signatures.  A text with words but no whole chain has one
 signature over all its words; a text without words has none.
 
-Comparison: sets are partitioned by length, in steps of the similarity
-threshold, so that sets whose partitions are not neighbours cannot reach it; the
-Jaccard likeness is pruned by the length bound min/max (an empty side needs no
-intersection) and exact otherwise.
+Comparison: each set is labelled with its length partition, in steps of the
+similarity threshold, so that sets whose partitions are not neighbours cannot reach
+it.  Nothing here compares sets by partition: there is no pair search, and the query
+drops the labels.  The Jaccard likeness to the edited and to the next text is exact;
+only an empty side needs no intersection.
 
 The next document, by ascending doc_id and round to the first, comes from a
 window over id ranges of about ``RANGE_ROWS`` rows.  The first row of each range is
