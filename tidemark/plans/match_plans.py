@@ -63,11 +63,17 @@ def c19_medal_per_map(spark, sf_dir):
 
 def c20_layout_experiment(spark, sf_dir):
     """Rows written per layout and whether it kept to its file count; the sizes
-    depend on the encoder, so they are left to the operator's own report."""
+    depend on the encoder, so ``c20_layout_sizes`` has them."""
     out = layout.layout_experiment(fact(spark, sf_dir), LAYOUTS)
     return out.select("layout", "n_partitions", "rows", (F.col("num_files") <= F.col("n_partitions")).alias("files_within"))
 
 
+def c20_layout_sizes(spark, sf_dir):
+    """The measured sizes and file counts of the layouts, smallest first; no oracle, as they depend on the encoder."""
+    out = layout.layout_experiment(fact(spark, sf_dir), LAYOUTS)
+    return out.select("layout", "n_partitions", "rows", "size_bytes", "num_files").orderBy("size_bytes", "layout", "n_partitions")
+
+
 def s05_ddl_table(spark, sf_dir):
     """Typed DDL, partitioned and bucketed; rows appended by name from another column order, then read back."""
     path, table = shared_path(spark, "ddl"), f"matches_ddl_{uuid.uuid4().hex[:8]}"
@@ -114,6 +120,7 @@ QUERIES = {
     "c19_matches_per_map": c19_matches_per_map,
     "c19_medal_per_map": c19_medal_per_map,
     "c20_layout_experiment": c20_layout_experiment,
+    "c20_layout_sizes": c20_layout_sizes,
     "j12_bucketed_match_fact": j12_bucketed_match_fact,
     "s05_ddl_table": s05_ddl_table,
     "s06_period_table": s06_period_table,
