@@ -22,6 +22,7 @@ MODULES = (
     "url_templates",
     "page_template",
     "pattern_packing",
+    "source_mixing",
 )
 
 
