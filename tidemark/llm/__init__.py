@@ -22,6 +22,8 @@ MODULES = (
     "url_templates",
     "page_template",
     "pattern_packing",
+    "collocations",
+    "whitening",
     "source_mixing",
 )
 
