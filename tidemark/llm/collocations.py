@@ -45,7 +45,7 @@ TOP = 2000
 SHARE = 50
 NO_LANG = "und"
 #: Words that a task counts at a time; a word's number takes 21 bits of a triple's.
-CHUNK = 1_500_000
+CHUNK = 800_000
 BITS = 21
 WORDS_PER_BUCKET = 1_500_000
 #: Parts into which a language's candidates are ranked before the last ranking.
@@ -126,17 +126,16 @@ def _unpacked(row: dict) -> tuple[pa.Array, np.ndarray]:
 
 
 def _chunk_rows(lang: str, words: pa.Array, joined: np.ndarray, buckets: int) -> Iterator[tuple]:
-    """Packed rows, one per bucket, of one language's words; the empty phrase counts the words."""
+    """Packed rows, one per bucket and length, of one language's words; the empty phrase counts the words."""
     yield _packed_row(0, lang, pa.array([""], pa.large_string()), np.array([len(words)]))
     for i in range(0, len(words), CHUNK):
-        here = words.slice(i, CHUNK + 2)
-        phrases, counts, h = zip(*_runs(here, joined[i: i + CHUNK + 2], min(CHUNK, len(words) - i)))
-        phrases, counts, bucket = pa.concat_arrays(phrases), np.concatenate(counts), (np.concatenate(h) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        phrases, counts = phrases.take(pa.array(order)), counts[order]
-        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in np.flatnonzero(np.diff(cut)):
-            yield _packed_row(b, lang, phrases.slice(cut[b], cut[b + 1] - cut[b]), counts[cut[b]: cut[b + 1]])
+        for phrases, counts, h in _runs(words.slice(i, CHUNK + 2), joined[i: i + CHUNK + 2], min(CHUNK, len(words) - i)):
+            bucket = (h % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for b in np.flatnonzero(np.diff(cut)):
+                here = order[cut[b]: cut[b + 1]]
+                yield _packed_row(b, lang, phrases.take(pa.array(here)), counts[here])
 
 
 _ARROW = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("sizes", pa.binary()), ("phrases", pa.binary()), ("counts", pa.binary()), ("raw", pa.int64())])
@@ -149,8 +148,10 @@ def _counted(buckets: int):
 
         def flush() -> Iterator[pa.RecordBatch]:
             rows: list[tuple] = []
-            for lang, found in held.items():
+            while held:
+                lang, found = held.popitem()
                 words, joined = zip(*found)
+                del found
                 for row in _chunk_rows(lang, pa.concat_arrays(words), np.concatenate(joined), buckets):
                     rows.append(row)
                     if len(rows) == 64:
@@ -168,7 +169,6 @@ def _counted(buckets: int):
                     total += len(words)
                     if total >= CHUNK:
                         yield from flush()
-                        held.clear()
                         total = 0
         if total:
             yield from flush()
