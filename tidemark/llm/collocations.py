@@ -45,9 +45,9 @@ TOP = 2000
 SHARE = 50
 NO_LANG = "und"
 #: Words that a task counts at a time; a word's number takes 21 bits of a triple's.
-CHUNK = 800_000
+CHUNK = 500_000
 BITS = 21
-WORDS_PER_BUCKET = 1_500_000
+WORDS_PER_BUCKET = 1_000_000
 #: Parts into which a language's candidates are ranked before the last ranking.
 SALTS = 32
 
@@ -143,6 +143,7 @@ _ARROW = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("sizes", pa.
 
 def _counted(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives what is freed back, while the worker lives on
         held: dict[str, list] = defaultdict(list)
         total = 0
 
@@ -177,6 +178,7 @@ def _counted(buckets: int):
 
 def _added(least: int):
     def run(table: pa.Table) -> pa.Table:
+        pa.set_memory_pool(pa.system_memory_pool())
         phrases, counts = zip(*map(_unpacked, table.to_pylist()))
         all_ = pa.table({"phrase": pa.chunked_array(phrases), "f": np.concatenate(counts).astype(np.int64)})
         sums = all_.group_by("phrase").aggregate([("f", "sum")])
