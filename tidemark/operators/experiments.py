@@ -8,11 +8,13 @@ calendar.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.intervals import MICROS_PER_MINUTE, calendar, open_per_day, split_spans, unite
 from tidemark.operators.running import next_in_order
 
 
@@ -77,6 +79,39 @@ def longest_daily_streak(days: DataFrame, min_run: int = 7) -> DataFrame:
                 .withColumn("survived", F.col("longest_streak_days") >= min_run))
 
 
+def daily_runs(days: DataFrame) -> DataFrame:
+    """user_id, run_start, run_end, run_days of each run of consecutive active days (days: distinct user_id, day)."""
+    w = Window.partitionBy("user_id").orderBy("day")
+    numbered = days.select("user_id", "day", F.date_sub("day", F.row_number().over(w)).alias("_island"))
+    return numbered.groupBy("user_id", "_island").agg(
+        F.min("day").alias("run_start"), F.max("day").alias("run_end"), F.count(F.lit(1)).alias("run_days")).drop("_island")
+
+
+def streak_resumption(days: DataFrame, min_run: int = 2, within: int = 7) -> DataFrame:
+    """Per month in which runs of at least ``min_run`` days ended, how many were resumed.
+
+    Each run is linked to the user's next one (of any length).  A run that reaches
+    the newest day of the data is still open.  The others are broken; a broken run is
+    resumed when the next one starts after at most ``within`` idle days, and
+    censored when it is not but the data end before those days are over: it is
+    in no rate.  resumption_rate = resumed / (broken - censored), NULL without such a run;
+    avg_idle_days is the mean of the resumed ones."""
+    w = Window.partitionBy("user_id").orderBy("run_start")
+    linked = daily_runs(days).withColumn("_next", F.lead("run_start").over(w)).where(F.col("run_days") >= min_run)
+    last = days.agg(F.max("day")).scalar()
+    idle = F.datediff("_next", "run_end") - 1
+    is_open = F.col("run_end") >= last
+    resumed = F.coalesce(idle <= within, F.lit(False))
+    censored = ~is_open & ~resumed & F.col("_next").isNull() & (F.datediff(last, "run_end") <= within)
+    marked = linked.select(F.trunc("run_end", "MM").alias("end_month"), is_open.alias("_open"), resumed.alias("_resumed"),
+                           censored.alias("_censored"), F.when(resumed, idle).alias("_idle"))
+    return (marked.groupBy("end_month")
+                  .agg(F.count(F.lit(1)).alias("runs"), F.count_if("_open").alias("open_runs"), F.count_if(~F.col("_open")).alias("broken_runs"),
+                       F.count_if("_censored").alias("censored_runs"), F.count_if("_resumed").alias("resumed_runs"),
+                       F.avg("_idle").alias("avg_idle_days"))
+                  .withColumn("resumption_rate", F.try_divide("resumed_runs", F.col("broken_runs") - F.col("censored_runs"))))
+
+
 # ---------------------------------------------------------------- E4, E5
 
 def feature_usage(events: DataFrame, user: str, ts: str, feature: Column) -> DataFrame:
@@ -161,6 +196,38 @@ def post_return_activity(activity: DataFrame, idle: int = 7, days: int = 7) -> D
                                                "gap", "events_next_days")
 
 
+def resurrected_users(days: DataFrame, windows: Mapping[str, int], idle: int = 7, hold: int = 30) -> DataFrame:
+    """Per calendar day: returns (users back after more than ``idle`` idle days) and,
+    for each trailing window (e.g. resurrected_wau=7), the distinct users with an
+    active day in it on which they counted as resurrected.
+
+    A return makes a user resurrected for ``hold`` days; a user's windows are united
+    (a second return inside the first one's window prolongs it), and the active days
+    inside them are kept.  Such a day counts for the trailing windows of the next n
+    days, up to the user's next kept day: these spans never overlap, so the
+    users of a day are a running sum of +1/-1 steps over the calendar.  No user
+    is multiplied by days, and nothing is counted twice."""
+    back = _gaps(days.select("user_id", "day").distinct())
+    returned = F.col("gap") > idle
+    windows_of = back.where(returned).select("user_id", F.col("day").alias("start"), F.date_add("day", hold).alias("end"))
+    spans = unite(windows_of, ["user_id"])
+    # a span's row stands before the days that it covers; a day is kept while the last span is open
+    marks = spans.select("user_id", F.col("start").alias("day"), F.lit(0).alias("_rank"), F.col("end").alias("_end"), F.lit(False).alias("_back"))
+    rows = marks.unionByName(back.select("user_id", "day", F.lit(1).alias("_rank"), F.lit(None).cast("date").alias("_end"),
+                                         F.coalesce(returned, F.lit(False)).alias("_back")))
+    upto = Window.partitionBy("user_id").orderBy("day", "_rank").rowsBetween(Window.unboundedPreceding, 0)
+    kept = rows.withColumn("_open", F.max("_end").over(upto)).where((F.col("_rank") == 1) & (F.col("day") < F.col("_open")))
+    following = kept.withColumn("_next", F.lead("day").over(Window.partitionBy("user_id").orderBy("day")))
+    change = {n: F.lit(1) for n in windows}
+    starts = following.select("day", F.col("_back").cast("long").alias("returns"), *[c.cast("long").alias(n) for n, c in change.items()])
+    steps = [starts, following.where("_back").select(F.date_add("day", 1).alias("day"), F.lit(-1).cast("long").alias("returns"), *[F.lit(0).cast("long").alias(n) for n in windows])]
+    for name, n in windows.items():
+        stop = F.least(F.date_add("day", n), F.coalesce("_next", F.date_add("day", n)))
+        steps.append(following.select(stop.alias("day"), F.lit(0).cast("long").alias("returns"),
+                                      *[F.lit(-1 if m == name else 0).cast("long").alias(m) for m in windows]))
+    return open_per_day(reduce(DataFrame.unionByName, steps), calendar(days), ["returns", *windows])
+
+
 # ---------------------------------------------------------------- E10, E11, E12
 
 def completion_metrics(events: DataFrame, user: str, ts: str, kind: str,
@@ -185,22 +252,52 @@ def completion_metrics(events: DataFrame, user: str, ts: str, kind: str,
 
 
 def funnel(events: DataFrame, user: str, ts: str, kind: str, steps: Sequence[str],
-           within_days: int) -> DataFrame:
+           within_days: int, bucket: str = "hour") -> DataFrame:
     """Users reaching each step in order; step 1 is the first ``steps[0]``
     event, each later step is the first such event at or after the previous
     step and within ``within_days`` of step 1.
 
-    One pass: a user's step events are gathered per step (their times, sorted),
-    each step's time is the first at or after the one before, and all
-    steps are counted in one aggregate.  A user's row is as long as the
-    user's own step events."""
-    e = events.where(F.col(user).isNotNull() & F.col(kind).isin(list(steps)) & F.col(ts).isNotNull())
-    per = e.groupBy(user).agg(*[F.array_sort(F.collect_set(F.when(F.col(kind) == s, F.col(ts)))).alias(f"_s{i}") for i, s in enumerate(steps)])
-    per = per.select(*[f"_s{i}" for i in range(1, len(steps))], F.get("_s0", F.lit(0)).alias("_t0"))
-    for i in range(1, len(steps)):
-        in_time = F.expr(f"filter(_s{i}, t -> t >= _t{i - 1} AND t <= _t0 + INTERVAL {within_days} DAYS)")
-        per = per.select("*", F.get(in_time, F.lit(0)).alias(f"_t{i}"))
-    counts = per.agg(*[F.count(f"_t{i}").alias(f"_n{i}") for i in range(len(steps))])
+    A user's events are never gathered.  They are cut into time buckets; per (user,
+    bucket) a fixed number of times tells, for each step i that may be the next
+    one on entry, when steps i, i+1, ... are first reached inside the bucket.  Only the
+    buckets in reach of a user's first step are kept, at most ``within_days`` of them, and folded in
+    order into one time per step.  A user with a third of all events is
+    spread over as many tasks as the user has buckets."""
+    k = len(steps)
+    number = F.array_position(F.array(*[F.lit(s) for s in steps]), F.col(kind)) - 1
+    e = events.where(F.col(user).isNotNull() & F.col(kind).isin(list(steps)) & F.col(ts).isNotNull()) \
+              .select(F.col(user).alias("_u"), F.col(ts).alias("_t"), number.alias("_step"), F.date_trunc(bucket, F.col(ts)).alias("_b"))
+    cell = Window.partitionBy("_u", "_b")
+    for width in range(k):
+        firsts = []
+        for i in range(k - width):
+            at = F.col("_step") == i + width
+            after = at & (F.col("_t") >= F.col(f"_r{i}_{i + width - 1}")) if width else at
+            firsts.append(F.min(F.when(after, F.col("_t"))).over(cell).alias(f"_r{i}_{i + width}"))
+        e = e.select("*", *firsts)
+    reach = [f"_r{i}_{j}" for i in range(k) for j in range(i, k)]
+    cells = e.groupBy("_u", "_b").agg(*[F.max(c).alias(c) for c in reach])
+    limit = F.expr(f"INTERVAL {within_days} DAYS")
+    near = (cells.withColumn("_t0", F.min("_r0_0").over(Window.partitionBy("_u")))
+                 .where((F.col("_b") >= F.date_trunc(bucket, "_t0")) & (F.col("_b") <= F.col("_t0") + limit)))
+    per_user = near.groupBy("_u").agg(F.max("_t0").alias("_t0"), F.array_sort(F.collect_list(F.struct("_b", *reach))).alias("_cells"))
+    kind_of = events.schema[ts].dataType.simpleString()
+    start = F.array(F.col("_t0"), *[F.lit(None).cast(kind_of)] * (k - 1))
+
+    def fold(state: Column, c: Column) -> Column:
+        """The first open step on entry decides which chain of the bucket is taken."""
+        times = [state[i] for i in range(k)]
+        after = list(times)
+        for i in range(1, k):  # step i is the first open one on entry
+            opens = times[i].isNull() & times[i - 1].isNotNull()
+            first_cell = F.date_trunc(bucket, times[0]) == c["_b"]
+            for j in range(i, k):
+                own = F.when(first_cell & F.lit(i == 1), c[f"_r0_{j}"]).otherwise(c[f"_r{i}_{j}"])
+                after[j] = F.when(opens, F.when(own <= times[0] + limit, own)).otherwise(after[j])
+        return F.array(*after)
+
+    reached = per_user.select(F.aggregate("_cells", start, fold).alias("_times"))
+    counts = reached.agg(*[F.count(F.col("_times")[i]).alias(f"_n{i}") for i in range(k)])
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(i + 1).alias("step_no"), F.lit(s).alias("step"), F.col(f"_n{i}").alias("users")) for i, s in enumerate(steps)])))
 
@@ -215,6 +312,23 @@ def weekly_engagement(events: DataFrame, user: str, ts: str, kind: str, conversi
                   F.count_if(F.col(kind) == conversion).alias("conversions")))
 
 
+def weekly_minutes(sessions: DataFrame, completed: str) -> DataFrame:
+    """Per (user, week from Monday): sessions started, sessions active, time and minutes in
+    the week, mean minutes per active session, sessions started that completed
+    (``completed``, a per-session count, above 0) and their share (NULL without a started one).
+
+    Sessions over the week's edge are cut there: each week gets its own
+    minutes, the start and the completion belong to the first part's week."""
+    parts = split_spans(sessions, "session_start", "session_end", "week", "week_start")
+    done = F.col("is_first") & (F.col(completed) > 0)
+    per = parts.groupBy("user_id", "week_start").agg(
+        F.count_if("is_first").alias("sessions"), F.count(F.lit(1)).alias("active_sessions"),
+        F.sum("part_us").cast("bigint").alias("total_us"), F.count_if(done).alias("completed"))
+    return (per.withColumn("minutes", F.col("total_us") / MICROS_PER_MINUTE)
+               .withColumn("avg_minutes", F.col("minutes") / F.col("active_sessions"))
+               .withColumn("completion_rate", F.try_divide("completed", "sessions")))
+
+
 # ---------------------------------------------------------------- E13, E14
 
 def uplift(revenue: DataFrame, refunds: DataFrame, cells: DataFrame, user: str = "user_id") -> DataFrame:

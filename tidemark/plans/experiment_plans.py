@@ -119,7 +119,30 @@ def e14_compare_cells(spark, sf_dir):
     return ex.compare_cells(per_user, "purchases")
 
 
+STREAK_MIN, RESUME_WITHIN = 2, 7
+
+
+def e03_streak_resumption(spark, sf_dir):
+    return ex.streak_resumption(_days(spark, sf_dir), STREAK_MIN, RESUME_WITHIN)
+
+
+RESURRECTED = {"resurrected_dau": 1, "resurrected_wau": 7, "resurrected_mau": 30}
+RETURN_IDLE, RETURN_HOLD = 3, 14
+
+
+def e09_resurrected_users(spark, sf_dir):
+    return ex.resurrected_users(_days(spark, sf_dir), RESURRECTED, RETURN_IDLE, RETURN_HOLD)
+
+
+def e12_engagement_minutes(spark, sf_dir):
+    s = _user_sessions(spark, sf_dir, ["user_id"], {"purchases": F.col("event_type") == "purchase"})
+    return ex.weekly_minutes(s, "purchases")
+
+
 QUERIES = {
+    "e03_streak_resumption": e03_streak_resumption,
+    "e09_resurrected_users": e09_resurrected_users,
+    "e12_engagement_minutes": e12_engagement_minutes,
     "e01_assign_cells": e01_assign_cells,
     "e02_retention": e02_retention,
     "e03_streak_survival": e03_streak_survival,
@@ -292,3 +315,37 @@ WITH l AS (SELECT user_id, {cell_sql('user_id')} AS cell, max(day) AS last_day F
 SELECT cell, count(*) AS users, count(*) FILTER (WHERE (SELECT max(day) FROM activity) - last_day > {CHURN_IDLE}) AS churned,
        count(*) FILTER (WHERE (SELECT max(day) FROM activity) - last_day > {CHURN_IDLE}) / count(*) AS churn_rate
 FROM l GROUP BY cell""", "activity")
+
+# Runs day by day (no islands), each run's resumption looked up among the days after it.
+ORACLE["e03_streak_resumption"] = with_views(f"""
+WITH {_DAYS},
+ends AS (SELECT user_id, day AS run_end,
+                (SELECT max(b.day) FROM d b WHERE b.user_id = d.user_id AND b.day <= d.day
+                 AND NOT EXISTS (SELECT 1 FROM d c WHERE c.user_id = b.user_id AND c.day = b.day - 1)) AS run_start
+         FROM d WHERE NOT EXISTS (SELECT 1 FROM d n WHERE n.user_id = d.user_id AND n.day = d.day + 1)),
+r AS (SELECT *, (SELECT min(b.day) FROM d b WHERE b.user_id = ends.user_id AND b.day > run_end) AS nxt, (SELECT max(day) FROM d) AS last FROM ends
+      WHERE run_end - run_start + 1 >= {STREAK_MIN}),
+m AS (SELECT CAST(date_trunc('month', run_end) AS DATE) AS end_month, run_end = last AS op, coalesce(nxt - run_end - 1 <= {RESUME_WITHIN}, false) AS res,
+             run_end < last AND nxt IS NULL AND last - run_end <= {RESUME_WITHIN} AS cen, nxt - run_end - 1 AS idle FROM r)
+SELECT end_month, count(*) AS runs, count(*) FILTER (WHERE op) AS open_runs, count(*) FILTER (WHERE NOT op) AS broken_runs,
+       count(*) FILTER (WHERE cen) AS censored_runs, count(*) FILTER (WHERE res) AS resumed_runs, avg(idle) FILTER (WHERE res) AS avg_idle_days,
+       count(*) FILTER (WHERE res) / nullif(count(*) FILTER (WHERE NOT op) - count(*) FILTER (WHERE cen), 0) AS resumption_rate
+FROM m GROUP BY 1""", "web_events")
+# Every day asks afresh who was active in its window and had a return shortly before that activity.
+ORACLE["e09_resurrected_users"] = with_views(f"""
+WITH {_DAYS},
+ret AS (SELECT user_id, day FROM d x WHERE (SELECT max(y.day) FROM d y WHERE y.user_id = x.user_id AND y.day < x.day) < day - {RETURN_IDLE}),
+act AS (SELECT DISTINCT d.user_id, d.day FROM d JOIN ret ON ret.user_id = d.user_id AND d.day >= ret.day AND d.day < ret.day + {RETURN_HOLD}),
+cal AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM d), (SELECT max(day) FROM d), INTERVAL 1 DAY)) AS DATE) AS day)
+SELECT c.day, (SELECT count(*) FROM ret WHERE ret.day = c.day) AS returns, """ + ", ".join(
+    f"(SELECT count(DISTINCT user_id) FROM act WHERE act.day BETWEEN c.day - {n - 1} AND c.day) AS {name}" for name, n in RESURRECTED.items()) + """
+FROM cal c""", "web_events")
+ORACLE["e12_engagement_minutes"] = with_views(
+    "WITH " + _sessions_sql("user_id", ", count(*) FILTER (WHERE event_type = 'purchase') AS purchases") + """,
+p AS (SELECT *, CAST(unnest(generate_series(date_trunc('week', session_start), date_trunc('week', session_end - INTERVAL 1 MICROSECOND), INTERVAL 7 DAY)) AS TIMESTAMP) AS w FROM s),
+q AS (SELECT user_id, CAST(w AS DATE) AS week_start, w = date_trunc('week', session_start) AS fst, purchases > 0 AS done,
+             epoch_us(least(session_end, w + INTERVAL 7 DAY)) - epoch_us(greatest(session_start, w)) AS us FROM p)
+SELECT user_id, week_start, count(*) FILTER (WHERE fst) AS sessions, count(*) AS active_sessions, CAST(sum(us) AS BIGINT) AS total_us,
+       count(*) FILTER (WHERE fst AND done) AS completed, sum(us) / 60000000 AS minutes, sum(us) / 60000000 / count(*) AS avg_minutes,
+       count(*) FILTER (WHERE fst AND done) / nullif(count(*) FILTER (WHERE fst), 0) AS completion_rate
+FROM q GROUP BY 1, 2""", "web_events")
