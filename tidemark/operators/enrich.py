@@ -7,8 +7,12 @@ so no nested-loop join and no per-key hot window is planned:
 * as-of: the last known rate is resolved on the *rate side* over the set of
   (ccy, day) keys the facts need (bounded by currencies x calendar days);
   the facts then take it by an equi join on (ccy, day);
+  ``join_asof_rate_in_row`` does without: one row per currency holds its rates day by day in
+  an array, and each fact picks its entry;
 * IP ranges: each range is split into the /16 prefixes it covers, the join
-  is equi on the prefix with a range residual.
+  is equi on the prefix with a range residual.  ``ip_most_specific`` takes ranges that nest
+  and overlap: they are cut into aligned blocks of a few sizes, each kept under its own
+  prefix length, and an address looks its prefixes up.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ip import ipv4_to_long
-from tidemark.functions.sizing import small_side
+from tidemark.functions.sizing import MAX_BROADCAST_BYTES, small_by_bytes, small_side
 
 
 def asof_rates(rates: DataFrame, keys_needed: DataFrame, key: str = "ccy", day: str = "day",
@@ -45,12 +49,41 @@ def join_asof_rate(facts: DataFrame, rates: DataFrame, key: str = "ccy", day: st
     return facts.join(table, [key, day], "left")
 
 
+def rate_arrays(rates: DataFrame, key: str = "ccy", rate_day: str = "rate_date", rate: str = "rate") -> DataFrame:
+    """key, first_day, known: per key one struct (rate_day, rate) for every day from the key's first
+    to its last rate, the last known one on each day.  An array is as long as the calendar."""
+    one = rates.where(F.col(rate_day).isNotNull()).groupBy(key, F.col(rate_day).alias("rate_day")).agg(F.max(rate).alias("rate"))
+    after = F.lead("rate_day").over(Window.partitionBy(key).orderBy("rate_day"))
+    held = one.withColumn("_days", F.coalesce(F.datediff(after, "rate_day"), F.lit(1)))  # days until the next rate
+    runs = held.groupBy(key).agg(F.min("rate_day").alias("first_day"), F.array_sort(F.collect_list(F.struct("rate_day", "rate", "_days"))).alias("_runs"))
+    entry = lambda r: F.array_repeat(F.struct(r["rate_day"].alias("rate_day"), r["rate"].alias("rate")), r["_days"])
+    return runs.select(key, "first_day", F.flatten(F.transform("_runs", entry)).alias("known"))
+
+
+def join_asof_rate_in_row(facts: DataFrame, rates: DataFrame, key: str = "ccy", day: str = "day", rate_day: str = "rate_date",
+                          rate: str = "rate", max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Facts with the last known rate for their (key, day), like ``join_asof_rate``, without a shuffle of the facts.
+
+    The arrays of all keys are written once to the shared folder and their size is
+    checked; up to ``max_bytes`` they are broadcast and each fact takes the entry of its day
+    (days after the last rate take the last one, days before the first none).  Beyond,
+    the facts are joined by (key, day)."""
+    arrays = small_by_bytes(rate_arrays(rates, key, rate_day, rate), max_bytes, "rate_arrays")
+    if arrays is None:
+        table = asof_rates(rates, facts.select(key, day), key, day, rate_day, rate)
+        return facts.join(table, [key, day], "left")
+    at = F.least(F.datediff(day, "first_day"), F.size("known") - 1)
+    found = F.when(at >= 0, F.get("known", at))
+    joined = facts.join(F.broadcast(arrays), key, "left").withColumn("_r", found)
+    return joined.select(*facts.columns, F.col("_r.rate_day").alias(rate_day), F.col("_r.rate").alias(rate))
+
+
 def convert_fx(facts: DataFrame, rates: DataFrame, amount: str, key: str = "ccy",
                day: str = "day") -> DataFrame:
     """Q7: amount x rate, with a status per row: ``converted`` (rate of that day),
     ``carried`` (last earlier rate, e.g. weekends) or ``frozen`` (no rate yet:
     held back, amount NULL)."""
-    j = join_asof_rate(facts, rates, key, day)
+    j = join_asof_rate_in_row(facts, rates, key, day)
     status = (F.when(F.col("rate").isNull(), F.lit("frozen"))
                .when(F.col("rate_date") == F.col(day), F.lit("converted"))
                .otherwise(F.lit("carried")))
@@ -80,3 +113,61 @@ def ip_range_join(facts: DataFrame, ip_col: str, ranges: DataFrame, start: str =
     keep = [F.col(f"f.{c}") for c in facts.columns]
     extra = [F.col(f"r.{c}") for c in ranges.columns if c not in (start, end)]
     return out.select(*keep, *extra)
+
+
+#: Bits of a prefix length step: blocks hold 1, 16, 256, ... addresses.
+STEP_BITS = 4
+ADDRESS_BITS = 32
+
+
+def range_blocks(ranges: DataFrame, start: str = "ip_start", end: str = "ip_end") -> DataFrame:
+    """``ranges`` cut into the largest aligned blocks of 16**k addresses that fit: adds ``_bits``
+    (address bits of the block) and ``_block`` (its prefix).
+
+    A size gives a range at most 15 blocks on each side of those of the next size,
+    so a range has at most 30 * 8 blocks, however wide it is."""
+    parts, inner = [], None  # inner: what the blocks of the next larger size cover
+    none = F.array().cast("array<bigint>")
+    for bits in range(ADDRESS_BITS, -1, -STEP_BITS):
+        first, last = F.shiftright(F.col(start) + ((1 << bits) - 1), bits), F.shiftright(F.col(end) + 1, bits)  # blocks [first, last)
+        blocks = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(none)
+        found = blocks(first, last)
+        if inner is not None:
+            left, right = (F.shiftleft(c, STEP_BITS) for c in inner)
+            found = F.when(inner[0] < inner[1], F.concat(blocks(first, left), blocks(right, last))).otherwise(found)
+        inner = (first, last)
+        parts.append(F.transform(found, lambda b: F.struct(F.lit(bits).alias("_bits"), b.alias("_block"))))  # noqa: B023
+    valid = ranges.where((F.col(start) <= F.col(end)) & (F.col(start) >= 0) & (F.col(end) < 1 << ADDRESS_BITS))
+    return valid.withColumn("_cells", F.flatten(F.array(*parts))).select("*", F.inline("_cells")).drop("_cells")
+
+
+def ip_most_specific(facts: DataFrame, ip_col: str, ranges: DataFrame, start: str = "ip_start", end: str = "ip_end",
+                     max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Left-join each fact to the narrowest range that holds its address; ranges may nest and overlap
+    (equally narrow ones: the larger start wins, then the larger columns).
+
+    Blocks are kept once per (prefix length, prefix) with their narrowest range.  If they are
+    small (checked by bytes) each prefix length is a broadcast equi-join and the facts stay where
+    they are; beyond, the distinct addresses are resolved by one shuffled equi-join on (length,
+    prefix) and the facts joined by address."""
+    extra = [c for c in ranges.columns if c not in (start, end)]
+    rank = F.struct((F.col(start) - F.col(end)).alias("narrow"), F.col(start).alias("start"), *[F.col(c) for c in extra])
+    cells = range_blocks(ranges, start, end).groupBy("_bits", "_block").agg(F.max(rank).alias("_range"))
+    small = small_by_bytes(cells, max_bytes, "ip_blocks")
+    number = ipv4_to_long(F.col(ip_col))
+    shifted = lambda ip, bits: F.shiftrightunsigned(ip, bits)
+    if small is not None:
+        lengths = sorted(r["_bits"] for r in small.select("_bits").distinct().collect())  # at most 9
+        j = facts.withColumn("_ip", number)
+        for bits in lengths:
+            side = small.where(F.col("_bits") == bits).select(F.col("_block").alias(f"_b{bits}"), F.col("_range").alias(f"_r{bits}"))
+            j = j.join(F.broadcast(side), shifted(F.col("_ip"), bits) == F.col(f"_b{bits}"), "left")
+        best = F.greatest(*[F.col(f"_r{b}") for b in lengths]) if len(lengths) > 1 else F.col(f"_r{lengths[0]}") if lengths else None
+        if best is None:
+            return facts.select("*", *[F.lit(None).cast(ranges.schema[c].dataType).alias(c) for c in extra])
+        return j.withColumn("_best", best).select(*facts.columns, *[F.col(f"_best.{c}").alias(c) for c in extra])
+    bits = F.explode(F.array(*[F.lit(b) for b in range(0, ADDRESS_BITS + 1, STEP_BITS)]))
+    asked = facts.select(number.alias("_ip")).where("_ip IS NOT NULL").distinct().withColumn("_bits", bits)
+    asked = asked.withColumn("_block", F.expr("shiftrightunsigned(_ip, _bits)"))
+    best = asked.join(cells, ["_bits", "_block"]).groupBy("_ip").agg(F.max("_range").alias("_best"))
+    return facts.withColumn("_ip", number).join(best, "_ip", "left").select(*facts.columns, *[F.col(f"_best.{c}").alias(c) for c in extra])

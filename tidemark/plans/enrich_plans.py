@@ -27,7 +27,7 @@ def _orders_fx(spark, sf_dir):
 
 
 def j14_asof_rate(spark, sf_dir):
-    j = en.join_asof_rate(_orders_fx(spark, sf_dir), fx.fx_rates(spark, sf_dir))
+    j = en.join_asof_rate_in_row(_orders_fx(spark, sf_dir), fx.fx_rates(spark, sf_dir))
     return j.select("o_orderkey", "ccy", "day", "rate_date", "rate")
 
 
@@ -45,6 +45,10 @@ def j15_ip_enrich(spark, sf_dir):
     return en.ip_range_join(fx.client_events(spark, sf_dir), "ip", fx.ip_ranges(spark, sf_dir))
 
 
+def j15_nested_ranges(spark, sf_dir):
+    return en.ip_most_specific(fx.client_events(spark, sf_dir), "ip", fx.nested_ip_ranges(spark, sf_dir))
+
+
 def s11_upsert_reduced_fact(spark, sf_dir):
     """C8 kept as a Parquet table: a backfill up to three days before the
     as-of date, then the last days applied one by one as keyed upserts of the
@@ -117,6 +121,7 @@ QUERIES = {
     "j14_asof_rate": j14_asof_rate,
     "q07_convert_fx": q07_convert_fx,
     "j15_ip_enrich": j15_ip_enrich,
+    "j15_nested_ranges": j15_nested_ranges,
     "s11_upsert_reduced_fact": s11_upsert_reduced_fact,
     "q09_upsert_customer_totals": q09_upsert_customer_totals,
     "s01_csv_match_details": s01_csv_match_details,
@@ -169,3 +174,9 @@ UNION ALL
 SELECT 'customer without orders', count(*) FROM (SELECT DISTINCT c_custkey FROM customer
                                      WHERE c_custkey NOT IN (SELECT o_custkey FROM orders))""",
 }
+
+ORACLE["j15_nested_ranges"] = with_views("""
+SELECT e.event_id, e.ip, r.network, r.level
+FROM client_events e LEFT JOIN nested_ip_ranges r ON e.ip_num BETWEEN r.ip_start AND r.ip_end
+QUALIFY row_number() OVER (PARTITION BY e.event_id ORDER BY r.ip_end - r.ip_start, r.ip_start DESC, r.network DESC) = 1""",
+                                         "client_events", "nested_ip_ranges")

@@ -96,6 +96,12 @@ VIEWS: dict[str, str] = {
                CAST(167772160 + n_nationkey * 600000 + 599999 AS BIGINT) AS ip_end,
                n_name AS country, CAST(n_regionkey AS INTEGER) AS region_key
         FROM nation""",
+    "nested_ip_ranges": """
+        SELECT ip_start, ip_start + n - 1 AS ip_end, network, level FROM (
+          SELECT CAST(167772160 + n_nationkey * 600000 AS BIGINT) AS ip_start, 600000 AS n, n_name AS network, 1 AS level FROM nation
+          UNION ALL SELECT CAST(167772160 + c_custkey * 10007 % 16000000 AS BIGINT), c_custkey % 4000 + 1, c_name, 2 FROM customer
+          UNION ALL SELECT CAST(167772160 + s_suppkey * 40009 % 16000000 AS BIGINT), s_suppkey % 3 * 30000 + 700, s_name, 3 FROM supplier
+          UNION ALL SELECT 0, 4294967296, r_name, 0 FROM region WHERE r_regionkey = 0)""",
     "client_events": """
         SELECT event_id, ip_num,
                CAST(ip_num // 16777216 % 256 AS VARCHAR) || '.' || CAST(ip_num // 65536 % 256 AS VARCHAR)

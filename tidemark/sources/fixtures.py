@@ -225,6 +225,23 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("country"), F.col("n_regionkey").cast("int").alias("region_key"))
 
 
+def nested_ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ip_start, ip_end, network, level: ranges that nest and overlap, none aligned: one over
+    everything (level 0), one per nation (1), per customer a network of 1 to 4,000 addresses
+    (2) and per supplier one that straddles its neighbours (3)."""
+    base = F.lit(IP_BASE).cast("bigint")
+    n = load(spark, sf_dir, "nation").select((base + F.col("n_nationkey") * IP_RANGE_SIZE).alias("ip_start"), F.lit(IP_RANGE_SIZE).cast("bigint").alias("_n"),
+                                             F.col("n_name").alias("network"), F.lit(1).alias("level"))
+    c = load(spark, sf_dir, "customer").select((base + F.col("c_custkey") * 10007 % 16000000).alias("ip_start"), (F.col("c_custkey") % 4000 + 1).alias("_n"),
+                                               F.col("c_name").alias("network"), F.lit(2).alias("level"))
+    s = load(spark, sf_dir, "supplier").select((base + F.col("s_suppkey") * 40009 % 16000000).alias("ip_start"), (F.col("s_suppkey") % 3 * 30000 + 700).alias("_n"),
+                                               F.col("s_name").alias("network"), F.lit(3).alias("level"))
+    top = load(spark, sf_dir, "region").where("r_regionkey = 0").select(F.lit(0).cast("bigint").alias("ip_start"), F.lit(1 << 32).cast("bigint").alias("_n"),
+                                                                        F.col("r_name").alias("network"), F.lit(0).alias("level"))
+    both = n.unionByName(c).unionByName(s).unionByName(top)
+    return both.select("ip_start", (F.col("ip_start") + F.col("_n") - 1).alias("ip_end"), "network", "level")
+
+
 def client_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, ip (text): a client address per event spread over 10.0.0.0/8;
     addresses past the last nation range have no location."""
