@@ -31,19 +31,19 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str],
     return kept.unionByName(upd.select(*existing.columns))
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop's file system, for local and remote paths alike
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop(spark, path)
+    fs, p = hadoop_path(spark, path)
     return fs.exists(p)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop(spark, path)
+    fs, p = hadoop_path(spark, path)
     fs.delete(p, True)
 
 

@@ -2,8 +2,8 @@
 
 readStream -> event-time column -> withWatermark -> session_window
 aggregate -> append sink.  A session is emitted once, when the watermark
-passes its end; rows behind the watermark are dropped (T6) and counted in
-the query progress (``numRowsDroppedByWatermark``).  Spark applies the
+passes its end; rows behind the watermark are dropped (T6) and counted batch
+by batch in a ledger beside the checkpoint (``late_rows``).  Spark applies the
 late-row rule with the watermark of the previous micro-batch (the current
 one decides eviction), so a row is dropped once it is older than that.
 
@@ -13,11 +13,14 @@ image, so tests and the registered query stream the Parquet event files.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from tidemark.session import shared_path
+from tidemark.streaming.late_rows import LateRowLedger
 
 GAP = "5 minutes"
 LATENESS = "10 seconds"
@@ -72,13 +75,24 @@ def run_to_parquet(df: DataFrame, out_path: str, checkpoint: str, available_now:
     """Append sink to Parquet with a checkpoint folder (exactly-once file sink).
 
     ``available_now`` drains what is there and stops (batch-like runs);
-    otherwise a processing-time trigger keeps the query running."""
-    w = (df.writeStream.outputMode("append").format("parquet")
-           .option("path", out_path).option("checkpointLocation", checkpoint))
+    otherwise a processing-time trigger keeps the query running.  Late rows are
+    entered in the checkpoint's ledger (``late_rows.late_rows``)."""
+    w = df.writeStream.outputMode("append").format("parquet").option("path", out_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
-    q = w.start()
+    return _start(df, w, checkpoint, available_now, timeout_s)
+
+
+def _start(df: DataFrame, writer, checkpoint: str, available_now: bool, timeout_s: float | None):
+    """Start ``writer`` with a late-row ledger; with ``available_now`` wait for its end."""
+    name = f"tidemark-{uuid.uuid4().hex[:12]}"
+    ledger = LateRowLedger(df.sparkSession, checkpoint, name)
+    df.sparkSession.streams.addListener(ledger)
+    q = writer.queryName(name).option("checkpointLocation", checkpoint).start()
     if available_now:
-        _drain(q, timeout_s)
+        try:
+            _drain(q, timeout_s)
+        finally:
+            ledger.settle(q)
     return q
 
 
@@ -91,11 +105,6 @@ def _drain(q, timeout_s: float | None) -> None:
         raise TimeoutError(f"the stream was not drained within {timeout_s} s; its sink is incomplete")
 
 
-def late_rows(q) -> int:
-    """Rows dropped behind the watermark so far, from the query's progress reports."""
-    return sum(int(s.get("numRowsDroppedByWatermark", 0)) for p in q.recentProgress for s in p["stateOperators"])
-
-
 def start_session_job(stream: DataFrame, out_path: str, checkpoint: str,
                       interval: str = "10 seconds"):
     """The long-running form (T5, T7): sessions of a live source (e.g.
@@ -156,8 +165,5 @@ def foreach_batch_upsert(path: str, keys: list[str], partition_col: str, order_b
 
 def run_foreach_batch(df: DataFrame, sink, checkpoint: str, available_now: bool = True,
                       timeout_s: float | None = None):
-    q = (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-           .foreachBatch(sink).trigger(availableNow=available_now).start())
-    if available_now:
-        _drain(q, timeout_s)
-    return q
+    w = df.writeStream.outputMode("append").foreachBatch(sink).trigger(availableNow=available_now)
+    return _start(df, w, checkpoint, available_now, timeout_s)
