@@ -3,8 +3,8 @@ histories, C8/C9 reduced monthly facts.
 
 Each comes in two forms that must agree:
 
-* ``*_step``: one period, prior snapshot full-outer-joined with the new
-  period (what a daily/yearly job runs; the output is written as the next
+* ``*_step``: one period from the prior snapshot and the new period's rows (what a
+  daily/yearly job runs; the output is written as the next
   period partition, so lineage never grows across periods);
 * ``*_backfill``: all periods up to ``upto`` in one pass of aggregates and
   windows, without iterating over periods on the driver.
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.arrays import dense_from_map, empty_array, set_or_extend
 from tidemark.functions.bands import quality_class
 from tidemark.functions.bits import active_in_mask, datelist_to_bits, days_active, WEEK_MASK
+from tidemark.operators.periods import require_prior
 
 FILM_STRUCT = "struct<year:int,film:string,votes:int,rating:double,filmid:string>"
 
@@ -47,28 +48,28 @@ def _films_of_year(films: DataFrame, with_films: bool = True) -> DataFrame:
 # ---------------------------------------------------------------- C3 actors
 
 def cumulate_actors_step(prev: DataFrame | None, films: DataFrame, year: int) -> DataFrame:
-    """One year of the actors snapshot: ``prev`` is the snapshot of ``year-1``
-    (or None in the first year), ``films`` the actor_films rows."""
-    cy = _films_of_year(films.where(F.col("year") == year)).alias("cy")
-    out_cols = ["actor", "actorid", "films", "quality_class", "is_active", "current_year"]
-    if prev is None:
-        return cy.select("actor", "actorid", F.col("year_films").alias("films"),
-                         quality_class(F.col("mean_rating")).alias("quality_class"),
-                         F.lit(True).alias("is_active"),
-                         F.lit(year).cast("int").alias("current_year"))
-    ly = prev.where(F.col("current_year") == year - 1).alias("ly")
-    j = ly.join(cy, F.col("ly.actorid") == F.col("cy.actorid"), "full_outer")
-    seen = F.col("cy.year").isNotNull()
-    return j.select(
-        F.coalesce("ly.actor", "cy.actor").alias("actor"),
-        F.coalesce("ly.actorid", "cy.actorid").alias("actorid"),
-        F.concat(F.coalesce(F.col("ly.films"), empty_array(FILM_STRUCT)),
-                 F.when(seen, F.col("cy.year_films")).otherwise(empty_array(FILM_STRUCT))).alias("films"),
-        F.when(seen, quality_class(F.col("cy.mean_rating")))
-         .otherwise(F.col("ly.quality_class")).alias("quality_class"),
-        seen.alias("is_active"),
-        F.lit(year).cast("int").alias("current_year"),
-    ).select(*out_cols)
+    """One year of the actors snapshot: ``prev`` is the table so far (or None in the
+    first year), ``films`` the actor_films rows.
+
+    Snapshot rows and the year's films become records of one shape and meet in one
+    aggregate per actor: a snapshot record carries the history, film records the year.
+    An actor without a film keeps the history and the class and is inactive.
+    Raises ``PeriodGap`` if ``prev`` holds earlier years but not ``year - 1``."""
+    film_type, text = f"array<{FILM_STRUCT}>", "string"
+    added = _films_of_year(films.where(F.col("year") == year)).select(
+        "actorid", "actor", F.lit(1).alias("_rank"), F.col("year_films").alias("_films"), quality_class(F.col("mean_rating")).alias("_class"))
+    records = added
+    if prev is not None:
+        require_prior(prev, "current_year", year)
+        kept = prev.where(F.col("current_year") == year - 1)
+        records = added.unionByName(kept.select(
+            "actorid", "actor", F.lit(0).alias("_rank"), F.col("films").cast(film_type).alias("_films"), F.col("quality_class").cast(text).alias("_class")))
+    # at most two records an actor: history (0), then the year (1); the later one names the class
+    one = records.groupBy("actorid").agg(F.min_by("actor", "_rank").alias("actor"), F.max("_rank").alias("_newest"),
+                                         F.max_by("_class", "_rank").alias("quality_class"),
+                                         F.array_sort(F.collect_list(F.struct("_rank", "_films"))).alias("_parts"))
+    return one.select("actor", "actorid", F.flatten(F.transform("_parts", lambda p: p["_films"])).alias("films"), "quality_class",
+                      (F.col("_newest") == 1).alias("is_active"), F.lit(year).cast("int").alias("current_year"))
 
 
 def cumulate_actors_backfill(films: DataFrame, upto: int, first: int | None = None,
@@ -134,24 +135,18 @@ def daily_active_keys(events: DataFrame, keys: Sequence[str], ts_col: str,
 
 def cumulate_datelist_step(prev: DataFrame | None, today: DataFrame, keys: Sequence[str],
                            day, list_col: str = "dates_active") -> DataFrame:
-    """prev (stamped day-1) full outer today's distinct (keys, date_active) rows.
-
-    Present today: date prepended; absent: list unchanged; new: one-element
-    list.  Every row is stamped with ``day`` (D17)."""
-    day_c = F.lit(day).cast("date")
-    t = today.select(*keys, "date_active").alias("t")
-    if prev is None:
-        return t.select(*keys, F.array(F.col("date_active")).alias(list_col), day_c.alias("date"))
-    y = prev.where(F.col("date") == F.date_sub(day_c, 1)).alias("y")
-    cond = [F.col(f"t.{k}") == F.col(f"y.{k}") for k in keys]
-    j = t.join(y, cond, "full_outer")
-    lst = F.col(f"y.{list_col}")
-    return j.select(
-        *[F.coalesce(F.col(f"t.{k}"), F.col(f"y.{k}")).alias(k) for k in keys],
-        F.when(lst.isNull(), F.array(F.col("t.date_active")))
-         .when(F.col("t.date_active").isNull(), lst)
-         .otherwise(F.concat(F.array(F.col("t.date_active")), lst)).alias(list_col),
-        day_c.alias("date"))
+    """The datelists of ``day`` from those of the day before (``prev``, the table so far) and
+    today's (keys, date_active) rows, repeated ones counting once.
+
+    Both are records with a list of dates; per key the lists are joined, newest first.
+    Every row is stamped with ``day`` (D17), keys may be NULL.  Raises ``PeriodGap`` if
+    ``prev`` holds earlier days but not the one before ``day``."""
+    records = today.select(*keys, F.array("date_active").alias("_dates"))
+    if prev is not None:
+        require_prior(prev, "date", day)
+        records = records.unionByName(prev.where(F.col("date") == F.date_sub(F.lit(day).cast("date"), 1)).select(*keys, F.col(list_col).alias("_dates")))
+    dates = F.sort_array(F.array_distinct(F.flatten(F.collect_list("_dates"))), asc=False)
+    return records.groupBy(*keys).agg(dates.alias(list_col)).withColumn("date", F.lit(day).cast("date"))
 
 
 def cumulate_datelist_backfill(active: DataFrame, keys: Sequence[str], as_of,
