@@ -41,23 +41,27 @@ def game_rollup(details: DataFrame, games: DataFrame, teams: DataFrame, sets=ROL
 
     wins = distinct games won (D23); ``grouping_set`` = grouping_id over
     (player_name, team_name, season) tells subtotal rows from real values (D24).
-    The roll-up is one Expand + hash aggregate: one shuffle for all sets.
-    """
-    td = dedup(teams, ["team_id"], ["nickname"])
-    w = winners(games)
-    j = (details.join(td, "team_id", "inner")
-                .join(w, "game_id", "inner"))
-    inp = j.select(
-        F.coalesce(F.col("player_name"), F.lit(OVERALL)).alias("player_name"),
-        F.coalesce(F.col("nickname"), F.lit(OVERALL)).alias("team_name"),
-        F.coalesce(F.col("season"), F.lit(UNKNOWN_SEASON)).alias("season"),
-        F.col("game_id"),
-        (F.col("won_team_id") == F.col("team_id")).alias("did_win"),
-        F.coalesce(F.col("pts"), F.lit(0)).alias("pts"))
-    return (inp.groupingSets([list(s) for s in sets], "player_name", "team_name", "season")
-               .agg(F.sum("pts").cast("bigint").alias("total_points"),
-                    F.count_distinct(F.when(F.col("did_win"), F.col("game_id"))).alias("total_wins"),
-                    F.grouping_id("player_name", "team_name", "season").alias("grouping_set")))
+
+    The details are summed per (game, team, player) first, on the map side: what is joined with
+    the games and multiplied by the sets are those sums.  A sum's win flag counts once
+    per set and game in a second level (set, game), so no set of game ids is
+    built, and names and seasons that are missing are labelled only at the end."""
+    part = details.groupBy("game_id", "team_id", "player_name").agg(F.sum(F.coalesce("pts", F.lit(0))).alias("_pts"))
+    named = teams.groupBy("team_id").agg(F.min("nickname").alias("_team"))  # one row a team
+    won = F.col("won_team_id").eqNullSafe(F.col("team_id"))
+    facts = part.join(winners(games), "game_id").join(named, "team_id").select(
+        "game_id", F.coalesce("player_name", F.lit(OVERALL)).alias("player_name"), F.coalesce("_team", F.lit(OVERALL)).alias("team_name"),
+        F.coalesce("season", F.lit(UNKNOWN_SEASON)).alias("season"), "_pts", won.cast("int").alias("_won"))
+    columns = ("player_name", "team_name", "season")
+
+    def member(names: Sequence[str]) -> Column:
+        rolled = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in names)
+        return F.struct(*[F.when(F.lit(c in names), F.col(c)).alias(c) for c in columns], F.lit(rolled).cast("bigint").alias("grouping_set"))
+
+    spread = facts.select("game_id", "_pts", "_won", F.explode(F.array(*[member(s) for s in sets])).alias("_set"))
+    per_game = spread.groupBy("_set", "game_id").agg(F.sum("_pts").alias("_pts"), F.max("_won").alias("_won"))
+    total = per_game.groupBy("_set").agg(F.sum("_pts").cast("bigint").alias("total_points"), F.sum("_won").cast("bigint").alias("total_wins"))
+    return total.select("_set.player_name", "_set.team_name", "_set.season", "total_points", "total_wins", "_set.grouping_set")
 
 
 # grouping_id bits (player_name, team_name, season): 1 = rolled up

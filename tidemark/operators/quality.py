@@ -8,11 +8,13 @@ are small report frames (one row per rule / day / key).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.sizing import small_side
+from tidemark.operators.intervals import MICROS_PER_MINUTE, calendar, split_spans
 from tidemark.operators.running import running_max
 
 
@@ -199,6 +201,35 @@ def active_users(days: DataFrame, windows: Mapping[str, int], start, end) -> Dat
                .withColumnRenamed("d", "day")
 
 
+# ---------------------------------------------------------------- Q15
+
+def kpi_daily(orders: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Q15: profit, growth and engagement per day, for every day from the first to the last of
+    either source: orders, revenue, COGS, refunds and profit in cents, new customers (by first
+    order), sessions started, active users, time in sessions and minutes per active user (NULL without one).
+
+    ``orders``: customer, day, revenue, cogs, refund per order; ``sessions``: user_id,
+    session_start, session_end.  Sessions are cut at midnight, so each day gets its own
+    part of a long one.  Orders, first orders, session parts and the users of a day
+    become records of one shape, and one aggregate by day sums them: no join, and no
+    source's missing day loses another's."""
+    names = ["orders", "revenue_cents", "cogs_cents", "refund_cents", "new_customers", "sessions", "active_users", "session_us"]
+
+    def records(df: DataFrame, **found: Column) -> DataFrame:
+        return df.select("day", *[found.get(n, F.lit(0)).cast("bigint").alias(n) for n in names])
+
+    parts = split_spans(sessions, "session_start", "session_end", "day", "day")
+    per_user = parts.groupBy("user_id", "day").agg(F.sum("part_us").alias("us"), F.count_if("is_first").alias("started"))
+    first = orders.groupBy("customer").agg(F.min("day").alias("day"))
+    all_ = [records(orders, orders=F.lit(1), revenue_cents=F.col("revenue"), cogs_cents=F.col("cogs"), refund_cents=F.col("refund")),
+            records(first, new_customers=F.lit(1)),
+            records(per_user, sessions=F.col("started"), active_users=F.lit(1), session_us=F.col("us"))]
+    per_day = reduce(DataFrame.unionByName, all_).where(F.col("day").isNotNull()).groupBy("day").agg(*[F.sum(n).alias(n) for n in names])
+    full = per_day.unionByName(records(calendar(per_day))).groupBy("day").agg(*[F.sum(n).cast("bigint").alias(n) for n in names])
+    return (full.withColumn("profit_cents", F.col("revenue_cents") - F.col("cogs_cents") - F.col("refund_cents"))
+                .withColumn("minutes_per_user", F.try_divide(F.col("session_us") / MICROS_PER_MINUTE, F.col("active_users"))))
+
+
 # ---------------------------------------------------------------- Q17, Q19, Q20
 
 def run_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

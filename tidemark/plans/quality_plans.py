@@ -7,11 +7,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions.sizing import small_side
+from tidemark.jobs import growth_season
+from tidemark.operators import growth
 from tidemark.operators import quality as qa
-from tidemark.operators import scd
+from tidemark.operators import runs, scd
 from tidemark.operators.experiments import cell_of
-from tidemark.operators.upsert import upsert_partitions
-from tidemark.plans import snapshot_plans as sp
+from tidemark.operators.sessions import sessionize
+from tidemark.operators.upsert import upsert_partitions, write_period
+from tidemark.plans import pattern_plans, snapshot_plans as sp
 from tidemark.plans.experiment_plans import SALT, cell_sql
 from tidemark.plans.oracle_views import AS_OF, FIRST_DAY, with_views
 from tidemark.session import shared_path
@@ -76,6 +79,23 @@ def q06_reprocess_days(spark, sf_dir):
     return upsert_partitions(spark, path, redo, ["host", "date"], "date", order_by=[], periods=days).select("host", "date", "hits", "status")
 
 
+LATE_SEASONS = 3
+
+
+def q06_restated_seasons(spark, sf_dir):
+    """Growth table whose season before the last ones was first published without a part of the
+    players' activity; running that season again with all rows refreshes every later season too."""
+    path = shared_path(spark, "restated_seasons")
+    players = fx.players(spark, sf_dir)
+    last = fx.last_year(spark, sf_dir)
+    first = last - LATE_SEASONS
+    late = (F.col("current_season") == first) & (F.pmod(F.crc32(F.col("player_name").cast("binary")), F.lit(3)) == 0)
+    early = players.withColumn("is_active", F.col("is_active") & ~late)
+    write_period(growth.growth_backfill(early, "player_name", last).repartition("current_season"), path, "current_season")
+    growth_season(spark, players, "player_name", path, first)
+    return pattern_plans.growth_columns(spark.read.parquet(path))
+
+
 def q08_join_as_of_scd(spark, sf_dir):
     s = sp.actor_history(spark, sf_dir)
     films = fx.actor_films(spark, sf_dir).select("filmid", "actorid", "year")
@@ -150,6 +170,16 @@ def q15_kpi_daily(spark, sf_dir):
                  .withColumn("profit_cents", F.col("revenue_cents") - F.col("cogs_cents") - F.col("refund_cents")))
 
 
+SESSION_GAP = 300
+
+
+def q15_kpi_with_engagement(spark, sf_dir):
+    """Every day from the first to the last of orders and sessions, with or without any."""
+    k = _orders_kpi(spark, sf_dir).select(F.col("o_custkey").alias("customer"), "day", "revenue", "cogs", "refund")
+    w = fx.web_events(spark, sf_dir).where(F.col("user_id").isNotNull())
+    return qa.kpi_daily(k, sessionize(w, ["user_id"], "event_time", SESSION_GAP))
+
+
 def q16_kpi_by_cell(spark, sf_dir):
     k = _orders_kpi(spark, sf_dir).withColumn("cell", cell_of(F.col("o_custkey"), SALT))
     return (k.groupBy("cell", F.year("day").alias("year"))
@@ -168,6 +198,30 @@ def q17_run_diff(spark, sf_dir):
     return qa.run_diff(old, new, ["host", "date"], "hits")
 
 
+RESTATED_DAYS = 3
+RUN_BUCKETS = 4
+
+
+def _published_runs(spark, sf_dir):
+    """Two published runs of the daily host hits: the second was computed after anonymous rows
+    of the last days had been taken out.  Buckets are month and hash, so only the last month's differ."""
+    path = shared_path(spark, "published_runs")
+    w = fx.web_events(spark, sf_dir).select(F.col("subhost").alias("host"), "user_id", F.to_date("event_time").alias("date"))
+    restated = F.col("date") > F.date_sub(w.agg(F.max("date")).scalar(), RESTATED_DAYS)
+    hits = w.groupBy("host", "date").agg(F.count(F.lit(1)).alias("all_hits"), F.count("user_id").alias("known"))
+    first = hits.select("host", "date", F.col("all_hits").alias("hits"), F.col("known").alias("known_hits"))
+    second = hits.select("host", "date", F.when(restated, F.col("known")).otherwise(F.col("all_hits")).alias("hits"), F.col("known").alias("known_hits"))
+    bucket = F.concat_ws("-", F.date_format("date", "yyyy-MM-dd"), runs.hash_bucket(["host"], RUN_BUCKETS))
+    runs.publish(first, path, "first", bucket)
+    runs.publish(second.where((F.col("hits") > 0)), path, "second", bucket)
+    return path
+
+
+def q17_versioned_diff(spark, sf_dir):
+    path = _published_runs(spark, sf_dir)
+    return runs.diff(spark, path, "first", "second", ["host", "date"], ["hits", "known_hits"])
+
+
 def q19_attribution(spark, sf_dir):
     return qa.attribute_last_touch(fx.web_events(spark, sf_dir), "user_id", "event_time", "event_id",
                                    F.col("event_type") == "click", F.col("event_type") == "purchase",
@@ -207,6 +261,7 @@ QUERIES = {
     "q04_missing_rate_days": q04_missing_rate_days,
     "q05_snapshot_fallback": q05_snapshot_fallback,
     "q06_reprocess_days": q06_reprocess_days,
+    "q06_restated_seasons": q06_restated_seasons,
     "q08_join_as_of_scd": q08_join_as_of_scd,
     "q10_dominant_sources": q10_dominant_sources,
     "q10_filtered_traffic": q10_filtered_traffic,
@@ -215,8 +270,10 @@ QUERIES = {
     "q13_business_day": q13_business_day,
     "q14_active_users": q14_active_users,
     "q15_kpi_daily": q15_kpi_daily,
+    "q15_kpi_with_engagement": q15_kpi_with_engagement,
     "q16_kpi_by_cell": q16_kpi_by_cell,
     "q17_run_diff": q17_run_diff,
+    "q17_versioned_diff": q17_versioned_diff,
     "q19_attribution": q19_attribution,
     "q20_double_count": q20_double_count,
     "q21_round_money": q21_round_money,
@@ -403,3 +460,29 @@ ORACLE["q08_join_as_of_scd"] = with_views(
 SELECT f.filmid, f.actorid, f.year, s.quality_class, s.is_active
 FROM actor_films f LEFT JOIN scd s ON s.actorid = f.actorid AND f.year BETWEEN s.start_year AND s.end_year""",
     "actor_films")
+
+ORACLE["q15_kpi_with_engagement"] = with_views(f"""
+WITH {_ORDER_KPI},
+x AS (SELECT user_id, event_time, lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time) AS p FROM web_events WHERE user_id IS NOT NULL),
+y AS (SELECT *, sum(CASE WHEN p IS NULL OR event_time > p + INTERVAL {SESSION_GAP} SECOND THEN 1 ELSE 0 END)
+             OVER (PARTITION BY user_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS sid FROM x),
+s AS (SELECT user_id, min(event_time) AS a, max(event_time) + INTERVAL {SESSION_GAP} SECOND AS b FROM y GROUP BY user_id, sid),
+cal AS (SELECT CAST(unnest(generate_series(least((SELECT min(day) FROM k), (SELECT CAST(min(a) AS DATE) FROM s)),
+                                           greatest((SELECT max(day) FROM k), (SELECT CAST(max(b - INTERVAL 1 MICROSECOND) AS DATE) FROM s)), INTERVAL 1 DAY)) AS DATE) AS day),
+o AS (SELECT day, count(*) AS orders, sum(revenue) AS revenue, sum(cogs) AS cogs, sum(refund) AS refund FROM k GROUP BY day),
+nc AS (SELECT day, count(*) AS n FROM (SELECT o_custkey, min(day) AS day FROM k GROUP BY 1) GROUP BY day),
+st AS (SELECT CAST(a AS DATE) AS day, count(*) AS n FROM s GROUP BY 1),
+e AS (SELECT c.day, count(DISTINCT s.user_id) AS users, sum(epoch_us(least(s.b, c.day + INTERVAL 1 DAY)) - epoch_us(greatest(s.a, CAST(c.day AS TIMESTAMP)))) AS us
+      FROM cal c JOIN s ON s.a < c.day + INTERVAL 1 DAY AND s.b > CAST(c.day AS TIMESTAMP) GROUP BY c.day)
+SELECT cal.day, coalesce(o.orders, 0) AS orders, CAST(coalesce(o.revenue, 0) AS BIGINT) AS revenue_cents, CAST(coalesce(o.cogs, 0) AS BIGINT) AS cogs_cents,
+       CAST(coalesce(o.refund, 0) AS BIGINT) AS refund_cents, CAST(coalesce(o.revenue - o.cogs - o.refund, 0) AS BIGINT) AS profit_cents,
+       coalesce(nc.n, 0) AS new_customers, coalesce(st.n, 0) AS sessions, coalesce(e.users, 0) AS active_users, CAST(coalesce(e.us, 0) AS BIGINT) AS session_us,
+       e.us / 60000000 / e.users AS minutes_per_user
+FROM cal LEFT JOIN o USING (day) LEFT JOIN nc USING (day) LEFT JOIN st USING (day) LEFT JOIN e USING (day)""", "web_events")
+ORACLE["q17_versioned_diff"] = with_views(f"""
+WITH w AS (SELECT subhost AS host, user_id, CAST(event_time AS DATE) AS date FROM web_events),
+h AS (SELECT host, date, count(*) AS a, count(user_id) AS k FROM w GROUP BY 1, 2)
+SELECT host, date, CASE WHEN k = 0 THEN 'removed' ELSE 'moved' END AS status, a AS old_hits, CASE WHEN k > 0 THEN k END AS new_hits, k - a AS delta_hits,
+       k AS old_known_hits, CASE WHEN k > 0 THEN k END AS new_known_hits, CAST(0 AS BIGINT) AS delta_known_hits
+FROM h WHERE date > (SELECT max(date) FROM w) - {RESTATED_DAYS} AND a <> k""", "web_events")
+ORACLE["q06_restated_seasons"] = pattern_plans.ORACLE["c10_growth_accounting"]
