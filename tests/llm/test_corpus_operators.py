@@ -64,7 +64,7 @@ def test_sum_of_squares_identity():
     rng = np.random.default_rng(0)
     m.w = rng.normal(size=quality_fm.N_FEATURES)
     m.v = rng.normal(size=(quality_fm.N_FEATURES, 3))
-    feat, val = np.array([3, 9, 40, 9000]), np.array([.5, 1, 2, .25])
+    feat, val = np.array([3, 9, 40, quality_fm.N_FEATURES - 1]), np.array([.5, 1, 2, .25])
     pairs = sum(m.v[feat[i]] @ m.v[feat[j]] * val[i] * val[j] for i in range(4) for j in range(i))
     want = m.w0 + m.w[feat] @ val + pairs
     assert np.allclose(m.raw(np.zeros(4, int), feat, val, 1), [want])
