@@ -9,6 +9,7 @@ buckets whose sums differ: the files of the others are not listed in its scan.
 
     <path>/rows/run_id=.../bucket=.../     the run's rows
     <path>/sums/run_id=.../                bucket, n_rows, sum_a, sum_b
+    <path>/types/run_id=.../               no rows, the columns' types (a run may be empty)
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.upsert import path_exists, remove_path
 
@@ -39,7 +41,9 @@ def publish(df: DataFrame, path: str, run_id: str, bucket: Column) -> None:
     rows, sums = _run_path(path, "rows", run_id), _run_path(path, "sums", run_id)
     if path_exists(spark, sums):
         remove_path(spark, sums)
-    df.withColumn("bucket", F.coalesce(bucket.cast("string"), F.lit(""))).write.mode("overwrite").partitionBy("bucket").parquet(rows)
+    df.withColumn("bucket", F.coalesce(bucket.cast("string"), F.lit(""))).hint("rebalance", "bucket") \
+      .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(rows)  # no bucket of an earlier attempt stays
+    df.limit(0).write.mode("overwrite").parquet(_run_path(path, "types", run_id))
     kept = _rows(spark, path, run_id, df.columns)
     digest = lambda seed: F.sum(F.xxhash64(F.lit(seed), *sorted(df.columns)).cast("decimal(38,0)"))
     kept.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_rows"), digest(1).alias("sum_a"), digest(2).alias("sum_b")) \
@@ -53,8 +57,9 @@ def _run_path(path: str, kind: str, run_id: str) -> str:
 
 
 def _rows(spark: SparkSession, path: str, run_id: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.option("inferSchema", "false").parquet(_run_path(path, "rows", run_id))
-    df = df.withColumn("bucket", F.col("bucket").cast("string"))
+    """A run's rows with their bucket as the text that it is (Spark would guess a type from its values)."""
+    fields = spark.read.parquet(_run_path(path, "types", run_id)).schema.fields
+    df = spark.read.schema(StructType([*fields, StructField("bucket", StringType())])).parquet(_run_path(path, "rows", run_id))
     return df if columns is None else df.select(*columns, "bucket")
 
 
