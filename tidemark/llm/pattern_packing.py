@@ -41,8 +41,11 @@ from tidemark.llm.textbytes import fill_text
 
 CAPACITY = 1024
 END_ID = 2
-#: Entries of a worker's word cache from which on it takes no more.
-CACHE_WORDS = 500_000
+#: Entries of each of the two generations of a worker's word cache: when the young one is full it
+#: becomes the old one, and words met again come back from there.
+CACHE_WORDS = 400_000
+#: Texts whose new words are looked up together.
+TEXTS_AT_ONCE = 1024
 #: Pieces of one length that a task numbers, about; and parts at most.
 ROWS_PER_SALT, MAX_SALTS = 2_000_000, 4096
 
@@ -63,8 +66,10 @@ _RARE = re.compile("[\0\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028
 _PAIRS = ("  ", " \n", "\n ", "\n\n")
 #: A blank before a visible character always starts a new token, whatever precedes it.
 _CUT = re.compile("(?<=.)(?= [!-~\u00a1-\u167f])", re.S)
-#: One token run: letters, with a blank before them or not.
-_LETTERS = re.compile("[ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+#: One token run of letters, with a blank before them or not, and one of ASCII signs after it or none.
+_WORD = re.compile("([ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)").fullmatch
+#: Sign runs that a worker keeps.
+TAILS = 10_000
 
 
 def split_words(text: str) -> list[str]:
@@ -91,9 +96,9 @@ class WordCoder:
 
     A text is cut at places that the tokenizer never joins characters across, so the
     ids of the parts, joined, are the ids of the text.  Parts are looked up in a
-    cache of bounded size.  A new part without its last comma or the like (a token
-    of its own after a letter) that is all letters is one run for the tokenizer's
-    model, which then merges it directly; any other part goes through the tokenizer.
+    cache of bounded size.  A new part that is letters, with ASCII signs after them or not, is one
+    run for the tokenizer's model, which merges it directly, and one run of signs;
+    any other part goes through the tokenizer.
     """
 
     def __init__(self, json_text: str) -> None:
@@ -101,37 +106,57 @@ class WordCoder:
         key = zlib.crc32(json_text.encode())
         if getattr(home, "key", None) != key:
             from tokenizers import Tokenizer
-            home.key, home.cache = key, {}
+            home.key, home.cache, home.old, home.tails = key, {}, {}, {}
             home.tokenizer = Tokenizer.from_str(json_text)
             home.tokenizer.encode_special_tokens = True
             home.tokenizer.no_padding()
             home.tokenizer.no_truncation()
-        self.tokenizer, self.cache, self.model, self.letters = home.tokenizer, home.cache, home.tokenizer.model, byte_letters()
-
-    def _run(self, part: str) -> bytes:
-        if not _LETTERS(part):
-            return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
-        run = part.encode().decode("latin-1").translate(self.letters)
+        self.home, self.tokenizer, self.model, self.letters = home, home.tokenizer, home.tokenizer.model, byte_letters()
+        self.blank = self.letters[ord(" ")]
+
+    def _letters(self, run: str) -> bytes:
+        if run.isascii():  # letters stand for themselves
+            run = run.replace(" ", self.blank)
+        else:
+            run = run.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(run)]).tobytes()
 
-    def _new(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that the cache lacks."""
-        get, known = self.cache.get, {}
-        for w in words:
-            if w[-1] in ",.;:" and w[-2:-1].isalpha():
-                known[w] = (get(w[:-1]) or self._run(w[:-1])) + (get(w[-1]) or self._run(w[-1]))
-            else:
-                known[w] = self._run(w)
-        if len(self.cache) < CACHE_WORDS:
-            self.cache.update(known)
+    def _whole(self, part: str) -> bytes:
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+
+    def _signs(self, run: str) -> bytes:
+        ids = self.home.tails.get(run)
+        if ids is None:
+            ids = self._whole(run)
+            if len(self.home.tails) < TAILS:
+                self.home.tails[run] = ids
+        return ids
+
+    def _ids(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of each word; those that the young generation lacks come from the old one or are made."""
+        home, get, old = self.home, self.home.cache.get, self.home.old.get
+        known = dict(zip(words, map(get, words)))
+        fresh = {}
+        for w in [w for w, ids in known.items() if ids is None]:
+            ids = old(w)
+            if ids is None:
+                word = _WORD(w)
+                if word is None:
+                    ids = self._whole(w)
+                else:
+                    run, signs = word.groups()
+                    ids = (get(run) or old(run) or self._letters(run)) + self._signs(signs) if signs else self._letters(run)
+            fresh[w] = ids
+        known.update(fresh)
+        home.cache.update(fresh)
+        if len(home.cache) >= CACHE_WORDS:
+            home.old, home.cache = home.cache, {}
         return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [split_words(t) for t in texts]
-        found = [list(map(self.cache.get, ws)) for ws in parts]
-        new = {w for ws, ids in zip(parts, found) if not all(ids) for w, v in zip(ws, ids) if v is None}
-        known = self._new(new) if new else {}
-        return [b"".join(ids if all(ids) else [v or known[w] for w, v in zip(ws, ids)]) for ws, ids in zip(parts, found)]
+        ids = self._ids(set().union(*parts)).__getitem__
+        return [b"".join(map(ids, ws)) for ws in parts]
 
 
 def cut_pieces(n_ids: int, capacity: int) -> list[tuple[int, int]]:
@@ -146,8 +171,8 @@ def _piece_batches(json_text: str, capacity: int, end_id: int):
         coder = WordCoder(json_text)
         tail = np.array([end_id], "<u4").tobytes()
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at in range(0, b.num_rows, TEXTS_AT_ONCE):
+                part = b.slice(at, TEXTS_AT_ONCE)
                 rows: list[list] = [[] for _ in range(6)]
                 for doc_id, rk, ids in zip(part.column("doc_id").to_pylist(), part.column("rk").to_pylist(),
                                            coder.encode(fill_text(part.column("text")).to_pylist())):
