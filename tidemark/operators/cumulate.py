@@ -122,12 +122,19 @@ def films_text(films: Column) -> Column:
 
 # ---------------------------------------------------------------- C6 datelists
 
+def _between(events: DataFrame, ts_col: str, start, end) -> DataFrame:
+    """Events with a time, of the days from ``start`` to ``end`` (None: open)."""
+    d, ev = F.to_date(F.col(ts_col)), events.where(F.col(ts_col).isNotNull())
+    ev = ev if start is None else ev.where(d >= F.lit(start).cast("date"))
+    return ev if end is None else ev.where(d <= F.lit(end).cast("date"))
+
+
 def daily_active_keys(events: DataFrame, keys: Sequence[str], ts_col: str,
                       start, end, not_null: Sequence[str] = ()) -> DataFrame:
     """Distinct (keys, date) active in [start, end]; the date filter becomes a
-    pushed range on the timestamp column."""
+    pushed range on the timestamp column.  A bound of None leaves that side open."""
     d = F.to_date(F.col(ts_col))
-    ev = events.where((d >= F.lit(start).cast("date")) & (d <= F.lit(end).cast("date")))
+    ev = _between(events, ts_col, start, end)
     for c in not_null:
         ev = ev.where(F.col(c).isNotNull())
     return ev.select(*[F.col(k) for k in keys], d.alias("date_active")).distinct()
@@ -174,11 +181,10 @@ def datelist_bits(df: DataFrame, list_col: str, as_of_col: str = "date") -> Data
 
 # ---------------------------------------------------------------- C8/C9 reduced facts
 
-def daily_metrics(events: DataFrame, key: str, ts_col: str, user_col: str, start, end) -> DataFrame:
+def daily_metrics(events: DataFrame, key: str, ts_col: str, user_col: str, start=None, end=None) -> DataFrame:
     """Per (key, date): hits and distinct visitors, NULL users excluded."""
     d = F.to_date(F.col(ts_col))
-    ev = events.where(F.col(user_col).isNotNull() &
-                      (d >= F.lit(start).cast("date")) & (d <= F.lit(end).cast("date")))
+    ev = _between(events, ts_col, start, end).where(F.col(user_col).isNotNull())
     return (ev.groupBy(F.col(key).alias(key), d.alias("date"))
               .agg(F.count(F.lit(1)).alias("hits"),
                    F.countDistinct(user_col).alias("unique_visitors")))
@@ -227,9 +233,10 @@ def reduced_fact_backfill(daily: DataFrame, key: str, as_of) -> DataFrame:
                F.map_from_entries(F.collect_list(F.struct(F.datediff(F.col("date"), month),
                                                           F.col("unique_visitors")))).alias("u")))
     length = F.datediff(F.least(as_of_c, F.last_day(F.col("month_start"))), F.col("month_start")) + 1
+    g = g.withColumn("_days", length)
     return g.select(key, "month_start",
-                    dense_from_map(F.col("h"), length).alias("hits_array"),
-                    dense_from_map(F.col("u"), length).alias("unique_visitors_array"))
+                    dense_from_map(F.col("h"), F.col("_days")).alias("hits_array"),
+                    dense_from_map(F.col("u"), F.col("_days")).alias("unique_visitors_array"))
 
 
 def reduced_fact_daily(reduced: DataFrame) -> DataFrame:

@@ -234,14 +234,22 @@ def completion_metrics(events: DataFrame, user: str, ts: str, kind: str,
                        start: str, finish: str, guardrail: str) -> DataFrame:
     """Starters (users with a ``start`` event), completers (a ``finish`` at
     or after their first start), completion rate, mean seconds from first
-    start to first finish, and guardrail event count."""
-    e = events.where(F.col(user).isNotNull())
-    first = e.groupBy(user).agg(F.min(F.when(F.col(kind) == start, F.col(ts))).alias("_t0"))
-    j = e.join(first, user, "inner")
-    per_user = j.groupBy(user).agg(
-        F.max("_t0").alias("_t0"),
-        F.min(F.when((F.col(kind) == finish) & (F.col(ts) >= F.col("_t0")), F.col(ts))).alias("_t1"),
-        F.count_if(F.col(kind) == guardrail).alias("_g"))
+    start to first finish, and guardrail event count.
+
+    The events are shuffled once, by (user, hour); what is grouped per user are the
+    hours' first times."""
+    e = events.where(F.col(user).isNotNull()).select(F.col(user).alias("_u"), F.col(ts).alias("_t"), F.col(kind).alias("_kind"), F.date_trunc("hour", F.col(ts)).alias("_b"))
+    cell = Window.partitionBy("_u", "_b")
+    e = e.withColumn("_start", F.min(F.when(F.col("_kind") == start, F.col("_t"))).over(cell))
+    is_finish = F.col("_kind") == finish
+    cells = e.groupBy("_u", "_b").agg(
+        F.max("_start").alias("_start"), F.min(F.when(is_finish, F.col("_t"))).alias("_finish"),
+        F.min(F.when(is_finish & (F.col("_t") >= F.col("_start")), F.col("_t"))).alias("_after"), F.count_if(F.col("_kind") == guardrail).alias("_g"))
+    # one row per user and hour from here on
+    placed = cells.withColumn("_t0", F.min("_start").over(Window.partitionBy("_u")))
+    first_cell = F.date_trunc("hour", "_t0")
+    done = F.when(F.col("_b") == first_cell, F.col("_after")).when(F.col("_b") > first_cell, F.col("_finish"))
+    per_user = placed.groupBy("_u").agg(F.max("_t0").alias("_t0"), F.min(done).alias("_t1"), F.sum("_g").alias("_g"))
     us = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col("_t1"))
     return per_user.agg(
         F.count(F.col("_t0")).alias("starters"),

@@ -7,11 +7,12 @@ never a machine-local temp folder.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.upsert import path_exists
 from tidemark.session import shared_path
 from tidemark.sources.tables import read_table
 
@@ -52,19 +53,19 @@ def file_stats(spark: SparkSession, path: str) -> DataFrame:
                      F.count(F.lit(1)).alias("num_files"))
 
 
-def layout_experiment(fact: DataFrame, variants: Sequence[tuple[str, int, Sequence[str]]],
-                      base: str | None = None) -> DataFrame:
-    """C20: write ``fact`` once (D36), then each (label, n_files, sort columns)
-    layout from that copy, and report rows, size and file count per layout."""
-    spark = fact.sparkSession
-    base = base or shared_path(spark, "layout")
-    src = f"{base}/fact"
-    fact.write.mode("overwrite").parquet(src)
-    staged = spark.read.parquet(src)
-    out = None
+def write_layouts(fact: DataFrame, variants: Sequence[tuple[str, int, Sequence[str]]], base: str) -> None:
+    """C20: write ``fact`` once (D36), then each (label, n_files, sort columns) layout from that copy."""
+    fact.write.mode("overwrite").parquet(f"{base}/fact")
+    staged = fact.sparkSession.read.parquet(f"{base}/fact")
     for label, n, cols in variants:
+        write_sorted(staged, f"{base}/{label}_{n:02d}", n, cols)
+
+
+def layout_report(spark: SparkSession, variants: Sequence[tuple[str, int, Sequence[str]]], base: str) -> DataFrame:
+    """C20: rows, size and file count of each written layout."""
+    out = None
+    for label, n, _ in variants:
         path = f"{base}/{label}_{n:02d}"
-        write_sorted(staged, path, n, cols)
         rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))  # from the file footers
         row = file_stats(spark, path).unionByName(rows, allowMissingColumns=True).groupBy(
             F.lit(label).alias("layout"), F.lit(n).alias("n_partitions")).agg(*[F.max(c).alias(c) for c in ("rows", "size_bytes", "num_files")])
@@ -72,6 +73,28 @@ def layout_experiment(fact: DataFrame, variants: Sequence[tuple[str, int, Sequen
     return out
 
 
+def layout_experiment(fact: DataFrame, variants: Sequence[tuple[str, int, Sequence[str]]],
+                      base: str | None = None) -> DataFrame:
+    """C20: the layouts written and reported."""
+    base = base or shared_path(fact.sparkSession, "layout")
+    write_layouts(fact, variants, base)
+    return layout_report(fact.sparkSession, variants, base)
+
+
+_WRITTEN: dict[tuple, str] = {}
+
+
+def written_once(spark: SparkSession, name: str, key: tuple, write: Callable[[str], None]) -> str:
+    """Where ``write(path)`` has put its tables: called once per application, name and key (the inputs and
+    parameters that it depends on), and again only if the folder is gone."""
+    full = (spark.sparkContext.applicationId, name, *key)
+    if full not in _WRITTEN or not path_exists(spark, _WRITTEN[full]):
+        path = shared_path(spark, name)
+        write(path)
+        _WRITTEN[full] = path
+    return _WRITTEN[full]
+
+
 def create_bucketed_table(spark: SparkSession, table: str, columns_ddl: str, key: str, buckets: int,
                           path: str, partition_by: str | None = None) -> None:
     """Typed table DDL, bucketed (and optionally partitioned), at ``path``."""

@@ -93,15 +93,15 @@ def missing_business_days(df: DataFrame, key: str, day: str) -> DataFrame:
 def snapshot_or_fallback(daily: DataFrame, key: str, day: str, value: str, end) -> DataFrame:
     """Q5: a row per key and day from its first day to ``end`` (a key that starts
     later has none); a missing day carries the last earlier value forward, flagged ``is_provisional``."""
-    first = daily.groupBy(key).agg(F.min(day).alias("_a"))
     until = F.lit(end).cast("date")
-    grid = first.where(F.col("_a") <= until).select(key, F.explode(F.sequence("_a", until)).alias(day))
-    g = grid.join(daily.select(key, day, value), [key, day], "left")
-    w = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
-    src = F.last(F.when(F.col(value).isNotNull(), F.struct(F.col(day).alias("d"), F.col(value).alias("v"))),
-                 ignorenulls=True).over(w)
-    return g.select(key, day, src["v"].alias(value), src["d"].alias("source_day"),
-                    F.col(value).isNull().alias("is_provisional"))
+    w = Window.partitionBy(key).orderBy(day)
+    # every known value (and a key's first day, known or not) holds until the next one: no grid, no join
+    known = daily.where(F.col(day) <= until).select(key, day, value, (F.row_number().over(w) == 1).alias("_first")) \
+                 .where(F.col(value).isNotNull() | F.col("_first"))
+    g = known.withColumn("_until", F.coalesce(F.date_sub(F.lead(day).over(w), 1), until)) \
+             .select(key, F.col(day).alias("_source"), value, F.explode(F.sequence(day, "_until")).alias(day))
+    return g.select(key, day, value, F.when(F.col(value).isNotNull(), F.col("_source")).alias("source_day"),
+                    (F.col(value).isNull() | (F.col("_source") != F.col(day))).alias("is_provisional"))
 
 
 # ---------------------------------------------------------------- Q10-Q12
@@ -263,11 +263,10 @@ def attribute_last_touch(events: DataFrame, user: str, ts: str, tie: str, is_tou
 def double_count(df: DataFrame, key: str, day: Column, user: str) -> DataFrame:
     """Q20: per key, the sum of daily distinct users against the distinct users
     of the whole period; the difference is the double count."""
-    d = df.where(F.col(user).isNotNull()).withColumn("_day", day)
-    daily = d.groupBy(key, "_day").agg(F.countDistinct(user).alias("_u"))
-    a = daily.groupBy(key).agg(F.sum("_u").cast("bigint").alias("sum_daily_uniques"))
-    b = d.groupBy(key).agg(F.countDistinct(user).alias("distinct_users"))
-    return a.join(b, key, "inner").withColumn("overcount", F.col("sum_daily_uniques") - F.col("distinct_users"))
+    days = df.where(F.col(user).isNotNull()).select(key, day.alias("_day"), F.col(user).alias("_user")).distinct()
+    per_user = days.groupBy(key, "_user").agg(F.count(F.lit(1)).alias("_days"))
+    return (per_user.groupBy(key).agg(F.sum("_days").cast("bigint").alias("sum_daily_uniques"), F.count(F.lit(1)).alias("distinct_users"))
+                    .withColumn("overcount", F.col("sum_daily_uniques") - F.col("distinct_users")))
 
 
 # ---------------------------------------------------------------- Q21-Q23
@@ -278,12 +277,16 @@ def round_money(amount: Column, rate: str, scale: int = 2) -> tuple[Column, Colu
     return F.round(x, scale), F.bround(x, scale)
 
 
-def fiscal_calendar(days: DataFrame, day: str, start_month: int = 2) -> DataFrame:
-    """Q22: calendar rows for the given days: fiscal year/quarter for a fiscal
-    year starting in ``start_month`` (named by the calendar year it ends in)."""
+def with_fiscal(df: DataFrame, day: str, start_month: int = 2) -> DataFrame:
+    """Q22: ``df`` with the fiscal year and quarter of ``day``, for a fiscal year starting in
+    ``start_month`` (named by the calendar year it ends in)."""
     shifted = F.add_months(F.col(day), 13 - start_month)
-    return days.select(day).distinct().select(
-        day, F.year(shifted).alias("fiscal_year"), F.quarter(shifted).alias("fiscal_quarter"))
+    return df.withColumn("fiscal_year", F.year(shifted)).withColumn("fiscal_quarter", F.quarter(shifted))
+
+
+def fiscal_calendar(days: DataFrame, day: str, start_month: int = 2) -> DataFrame:
+    """Q22: calendar rows (day, fiscal_year, fiscal_quarter) of the given days."""
+    return with_fiscal(days.select(day).distinct(), day, start_month)
 
 
 def period_complete(df: DataFrame, day: Column) -> DataFrame:

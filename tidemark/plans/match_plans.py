@@ -61,16 +61,21 @@ def c19_medal_per_map(spark, sf_dir):
     return mt.medal_per_map(fact(spark, sf_dir), MEDAL_OF_INTEREST)
 
 
+def _layouts(spark, sf_dir):
+    """The experiment's folder; both of its reports read the same layouts."""
+    return layout.written_once(spark, "layout", (sf_dir,), lambda base: layout.write_layouts(fact(spark, sf_dir), LAYOUTS, base))
+
+
 def c20_layout_experiment(spark, sf_dir):
     """Rows written per layout and whether it kept to its file count; the sizes
     depend on the encoder, so ``c20_layout_sizes`` has them."""
-    out = layout.layout_experiment(fact(spark, sf_dir), LAYOUTS)
+    out = layout.layout_report(spark, LAYOUTS, _layouts(spark, sf_dir))
     return out.select("layout", "n_partitions", "rows", (F.col("num_files") <= F.col("n_partitions")).alias("files_within"))
 
 
 def c20_layout_sizes(spark, sf_dir):
     """The measured sizes and file counts of the layouts, smallest first; no oracle, as they depend on the encoder."""
-    out = layout.layout_experiment(fact(spark, sf_dir), LAYOUTS)
+    out = layout.layout_report(spark, LAYOUTS, _layouts(spark, sf_dir))
     return out.select("layout", "n_partitions", "rows", "size_bytes", "num_files").orderBy("size_bytes", "layout", "n_partitions")
 
 
@@ -93,23 +98,26 @@ def s06_period_table(spark, sf_dir):
     return spark.read.parquet(path).groupBy("season").agg(F.count(F.lit(1)).alias("games"), F.sum("home_team_id").cast("bigint").alias("home_sum"))
 
 
+def bucketed_tables(spark, sf_dir, buckets=BUCKETS):
+    """Names of the bucketed matches, details and medal tables, written once per application.
+
+    The bucket count is the joins' parallelism: choose it by the size of the largest table, about
+    1 GB a bucket; 16 is what the reference asks for."""
+    def write(base):
+        tag = base.rstrip("/").rsplit("/", 1)[-1]
+        for name, source in (("matches", fx.matches), ("match_details", fx.match_details), ("medals_players", fx.medals_matches_players)):
+            layout.write_bucketed(source(spark, sf_dir), f"{name}_b{tag}", "match_id", buckets, f"{base}/{name}")
+
+    tag = layout.written_once(spark, "bucketed", (sf_dir, buckets), write).rstrip("/").rsplit("/", 1)[-1]
+    return [f"{name}_b{tag}" for name in ("matches", "match_details", "medals_players")]
+
+
 def j12_bucketed_match_fact(spark, sf_dir):
-    """The match fact with matches, details and medal rows first written as
-    16-bucket tables on match_id: the joins on match_id then read co-located
-    buckets without an Exchange."""
-    base = shared_path(spark, "bucketed")
-    tag = uuid.uuid4().hex[:8]
-    m = layout.write_bucketed(fx.matches(spark, sf_dir), f"matches_b{tag}", "match_id", BUCKETS,
-                              f"{base}/matches")
-    d = layout.write_bucketed(fx.match_details(spark, sf_dir), f"match_details_b{tag}", "match_id",
-                              BUCKETS, f"{base}/match_details")
-    p = layout.write_bucketed(fx.medals_matches_players(spark, sf_dir), f"medals_players_b{tag}",
-                              "match_id", BUCKETS, f"{base}/medals_players")
+    """The match fact over tables bucketed on match_id: the joins on match_id read
+    co-located buckets without an Exchange."""
+    m, d, p = (spark.table(t) for t in bucketed_tables(spark, sf_dir))
     mm = mt.medal_map(p, fx.medals(spark, sf_dir), prepartition=False)
-    out = _flat(mt.match_fact(m, d, mm, fx.maps(spark, sf_dir)))
-    for name in ("matches", "match_details", "medals_players"):  # external tables: the files stay for ``out``
-        spark.sql(f"DROP TABLE {name}_b{tag}")
-    return out
+    return _flat(mt.match_fact(m, d, mm, fx.maps(spark, sf_dir)))
 
 
 QUERIES = {

@@ -61,7 +61,7 @@ def q04_missing_rate_days(spark, sf_dir):
 
 def q05_snapshot_fallback(spark, sf_dir):
     daily = sp.host_daily_metrics(spark, sf_dir).select("host", "date", "hits")
-    return qa.snapshot_or_fallback(daily, "host", "date", "hits", fx.event_days(spark, sf_dir)[1])
+    return qa.snapshot_or_fallback(daily, "host", "date", "hits", fx.event_span(spark, sf_dir)[1])
 
 
 def q06_reprocess_days(spark, sf_dir):
@@ -131,7 +131,7 @@ def q13_business_day(spark, sf_dir):
 def q14_active_users(spark, sf_dir):
     days = fx.web_events(spark, sf_dir).where(F.col("user_id").isNotNull()) \
         .select("user_id", F.to_date("event_time").alias("day"))
-    return qa.active_users(days, {"dau": 1, "wau": 7, "mau": 30}, *fx.event_days(spark, sf_dir))
+    return qa.active_users(days, {"dau": 1, "wau": 7, "mau": 30}, *fx.event_span(spark, sf_dir))
 
 
 def _order_lines(spark, sf_dir):
@@ -244,10 +244,10 @@ def q21_round_money(spark, sf_dir):
 def q22_fiscal_period(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"),
                                              F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
-    cal = qa.fiscal_calendar(o, "day", FISCAL_START_MONTH)
-    return (o.join(cal, "day", "inner")
-             .groupBy("fiscal_year", "fiscal_quarter")
-             .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("cents").cast("bigint").alias("revenue_cents")))
+    daily = o.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"))
+    return (qa.with_fiscal(daily, "day", FISCAL_START_MONTH).where(F.col("day").isNotNull())
+              .groupBy("fiscal_year", "fiscal_quarter")
+              .agg(F.sum("n").alias("n_orders"), F.sum("cents").cast("bigint").alias("revenue_cents")))
 
 
 def q23_period_complete(spark, sf_dir):

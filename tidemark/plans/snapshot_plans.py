@@ -21,7 +21,7 @@ SCD_ATTRS = ["quality_class", "is_active"]
 
 
 def actor_snapshots(spark, sf_dir, upto=None, with_films=True):
-    upto = fx.last_year(spark, sf_dir) if upto is None else upto
+    upto = fx.last_year_of(spark, sf_dir) if upto is None else upto
     return cu.cumulate_actors_backfill(fx.actor_films(spark, sf_dir), upto, with_films=with_films)
 
 
@@ -32,12 +32,22 @@ def c03_cumulate_actors(spark, sf_dir):
                        "quality_class", "is_active", "current_year")
 
 
+def f18_metric_maps(spark, sf_dir):
+    """Typed maps built from key and value columns (F18), one per actor and year, and taken apart again."""
+    y = fx.actor_films(spark, sf_dir).groupBy("actorid", "year").agg(
+        F.count(F.lit(1)).alias("films"), F.sum("votes").alias("votes"), F.max("rating").alias("best"))
+    metrics = F.create_map(*[c for n in ("films", "votes", "best") for c in (F.lit(n), F.col(n).cast("double"))])
+    maps = y.select("actorid", "year", metrics.alias("metrics"))
+    return maps.select("actorid", "year", (F.col("metrics")["votes"] / F.col("metrics")["films"]).alias("votes_per_film"),
+                       F.explode("metrics").alias("metric", "value"))
+
+
 def c04_scd2_backfill(spark, sf_dir):
     return actor_history(spark, sf_dir)
 
 
 def actor_history(spark, sf_dir):
-    last = fx.last_year(spark, sf_dir)
+    last = fx.last_year_of(spark, sf_dir)
     snap = actor_snapshots(spark, sf_dir, last, with_films=False)
     return scd.scd2_backfill(snap, "actorid", SCD_ATTRS, "current_year", last, carry=["actor"])
 
@@ -81,10 +91,9 @@ def user_device_events(spark, sf_dir):
 
 
 def user_devices_cumulated(spark, sf_dir, as_of=None):
-    start, last = fx.event_days(spark, sf_dir)
-    as_of = last if as_of is None else as_of
     active = cu.daily_active_keys(user_device_events(spark, sf_dir), ["user_id", "browser_type"],
-                                  "event_time", start, as_of, not_null=["user_id"])
+                                  "event_time", None, as_of, not_null=["user_id"])
+    as_of = fx.event_span(spark, sf_dir)[1] if as_of is None else as_of
     return cu.cumulate_datelist_backfill(active, ["user_id", "browser_type"], as_of,
                                          "device_activity_datelist")
 
@@ -98,8 +107,8 @@ def c06_user_devices_cumulated(spark, sf_dir):
 
 def c06_hosts_cumulated(spark, sf_dir):
     we = fx.web_events(spark, sf_dir).select(F.col("subhost").alias("host"), "user_id", "event_time")
-    start, as_of = fx.event_days(spark, sf_dir)
-    active = cu.daily_active_keys(we, ["host"], "event_time", start, as_of, not_null=["user_id"])
+    as_of = fx.event_span(spark, sf_dir)[1]
+    active = cu.daily_active_keys(we, ["host"], "event_time", None, None, not_null=["user_id"])
     s = cu.cumulate_datelist_backfill(active, ["host"], as_of, "host_activity_datelist")
     return s.select("host", join_text(F.col("host_activity_datelist")).alias("host_activity_datelist"),
                     F.size("host_activity_datelist").cast("bigint").alias("n_dates"), "date")
@@ -113,11 +122,11 @@ def c07_datelist_bits(spark, sf_dir):
 
 def host_daily_metrics(spark, sf_dir):
     we = fx.web_events(spark, sf_dir).select(F.col("subhost").alias("host"), "user_id", "event_time")
-    return cu.daily_metrics(we, "host", "event_time", "user_id", *fx.event_days(spark, sf_dir))
+    return cu.daily_metrics(we, "host", "event_time", "user_id")
 
 
 def host_activity_reduced(spark, sf_dir):
-    return cu.reduced_fact_backfill(host_daily_metrics(spark, sf_dir), "host", fx.event_days(spark, sf_dir)[1])
+    return cu.reduced_fact_backfill(host_daily_metrics(spark, sf_dir), "host", fx.event_span(spark, sf_dir)[1])
 
 
 def c08_host_activity_reduced(spark, sf_dir):
@@ -133,6 +142,7 @@ def c09_reduced_fact_daily(spark, sf_dir):
 QUERIES = {
     "c03_cumulate_actors": c03_cumulate_actors,
     "c03_step": c03_step,
+    "f18_metric_maps": f18_metric_maps,
     "c06_step": c06_step,
     "c04_scd2_backfill": c04_scd2_backfill,
     "c05_scd2_increment": c05_scd2_increment,
@@ -245,3 +255,9 @@ GROUP BY 1""", "web_events"),
 }
 ORACLE["c03_step"] = ORACLE["c03_cumulate_actors"] + f" WHERE s.current_year = {LAST_YEAR}"
 ORACLE["c06_step"] = ORACLE["c06_user_devices_cumulated"]
+
+ORACLE["f18_metric_maps"] = with_views("""
+WITH y AS (SELECT actorid, year, count(*) AS films, sum(votes) AS votes, max(rating) AS best FROM actor_films GROUP BY 1, 2)
+SELECT actorid, year, votes / films AS votes_per_film, 'films' AS metric, CAST(films AS DOUBLE) AS value FROM y
+UNION ALL SELECT actorid, year, votes / films, 'votes', CAST(votes AS DOUBLE) FROM y
+UNION ALL SELECT actorid, year, votes / films, 'best', best FROM y""", "actor_films")

@@ -120,11 +120,22 @@ def event_days(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
     return tuple(load(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first())
 
 
-def players(spark: SparkSession, sf_dir: str, last_season: int | None = None) -> DataFrame:
+def last_year_of(spark: SparkSession, sf_dir: str) -> Column:
+    """``last_year`` as a scalar subquery: computed inside the plan that uses it."""
+    return load(spark, sf_dir, "orders").agg(F.max(F.year("o_orderdate"))).scalar()
+
+
+def event_span(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
+    """``event_days`` as scalar subqueries."""
+    day, events = F.to_date("ts"), load(spark, sf_dir, "events")
+    return events.agg(F.min(day)).scalar(), events.agg(F.max(day)).scalar()
+
+
+def players(spark: SparkSession, sf_dir: str, last_season: int | Column | None = None) -> DataFrame:
     """player_name, current_season, is_active: every season from a customer's
     first order up to ``last_season`` (default: the data's newest); active
     when it ordered that year."""
-    last_season = last_year(spark, sf_dir) if last_season is None else last_season
+    last_season = last_year_of(spark, sf_dir) if last_season is None else last_season
     o = load(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").cast("int").alias("y"))
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
     seasons = (o.groupBy("o_custkey")
