@@ -43,7 +43,7 @@ CAPACITY = 1024
 END_ID = 2
 #: Entries of each of the two generations of a worker's word cache: when the young one is full it
 #: becomes the old one, and words met again come back from there.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 #: Texts whose new words are looked up together.
 TEXTS_AT_ONCE = 1024
 #: Pieces of one length that a task numbers, about; and parts at most.
