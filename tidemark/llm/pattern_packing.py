@@ -37,15 +37,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.staging import row_key, staged
-from tidemark.llm.textbytes import fill_text
+from tidemark.llm.textbytes import fill_text, pieces
 
 CAPACITY = 1024
 END_ID = 2
 #: Entries of each of the two generations of a worker's word cache: when the young one is full it
 #: becomes the old one, and words met again come back from there.
 CACHE_WORDS = 600_000
-#: Texts whose new words are looked up together.
-TEXTS_AT_ONCE = 1024
+#: Bytes of whole texts whose words are looked up together.
+PIECE_BYTES = 4_000_000
 #: Pieces of one length that a task numbers, about; and parts at most.
 ROWS_PER_SALT, MAX_SALTS = 2_000_000, 4096
 
@@ -61,27 +61,39 @@ def tokenizer_json(path: str | None = None) -> str:
         return f.read()
 
 
-#: Every white-space character but blank and line feed (and some that only look like it), and NUL.
-_RARE = re.compile("[\0\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
-_PAIRS = ("  ", " \n", "\n ", "\n\n")
-#: A blank before a visible character always starts a new token, whatever precedes it.
-_CUT = re.compile("(?<=.)(?= [!-~\u00a1-\u167f])", re.S)
 #: One token run of letters, with a blank before them or not, and one of ASCII signs after it or none.
 _WORD = re.compile("([ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)").fullmatch
 #: Sign runs that a worker keeps.
 TAILS = 10_000
 
 
-def split_words(text: str) -> list[str]:
-    """``text`` cut where the tokenizer surely starts a new token: before each blank
-    and around each line feed if these are single and the only white space, else
-    before blanks that a visible character follows."""
-    if not text:
-        return []
-    if text[-1] in " \n" or any(p in text for p in _PAIRS) or _RARE.search(text):
-        return _CUT.split(text)
-    parts = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-    return parts[1:] if not parts[0] else parts
+def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
+    table = np.zeros(256, bool)
+    for first, last in ranges:
+        table[first: last + 1] = True
+    return table
+
+
+#: ASCII signs, digits and letters; these and the first bytes of characters from U+00C0 to U+07FF.
+_VISIBLE, _STARTS = _bytes((0x21, 0x7E)), _bytes((0x21, 0x7E), (0xC3, 0xDF))
+
+
+def cut_places(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Where the texts raw[off[i]:off[i + 1]] can be cut because the tokenizer surely starts a new
+    token: at each start, before a blank that a visible character follows (whatever precedes it), and
+    around a line feed between visible ones."""
+    after, second = np.append(raw[1:], np.uint8(0)), np.append(raw[2:], np.zeros(min(2, len(raw)), np.uint8))[: len(raw)]
+    seen = _STARTS[after] | ((after == 0xC2) & (second >= 0xA1))
+    starts = off[:-1][off[1:] > off[:-1]]
+    seen[off[1:][off[1:] > off[:-1]] - 1] = False  # nothing follows a text's last byte
+    behind = np.append(False, _VISIBLE[raw[:-1]]) if len(raw) else np.zeros(0, bool)
+    behind[starts] = False
+    cut = (raw == 0x20) & seen
+    feeds = np.flatnonzero((raw == 0x0A) & seen & behind)
+    cut[feeds] = True
+    cut[feeds + 1] = True
+    cut[starts] = True
+    return np.flatnonzero(cut)
 
 
 def byte_letters() -> dict[int, str]:
@@ -132,31 +144,49 @@ class WordCoder:
                 self.home.tails[run] = ids
         return ids
 
-    def _ids(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of each word; those that the young generation lacks come from the old one or are made."""
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """The ids of different words; those that the young generation lacks come from the old one or are made."""
         home, get, old = self.home, self.home.cache.get, self.home.old.get
-        known = dict(zip(words, map(get, words)))
-        fresh = {}
-        for w in [w for w, ids in known.items() if ids is None]:
-            ids = old(w)
-            if ids is None:
-                word = _WORD(w)
-                if word is None:
-                    ids = self._whole(w)
-                else:
-                    run, signs = word.groups()
-                    ids = (get(run) or old(run) or self._letters(run)) + self._signs(signs) if signs else self._letters(run)
-            fresh[w] = ids
-        known.update(fresh)
+        found, fresh = list(map(get, words)), {}
+        for i, w in enumerate(words):
+            if found[i] is None:
+                ids = old(w)
+                if ids is None:
+                    word = _WORD(w)
+                    if word is None:
+                        ids = self._whole(w)
+                    else:
+                        run, signs = word.groups()
+                        ids = (get(run) or old(run) or self._letters(run)) + self._signs(signs) if signs else self._letters(run)
+                found[i] = fresh[w] = ids
         home.cache.update(fresh)
         if len(home.cache) >= CACHE_WORDS:
             home.old, home.cache = home.cache, {}
-        return known
+        return found
+
+    def piece_ids(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a piece, where each text's ids start and the last ones end).
+
+        Every different part is looked up once; the texts' ids are gathered from theirs."""
+        at = cut_places(raw, off)
+        parts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(raw)).astype(np.int64)), pa.py_buffer(raw.tobytes()))
+        code = parts.dictionary_encode()
+        known = self._ids(code.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(known), "<u4")
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first, part = np.cumsum(size) - size, code.indices.to_numpy()
+        length = size[part]
+        end = np.append(0, np.cumsum(length))
+        flat = ids[np.repeat(first[part] - end[:-1], length) + np.arange(end[-1])]
+        return flat, end[np.searchsorted(at, off)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [split_words(t) for t in texts]
-        ids = self._ids(set().union(*parts)).__getitem__
-        return [b"".join(map(ids, ws)) for ws in parts]
+        """The ids of each text, as little-endian uint32 bytes."""
+        out = []
+        for _, _, raw, off in pieces(pa.array(texts, pa.large_string()), PIECE_BYTES):
+            flat, at = self.piece_ids(raw, off)
+            out += [flat[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+        return out
 
 
 def cut_pieces(n_ids: int, capacity: int) -> list[tuple[int, int]]:
@@ -171,14 +201,15 @@ def _piece_batches(json_text: str, capacity: int, end_id: int):
         coder = WordCoder(json_text)
         tail = np.array([end_id], "<u4").tobytes()
         for b in batches:
-            for at in range(0, b.num_rows, TEXTS_AT_ONCE):
-                part = b.slice(at, TEXTS_AT_ONCE)
-                rows: list[list] = [[] for _ in range(6)]
-                for doc_id, rk, ids in zip(part.column("doc_id").to_pylist(), part.column("rk").to_pylist(),
-                                           coder.encode(fill_text(part.column("text")).to_pylist())):
-                    ids += tail
-                    for k, (start, length) in enumerate(cut_pieces(len(ids) // 4, capacity)):
-                        for column, v in zip(rows, (doc_id, rk, k, start, length, zlib.crc32(ids[4 * start: 4 * (start + length)]))):
+            doc_ids, keys = b.column("doc_id").to_pylist(), b.column("rk").to_pylist()
+            for i, j, raw, off in pieces(fill_text(b.column("text")), PIECE_BYTES):
+                flat, at = coder.piece_ids(raw, off)
+                whole, rows = memoryview(flat).cast("B"), [[] for _ in range(6)]
+                for doc_id, rk, first, last in zip(doc_ids[i:j], keys[i:j], at[:-1].tolist(), at[1:].tolist()):
+                    for k, (start, length) in enumerate(cut_pieces(last - first + 1, capacity)):
+                        a, z = first + start, first + start + length
+                        crc = zlib.crc32(whole[4 * a: 4 * min(z, last)])
+                        for column, v in zip(rows, (doc_id, rk, k, start, length, zlib.crc32(tail, crc) if z > last else crc)):
                             column.append(v)
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, kinds)],
