@@ -10,14 +10,15 @@ pages has more blocks, so no group grows with the data).  In each block:
    order everywhere, is valid and is the template's spine; classes of repeated
    tokens are valid if they keep their order and nest inside one gap of the spine.
 3. Text of the spine or of a valid repeated class (the same at the same path in
-   ``SUPPORT`` of the pages with content, if these are ``MIN_PAGES`` or more) belongs to the
-   template, unless an element that is named as the article holds it.  What lies in
-   the gaps are slots.  In a named article the lists of names below decide alone.
+   ``SUPPORT`` of the different pages with content, if these are ``MIN_PAGES`` or more) belongs to
+   the template, inside an article too, where headings are spared.  What lies in the gaps are
+   slots.  Pages that would lose more than half of their article that way are copies of
+   each other rather than filled templates, and keep it.
 4. Slots are extracted if they lie inside the article (anywhere if no page names
-   one), outside menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-   styles and comments.  A class, id or role marks such a region if the whole name says
-   so, but never on an article, main or heading, nor on an element that holds more than
-   half of the page's text.
+   one; the whole ``main`` where it holds the article), outside menus, headers, footers,
+   sidebars, notices, adverts, forms, scripts, styles and comments.  A class, id or role marks
+   such a region if the whole name says so, but never on main or a heading, on an article only if it
+   says comment or teaser, and never on an element that holds more than half of the page's text.
 
 A page that does not follow its block's template is read by the same rules from its own
 tokens.  Text: references decoded, white space inside a block to one space,
@@ -58,10 +59,14 @@ MAIN = frozenset(("article", "main"))
 OUTSIDE_WORDS = frozenset((
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus "
     "dropdown footer form header masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted "
-    "related replies search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget complementary contentinfo").split())
+    "related replies search share sharing sidebar signup skip social sponsor sponsored subscribe teaser teasers toolbar widget complementary contentinfo").split())
 #: Words that a whole name may hold beside these (``site-footer``; ``has-sidebar`` and ``article-header`` say something else).
-BESIDE_WORDS = frozenset("site global top bottom left right bar box button buttons link links list wrapper container".split())
-UNMARKED = MAIN | frozenset("html body h1 h2 h3 h4 h5 h6".split())
+BESIDE_WORDS = frozenset(("site global top bottom left right bar box button buttons link links list wrapper container area block body inner item items "
+                          "panel section slot this author reader user post posts story stories page pages").split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+UNMARKED = HEADINGS | frozenset("html body main".split())
+#: The words that mark an article as none.
+NO_ARTICLE = frozenset("comment comments replies teaser teasers".split())
 #: Elements whose start closes an open one of the same kind.
 SELF_CLOSING = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table article section div nav aside footer header main form body".split())
@@ -142,7 +147,7 @@ def _marked(part: str) -> bool:
         return False
     for mark in marks.split():
         words = set(re.split(r"[^a-z0-9]+", mark)) - {""}
-        if words & OUTSIDE_WORDS and words <= OUTSIDE_WORDS | BESIDE_WORDS:
+        if words & (NO_ARTICLE if name == "article" else OUTSIDE_WORDS) and words <= OUTSIDE_WORDS | BESIDE_WORDS:
             return True
     return False
 
@@ -167,7 +172,8 @@ class Template:
     """Equivalence classes of a block of pages."""
 
     def __init__(self, pages: list[list[Token]]) -> None:
-        pages = [page for page in pages if any(t.text and not t.text.isspace() for t in page)]
+        different = {tuple((t.role, t.text) for t in page): page for page in pages if any(t.text and not t.text.isspace() for t in page)}
+        pages = list(different.values())
         n = len(pages)
         counts: dict = defaultdict(Counter)
         for p, page in enumerate(pages):
@@ -180,9 +186,13 @@ class Template:
         #: Repeated classes that stay inside one gap of the spine.
         self.repeated = self._nested(pages, {r: k for k, (vector, roles) in enumerate(classes.items()) if max(vector) > 1 and sum(v > 0 for v in vector) >= SUPPORT * n for r in roles})
         self.fixed_text = {r for r in self.spine | self.repeated if r[0] == "t" and r[1]} if n >= MIN_PAGES else set()
-        self.fixed_text = {r for r in self.fixed_text if MAIN.isdisjoint(x.split(":")[0] for x in r[2])}
+        self.fixed_text = {r for r in self.fixed_text if not self._in_article(r[2]) or HEADINGS.isdisjoint(x.split(":")[0] for x in r[2])}
         self.main = self._main(pages)
 
+    @staticmethod
+    def _in_article(path: tuple[str, ...]) -> bool:
+        return not MAIN.isdisjoint(x.split(":")[0] for x in path)
+
     @staticmethod
     def role(t: Token):
         return t.role or ("t", t.text.strip(), t.path)
@@ -225,15 +235,30 @@ class Template:
         return t.text is not None and self.role(t) not in self.fixed_text
 
     def _main(self, pages: list[list[Token]]) -> str | None:
-        """Name of the element that holds the article, if any page names one."""
+        """Name of the element that holds the article, if any page names one: ``main`` where articles lie in it."""
         named: Counter = Counter()
         for page in pages:
             outside = _outside_paths(page)
             for t in page:
-                if self.slot(t) and t.path not in outside:
-                    for name in {part.split(":")[0] for part in t.path} & MAIN:
+                if t.text is not None and t.path not in outside:
+                    for name in _containers(t.path):
                         named[name] += len(t.text)
-        return ("article" if named["article"] else "main") if named else None
+        return _container(named)
+
+
+def _containers(path: tuple[str, ...]) -> set[str]:
+    """``article`` and ``main`` if the path lies in them, and ``main article`` if it lies in an article inside main."""
+    names = [part.split(":")[0] for part in path]
+    found = MAIN.intersection(names)
+    return found | {"main article"} if len(found) == 2 and names.index("main") < names.index("article") else found
+
+
+def _container(named: Counter) -> str | None:
+    if not named:
+        return None
+    if not named["article"]:
+        return "main"
+    return "main" if 2 * named["main article"] > named["article"] else "article"
 
 
 def _inside(path: tuple[str, ...], main: str | None) -> bool:
@@ -245,10 +270,14 @@ def article(page: list[Token], template: Template) -> str:
     named = any(_inside(t.path, template.main) for t in page if t.text is not None)
     main = template.main if named else next((m for m in ("article", "main") if any(_inside(t.path, m) for t in page)), None)
     outside = _outside_paths(page)
+    inside = [t for t in page if t.text is not None and _inside(t.path, main) and t.path not in outside]
+    slots = [t for t in inside if template.slot(t)]
+    size = lambda ts: sum(len(t.text.strip()) for t in ts)
+    if main is not None and 2 * size(slots) < size(inside):
+        slots = inside
     blocks: dict[int, list[str]] = defaultdict(list)
-    for t in page:
-        if template.slot(t) and _inside(t.path, main) and t.path not in outside:
-            blocks[t.block].append(t.text)
+    for t in slots:
+        blocks[t.block].append(t.text)
     lines = (_SPACE.sub(" ", entities.unescape("".join(parts))).strip() for _, parts in sorted(blocks.items()))
     return "\n".join(x for x in lines if x)
 
