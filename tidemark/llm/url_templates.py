@@ -17,9 +17,7 @@ the frequent values only, which is broadcast behind a checked size, else salted,
 host with a third of all pages is never gathered.  The tree goes down as far as any
 template still has ``MIN_PAGES`` pages with segments; below that all values are rare.
 
-The SQL stops at ``MAX_DEPTH`` levels and drops values under a ``MIN_SHARE``-th of their
-siblings' pages.  Where paths are deeper or such values exist, the query goes further
-than its SQL.
+The SQL grows the same tree by recursion, level by level, over single pages instead of counts.
 
 Only DataFrame functions run here.  Defined cases: a null url, or one without
 ``://``, has an empty host and path; pages without a label shape the tree but not
@@ -28,20 +26,21 @@ the purity; repeated rows count each; without labels everything is allowed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.decontaminate import LOWER, MAX_BROADCAST, UPPER, bounded
+from tidemark.llm.decontaminate import LOWER, MAX_BROADCAST, UPPER
 from tidemark.llm.staging import staged
 
-MIN_PAGES, MIN_SHARE = 8, 50  # MIN_SHARE and MAX_DEPTH bound the SQL only
+MIN_PAGES = 8
 SAME = 3.84
 PRIOR = 20
 REJECT = 0.7
-MAX_DEPTH = 4
 #: Levels between two written tables of the pages that go deeper.
 STEP = 4
-#: Parts into which each value is dealt where the frequent values are too many to broadcast.
+#: Parts into which each key is dealt where a looked-up table is too large to broadcast.
 SALTS = 16
 
 #: The contract's rules (verdict, host, path).
@@ -72,13 +71,18 @@ def _deepest(df: DataFrame) -> int:
     return sizes.withColumn("_longer", longer).where(F.col("_longer") >= MIN_PAGES).agg(F.max("_size")).first()[0] or 0
 
 
-def _with_tokens(df: DataFrame, kept: DataFrame) -> DataFrame:
-    """``df`` with the _token of each frequent value."""
-    keys = ["host", "template", "_seg"]
-    if kept.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
-        return df.join(F.broadcast(kept), keys, "left")
-    dealt = kept.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return df.withColumn("_salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int")).join(dealt, [*keys, "_salt"], "left").drop("_salt")
+def _looked_up(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the columns of ``table`` (one row per ``keys``; nulls where it has none).
+
+    A small table is broadcast.  A larger one is dealt with each key in ``SALTS`` parts, so that the rows of a
+    key that a third of ``df`` has are spread over as many tasks; rows with a null key are not shuffled by it."""
+    if table.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
+        return df.join(F.broadcast(table), keys, "left")
+    dealt = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    complete = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    met = salted.where(complete).join(dealt, [*keys, "_salt"], "left").drop("_salt")
+    return met.unionByName(df.where(~complete), allowMissingColumns=True)
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -104,7 +108,7 @@ def templates(pages: DataFrame) -> DataFrame:
         same = gap * gap <= SAME * k * pg * (pk - pg)
         kept = kept.select("host", "template", "_seg", F.when(same, F.lit("~")).otherwise(F.col("_seg")).alias("_token"))
         kept = staged(df.sparkSession, kept, "url-branches")  # at most a MIN_PAGES-th of the pages; cuts the lineage of the levels above
-        df = _with_tokens(df, kept)
+        df = _looked_up(df, kept, ["host", "template", "_seg"])
         step = F.concat(F.lit("/"), F.coalesce("_token", F.lit("*")))
         df = df.withColumn("template", F.when(F.col("_seg").isNull(), F.col("template")).otherwise(F.concat("template", step))).drop("_token", "_seg")
         level += 1
@@ -127,7 +131,7 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     stats = staged(df.sparkSession, stats, "url-purity")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("purity") < REJECT, F.lit("block")).otherwise("allow")
-    return df.join(bounded(stats), ["host", "template"]).select(
+    return _looked_up(df, stats, ["host", "template"]).select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "template", "purity")
 
 
@@ -136,7 +140,7 @@ def labelled(pages: DataFrame, labels: DataFrame) -> DataFrame:
     number = F.regexp_extract(split_url(F.col("url"))[1], r"/([0-9]{1,18})(?:[/.]|$)", 1)
     named = pages.select("page_id", "url", F.when(number != "", number).cast("long").alias("_doc"))
     known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("_doc")).agg(F.max("quality").alias("good"))
-    return named.join(known, "_doc", "left").select("page_id", "url", "good")
+    return _looked_up(named, known, ["_doc"]).select("page_id", "url", "good")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,27 +148,21 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(labelled(pages, spark.read.parquet(f"{sf_dir}/labels.parquet"))).select("page_id", "host", "path", "rule", "verdict")
 
 
-def _sql_level(level: int) -> str:
-    return f"""
-c{level} AS (SELECT host, template, segs[{level + 1}] AS seg, count(*) AS n, count(good) AS k, coalesce(sum(good), 0) AS g FROM t{level} WHERE len(segs) > {level} GROUP BY ALL),
-q{level} AS (SELECT host, template, sum(n) AS pn, sum(k) AS pk, sum(g) AS pg FROM c{level} GROUP BY ALL),
-f{level} AS (SELECT host, template, seg, CASE WHEN (g * pk - k * pg) * (g * pk - k * pg) <= {SAME} * k * pg * (pk - pg) THEN '~' ELSE seg END AS token
-   FROM c{level} JOIN q{level} USING (host, template) WHERE n >= {MIN_PAGES} AND n * {MIN_SHARE} >= pn),
-t{level + 1} AS (SELECT t.page_id, t.host, t.path, t.good, t.segs, CASE WHEN len(segs) > {level} THEN t.template || '/' || coalesce(token, '*') ELSE t.template END AS template
-   FROM t{level} t LEFT JOIN f{level} f ON t.host = f.host AND t.template = f.template AND t.segs[{level + 1}] = f.seg),"""
-
-
 _FIT = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{{}}'".replace("{}", h + p)
                 for _, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2])))
 
 SQL = rf"""
-WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 lab AS (SELECT doc_id, max(quality) AS good FROM labels GROUP BY 1),
-t0 AS (SELECT page_id, host, path, good, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs, '' AS template
+t0 AS (SELECT page_id, host, path, good, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs
    FROM h LEFT JOIN lab ON try_cast(nullif(regexp_extract(path, '/([0-9]{{1,18}})(?:[/.]|$)', 1), '') AS BIGINT) = lab.doc_id),
-{''.join(_sql_level(i) for i in range(MAX_DEPTH))}
-z AS (SELECT *, CASE WHEN len(segs) > {MAX_DEPTH} THEN template || '/*' ELSE template END AS tpl FROM t{MAX_DEPTH}),
+t AS (SELECT *, '' AS tpl, 0 AS level FROM t0
+   UNION ALL SELECT page_id, host, path, good, segs,
+     tpl || '/' || CASE WHEN n < {MIN_PAGES} THEN '*' WHEN (g * pk - k * pg) * (g * pk - k * pg) <= {SAME} * k * pg * (pk - pg) THEN '~' ELSE segs[level + 1] END, level + 1
+   FROM (SELECT *, count(*) OVER s AS n, count(good) OVER s AS k, coalesce(sum(good) OVER s, 0) AS g, count(good) OVER p AS pk, coalesce(sum(good) OVER p, 0) AS pg
+         FROM t WHERE len(segs) > level WINDOW s AS (PARTITION BY host, tpl, segs[level + 1]), p AS (PARTITION BY host, tpl))),
+z AS (SELECT * FROM t WHERE level = len(segs)),
 b AS (SELECT CASE WHEN count(good) > 0 THEN CAST(coalesce(sum(good), 0) + 1 AS DOUBLE) / (count(good) + 2) ELSE 1.0 END AS base FROM t0),
 s AS (SELECT host, tpl, (coalesce(sum(good), 0) + {PRIOR} * any_value(base)) / (count(good) + {float(PRIOR)}) AS purity FROM z, b GROUP BY host, tpl),
 r AS (SELECT page_id, host, path, CASE {_FIT} END AS rule, purity FROM z JOIN s USING (host, tpl))
