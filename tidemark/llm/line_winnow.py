@@ -14,9 +14,9 @@
 4. Of equal windows the first, by (doc_id, text hash, line), stays; the lines of
    later ones are deleted.  Windows are judged on the input.
 
-``op6_line_winnow`` and its SQL take the first two rules only; ``op6_single_lines``
-and the pipeline also take ``SINGLE_WORDS``, so a line that repeats between unlike
-neighbours goes too.  A line without white space is one word.
+``op6_line_winnow`` and the pipeline take ``SINGLE_WORDS``, so a line of that many words that
+repeats between unlike neighbours goes too; ``op6_single_lines`` takes 1, so no later copy
+of any line stays.  A line without white space is one word.
 
 Only DataFrame functions run here.  Positions are only ever linked to the
 group's first place (two map-side combined minima), never to each other, and
@@ -38,8 +38,9 @@ from tidemark.llm.staging import packed_rows, row_key, staged
 
 RUN_LINES = 2
 LONG_WORDS = 50
-#: Words of a line that counts by itself where ``single_words`` is asked for.
-SINGLE_WORDS = 8
+#: Words from which on a line counts by itself, a parameter down to 1: shorter lines (headings, "Share this")
+#: go with their neighbours only, unless it is lowered.
+SINGLE_WORDS, EVERY_LINE = 8, 1
 #: A word: anything between white space (the same in Java's and RE2's syntax).
 WORD = r"[^\s\x0B\x{85}\p{Z}]+"
 #: Parts into which each group of equal keys is dealt in joins.
@@ -108,17 +109,14 @@ def dedup_lines(docs: DataFrame, run_lines: int = RUN_LINES, long_words: int = L
                       *([F.col("_n").alias("n_lines"), F.col("_m").alias("n_removed")] if report else []))
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return dedup_lines(docs, report=True).select("doc_id", "n_lines", "n_removed", "text")
+def _query(single_words: int):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+        return dedup_lines(docs, report=True, single_words=single_words).select("doc_id", "n_lines", "n_removed", "text")
+    return query
 
 
-def query_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return dedup_lines(docs, report=True, single_words=SINGLE_WORDS).select("doc_id", "n_lines", "n_removed", "text")
-
-
-SQL = f"""
+_SQL = f"""
 WITH x AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls, dense_rank() OVER (ORDER BY doc_id NULLS FIRST, text) AS k FROM documents),
 l AS (SELECT k, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM (SELECT DISTINCT k, ls FROM x WHERE text IS NOT NULL)),
 s AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY i) AS p FROM (SELECT k, i, trim(line, ' ') AS t FROM l) WHERE t <> ''),
@@ -134,7 +132,12 @@ FROM x LEFT JOIN n USING (k) LEFT JOIN t USING (k)
 """
 
 _LONG = f"length(a) - length(replace(a, ' ', '')) >= {LONG_WORDS - 1}"
-SQL_SINGLE = SQL.replace(_LONG, f"({_LONG} OR len(regexp_extract_all(a, '{WORD}')) >= {SINGLE_WORDS})")
 
-QUERIES = {"op6_line_winnow": query, "op6_single_lines": query_single}
-ORACLE = {"op6_line_winnow": SQL, "op6_single_lines": SQL_SINGLE}
+
+def _sql(single_words: int) -> str:
+    return _SQL.replace(_LONG, f"({_LONG} OR len(regexp_extract_all(a, '{WORD}')) >= {single_words})")
+
+
+SQL_SINGLE = _sql(SINGLE_WORDS)
+QUERIES = {"op6_line_winnow": _query(SINGLE_WORDS), "op6_single_lines": _query(EVERY_LINE)}
+ORACLE = {"op6_line_winnow": SQL_SINGLE, "op6_single_lines": _sql(EVERY_LINE)}
