@@ -13,9 +13,11 @@ drops the labels.  The Jaccard likeness to the edited and to the next text is ex
 only an empty side needs no intersection.
 
 The next document, by ascending doc_id and round to the first, comes from a
-window over id ranges of about ``RANGE_ROWS`` rows.  The first row of each range is
-also given to the range before it, so no range waits for another; there are
-never more than ``MAX_RANGES`` ranges.
+window over id ranges of about ``RANGE_ROWS`` rows.  Ranges of equal width are counted, and those that
+hold too many rows are cut again between their own smallest and largest id, so
+clustered ids beside a far outlier spread too (up to ``LEVELS`` cuts; equal ids stay together).
+The first row of each range is also given to the range before it, so no range waits for another; the
+width follows from at most ``MAX_RANGES`` ranges.
 
 Only DataFrame functions run here.  Defined cases: null texts count as empty; two
 empty fingerprints have likeness 1, an empty and another one 0; a single document
@@ -28,13 +30,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.staging import row_key
+from tidemark.llm.decontaminate import bounded
+from tidemark.llm.staging import row_key, staged
 
 CHAIN = 3
 REACH = 10
 THRESHOLD = 0.8
 #: Rows of an id range, about (more than 4096 rows would spill in a window); ranges at most.
 RANGE_ROWS, MAX_RANGES = 1500, 500_000
+LEVELS = 6
 
 #: Very common words that start a chain, and common words that a chain skips.
 ANCHORS = ("a", "an", "and", "das", "de", "der", "des", "die", "el", "en", "et", "in", "is", "la", "le", "les", "los", "of", "que", "the", "to", "und", "zu")
@@ -76,14 +80,34 @@ def likeness(a: str, b: str) -> Column:
     return F.when(F.greatest(F.size(a), F.size(b)) == 0, F.lit(1.0)).when(bound == 0, F.lit(0.0)).otherwise(exact).cast("double")
 
 
+def with_ranges(src: DataFrame) -> DataFrame:
+    """``src`` with _range: rows with smaller doc_id never have a larger one (null ids: -1)."""
+    spark = src.sparkSession
+    n = src.count()
+    rows = max(RANGE_ROWS, -(-n // MAX_RANGES))
+    df = src.withColumn("_range", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
+    for level in range(LEVELS):
+        ids = F.col("doc_id").cast("decimal(20,0)")
+        cells = df.where("_range >= 0").groupBy("_range").agg(F.count("*").alias("_n"), F.min(ids).alias("_low"), F.max(ids).alias("_high"))
+        if level and cells.where((F.col("_n") > 2 * rows) & (F.col("_low") < F.col("_high"))).limit(1).count() == 0:
+            break
+        # parts of a range too large, 1 of any other; one row per range from here on
+        parts = F.when(F.col("_n") > (2 * rows if level else 0), F.ceil(F.col("_n") / rows)).otherwise(1).cast("decimal(20,0)")
+        before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        cut = cells.withColumn("_parts", parts).select(
+            F.col("_range").alias("_old"), "_low", F.coalesce(F.sum("_parts").over(before), F.lit(0)).cast("long").alias("_base"),
+            F.ceil((F.col("_high") - F.col("_low") + 1) / F.col("_parts")).cast("decimal(20,0)").alias("_width"))
+        cut = staged(spark, cut, "id-ranges")
+        finer = F.col("_base") + F.expr("(CAST(doc_id AS DECIMAL(20,0)) - _low) div _width")
+        df = df.join(bounded(cut), F.col("_range") == F.col("_old"), "left") \
+               .select(*src.columns, F.when(F.col("_old").isNull(), F.col("_range")).otherwise(finer).cast("long").alias("_range"))
+    return df
+
+
 def in_order(docs: DataFrame) -> tuple[DataFrame, Window]:
     """doc_id, text, _range, _last (a copy of the next range's first row) and the window that orders them."""
-    src = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), row_key("doc_id", "text").alias("_k"))
-    n, low, high = docs.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
-    rows = max(RANGE_ROWS, -(-n // MAX_RANGES))
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // max(1, n // rows)))
-    src = src.withColumn("_range", F.coalesce(F.floor((F.col("doc_id") - F.lit(low or 0)) / F.lit(width)), F.lit(-1)).cast("long"))
-    first = src.groupBy("_range").agg(F.min(F.struct("doc_id", "_k")).alias("f"))  # at most MAX_RANGES + 2 rows
+    src = with_ranges(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), row_key("doc_id", "text").alias("_k")))
+    first = src.groupBy("_range").agg(F.min(F.struct("doc_id", "_k")).alias("f"))  # one row per range
     around = Window.orderBy("_range")
     prior = first.select(F.col("f._k").alias("_k"), F.col("f.doc_id").alias("_d"), F.coalesce(
         F.lag("_range").over(around), F.max("_range").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_to"))
