@@ -106,3 +106,34 @@ def test_sessionize_shuffles_events_by_key_and_hour(spark, sf_small):
     per_key = [x for x in parts if "_b#" not in x]
     # raw events go through the (ip, host, hour) shuffle; the per-key one is the edge-session stitch
     assert by_hour and len(per_key) == 1
+
+
+def test_bounds_of_the_data_cost_no_job_while_a_query_is_built(spark, sf_small):
+    from tidemark.plans import all_queries
+    queries = all_queries()
+    names = ["c03_cumulate_actors", "c04_scd2_backfill", "c06_user_devices_cumulated", "c06_hosts_cumulated", "c07_datelist_bits", "c08_host_activity_reduced",
+             "c09_reduced_fact_daily", "c10_growth_accounting", "e03_streak_resumption", "e08_resurrection_rate", "e09_resurrected_users", "e11_funnel",
+             "e12_engagement_minutes", "e13_churn_by_cell", "q05_snapshot_fallback", "q08_join_as_of_scd", "q14_active_users"]
+    sc, started = spark.sparkContext, {}
+    tracker = sc.statusTracker()
+    for name in names:
+        sc.setJobGroup(f"build-{name}", name)
+        queries[name](spark, sf_small)
+        stages = [tracker.getStageInfo(i) for j in tracker.getJobIdsForGroup(f"build-{name}") for i in tracker.getJobInfo(j).stageIds]
+        started[name] = [s.name for s in stages if s is not None and not s.name.startswith("parquet at")]  # files' schemas are read
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert {n: j for n, j in started.items() if j} == {}
+
+
+def test_rollup_shuffles_sums_and_not_the_details(spark, sf_small):
+    p = plan_text(pattern_plans.c11_game_rollup(spark, sf_small))
+    # the details are added up per (game, team, player) before anything multiplies them by the grouping sets
+    assert "Expand" not in p and p.index("partial_sum") < p.index("Generate")
+
+
+def test_completion_and_funnel_shuffle_events_by_user_and_hour(spark, sf_small):
+    import re
+    from tidemark.plans import experiment_plans
+    for query in (experiment_plans.e10_completion_metrics, experiment_plans.e11_funnel):
+        keys = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", plan_text(query(spark, sf_small)))
+        assert sum("_b#" in k for k in keys) == 1 and len(keys) == 2

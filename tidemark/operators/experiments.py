@@ -61,7 +61,7 @@ def churn_by_cell(days: DataFrame, cells: DataFrame, idle: int, as_of=None) -> D
     """Per cell, users with any activity and those of them without any in the
     last ``idle`` days up to ``as_of`` (default: the newest day)."""
     if as_of is None:
-        as_of = days.agg(F.max("day")).first()[0]
+        as_of = days.agg(F.max("day")).scalar()
     last = days.groupBy("user_id").agg(F.max("day").alias("_last"))
     gone = F.datediff(F.lit(as_of).cast("date"), F.col("_last")) > idle
     return (cells.join(last, "user_id", "inner").groupBy("cell")
@@ -176,7 +176,7 @@ def resurrection_rate(days: DataFrame, idle: int = 7, within: int = 7, as_of=Non
     back or not; returned = lapses that ended within ``within`` days of becoming
     one (idle < gap <= idle + within).  The rate is NULL without lapses."""
     if as_of is None:
-        as_of = days.agg(F.max("day")).first()[0]
+        as_of = days.agg(F.max("day")).scalar()
     w = Window.partitionBy("user_id").orderBy("day")
     away = days.select(F.lead("day").over(w).alias("_back"), "day").select(
         F.datediff(F.coalesce("_back", F.lit(as_of).cast("date")), F.col("day")).alias("_gap"), F.col("_back").isNotNull().alias("_came"))

@@ -106,6 +106,10 @@ def snapshot_or_fallback(daily: DataFrame, key: str, day: str, value: str, end)
 
 # ---------------------------------------------------------------- Q10-Q12
 
+#: At this share no more than a hundred sources a day are flagged.
+BROADCAST_SHARE = 0.01
+
+
 def _source_shares(df: DataFrame, day: Column, source: str, share: float) -> DataFrame:
     """_day, source, _n, _bot: does the source (NULL is one) hold more than ``share`` of the day?"""
     per = df.groupBy(day.alias("_day"), F.col(source).alias("_source")).agg(F.count(F.lit(1)).alias("_n"))
@@ -128,12 +132,12 @@ def drop_dominant_sources(df: DataFrame, day: Column, source: str, share: float)
 def filter_dominant_sources(df: DataFrame, day: Column, source: str, share: float) -> DataFrame:
     """Q10: the rows of ``df`` without the dominant sources of their day.
 
-    At most 1 / share sources a day can be dominant, so the flagged side is
-    broadcast; the rows are not shuffled."""
+    At most 1 / share sources a day can be dominant.  From ``BROADCAST_SHARE`` on the flagged
+    side is broadcast and the rows are not shuffled; below, the planner chooses by measured size."""
     bots = _source_shares(df, day, source, share).where("_bot").select("_day", "_source")
     rows = df.withColumn("_at", day)
     same = rows["_at"].eqNullSafe(bots["_day"]) & rows[source].eqNullSafe(bots["_source"])
-    return rows.join(F.broadcast(bots), same, "left_anti").drop("_at")
+    return rows.join(F.broadcast(bots) if share >= BROADCAST_SHARE else bots, same, "left_anti").drop("_at")
 
 
 def stitch_identity(events: DataFrame, user: str, device: str, ts: str) -> DataFrame:

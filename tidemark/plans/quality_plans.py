@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.sizing import small_side
@@ -19,6 +22,7 @@ from tidemark.plans.experiment_plans import SALT, cell_sql
 from tidemark.plans.oracle_views import AS_OF, FIRST_DAY, with_views
 from tidemark.session import shared_path
 from tidemark.sources import fixtures as fx
+from tidemark.sources import schemas as sc
 from tidemark.sources.tables import load
 
 EVENT_CONTRACT = [("event_id", "bigint", False), ("ts", "timestamp", False), ("user_id", "bigint", False),
@@ -79,6 +83,18 @@ def q06_reprocess_days(spark, sf_dir):
     return upsert_partitions(spark, path, redo, ["host", "date"], "date", order_by=[], periods=days).select("host", "date", "hits", "status")
 
 
+def s04_key_report(spark, sf_dir):
+    """The typed tables (S4) as they are built: schema, rows and keys, one row a table."""
+    tables = [("actors", sp.actor_snapshots(spark, sf_dir), sc.ACTORS, sc.ACTORS_KEY),
+              ("actors_history_scd", sp.actor_history(spark, sf_dir), sc.ACTORS_HISTORY_SCD, sc.ACTORS_HISTORY_SCD_KEY),
+              ("user_devices_cumulated", sp.user_devices_cumulated(spark, sf_dir), sc.USER_DEVICES_CUMULATED, sc.USER_DEVICES_CUMULATED_KEY),
+              ("hosts_cumulated", sp.hosts_cumulated(spark, sf_dir), sc.HOSTS_CUMULATED, sc.HOSTS_CUMULATED_KEY),
+              ("host_activity_reduced", sp.host_activity_reduced(spark, sf_dir), sc.HOST_ACTIVITY_REDUCED, sc.HOST_ACTIVITY_REDUCED_KEY),
+              ("players_growth_accounting", growth.growth_backfill(fx.players(spark, sf_dir), "player_name", fx.last_year_of(spark, sf_dir)),
+               sc.PLAYERS_GROWTH_ACCOUNTING, sc.PLAYERS_GROWTH_ACCOUNTING_KEY)]
+    return reduce(DataFrame.unionByName, [sc.key_report(*t) for t in tables])
+
+
 LATE_SEASONS = 3
 
 
@@ -262,6 +278,7 @@ QUERIES = {
     "q05_snapshot_fallback": q05_snapshot_fallback,
     "q06_reprocess_days": q06_reprocess_days,
     "q06_restated_seasons": q06_restated_seasons,
+    "s04_key_report": s04_key_report,
     "q08_join_as_of_scd": q08_join_as_of_scd,
     "q10_dominant_sources": q10_dominant_sources,
     "q10_filtered_traffic": q10_filtered_traffic,
@@ -486,3 +503,13 @@ SELECT host, date, CASE WHEN k = 0 THEN 'removed' ELSE 'moved' END AS status, a
        k AS old_known_hits, CASE WHEN k > 0 THEN k END AS new_known_hits, CAST(0 AS BIGINT) AS delta_known_hits
 FROM h WHERE date > (SELECT max(date) FROM w) - {RESTATED_DAYS} AND a <> k""", "web_events")
 ORACLE["q06_restated_seasons"] = pattern_plans.ORACLE["c10_growth_accounting"]
+ORACLE["s04_key_report"] = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, true AS schema_ok, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows, count(*) FILTER (WHERE n > 1) AS duplicate_keys, "
+    f"CAST(coalesce(sum(n) FILTER (WHERE {' OR '.join(k + ' IS NULL' for k in keys)}), 0) AS BIGINT) AS null_keys "
+    f"FROM (SELECT {', '.join(keys)}, count(*) AS n FROM ({sql}) GROUP BY ALL)"
+    for name, keys, sql in (
+        ("actors", sc.ACTORS_KEY, sp.ORACLE["c03_cumulate_actors"]), ("actors_history_scd", sc.ACTORS_HISTORY_SCD_KEY, sp.ORACLE["c04_scd2_backfill"]),
+        ("user_devices_cumulated", sc.USER_DEVICES_CUMULATED_KEY, sp.ORACLE["c06_user_devices_cumulated"]),
+        ("hosts_cumulated", sc.HOSTS_CUMULATED_KEY, sp.ORACLE["c06_hosts_cumulated"]),
+        ("host_activity_reduced", sc.HOST_ACTIVITY_REDUCED_KEY, sp.ORACLE["c08_host_activity_reduced"]),
+        ("players_growth_accounting", sc.PLAYERS_GROWTH_ACCOUNTING_KEY, pattern_plans.ORACLE["c10_growth_accounting"])))

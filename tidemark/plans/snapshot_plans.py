@@ -105,11 +105,14 @@ def c06_user_devices_cumulated(spark, sf_dir):
                     F.size("device_activity_datelist").cast("bigint").alias("n_dates"), "date")
 
 
-def c06_hosts_cumulated(spark, sf_dir):
+def hosts_cumulated(spark, sf_dir):
     we = fx.web_events(spark, sf_dir).select(F.col("subhost").alias("host"), "user_id", "event_time")
-    as_of = fx.event_span(spark, sf_dir)[1]
     active = cu.daily_active_keys(we, ["host"], "event_time", None, None, not_null=["user_id"])
-    s = cu.cumulate_datelist_backfill(active, ["host"], as_of, "host_activity_datelist")
+    return cu.cumulate_datelist_backfill(active, ["host"], fx.event_span(spark, sf_dir)[1], "host_activity_datelist")
+
+
+def c06_hosts_cumulated(spark, sf_dir):
+    s = hosts_cumulated(spark, sf_dir)
     return s.select("host", join_text(F.col("host_activity_datelist")).alias("host_activity_datelist"),
                     F.size("host_activity_datelist").cast("bigint").alias("n_dates"), "date")
 

@@ -71,3 +71,13 @@ def schema_matches(df: DataFrame, schema: StructType) -> bool:
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values held by more than one row (empty when the key holds)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def key_report(name: str, df: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
+    """One row about a table: whether its columns are the schema's, its rows, the key values that more
+    than one row holds, and the rows with a NULL in the key.  One shuffle, on the key."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    has_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    return per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"), F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
+                       F.coalesce(F.sum(F.when(has_null, F.col("_n"))), F.lit(0)).cast("bigint").alias("null_keys")) \
+                  .select(F.lit(name).alias("table_name"), F.lit(schema_matches(df, schema)).alias("schema_ok"), "rows", "duplicate_keys", "null_keys")
