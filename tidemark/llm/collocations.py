@@ -36,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import bounded
 from tidemark.llm.staging import staged
 from tidemark.llm.textbytes import buffers, fill_text, mix64, pieces, word_hashes, words_of
 
@@ -303,7 +304,7 @@ def candidates(docs: DataFrame, least: int = MIN_COUNT, share: int = SHARE) -> D
     n = counts.where("phrase = ''").select("lang", F.col("f").alias("n"))
     rows = scored.where(whole).select("lang", "phrase", F.col("f").alias("a"), left.alias("l"), right.alias("r"),
                                       F.least("_early", "_late").cast("long").alias("score"))
-    return rows.join(n, "lang")
+    return rows.join(bounded(n), "lang")  # one row per language; the candidates are not shuffled by it
 
 
 def best(rows: DataFrame, top: int = TOP) -> DataFrame:
