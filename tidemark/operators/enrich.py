@@ -73,7 +73,7 @@ def join_asof_rate_in_row(facts: DataFrame, rates: DataFrame, key: str = "ccy",
         table = asof_rates(rates, facts.select(key, day), key, day, rate_day, rate)
         return facts.join(table, [key, day], "left")
     at = F.least(F.datediff(day, "first_day"), F.size("known") - 1)
-    found = F.when(at >= 0, F.get("known", at))
+    found = F.when(F.col(day).isNotNull() & (at >= 0), F.get("known", at))  # least() passes over a NULL day
     joined = facts.join(F.broadcast(arrays), key, "left").withColumn("_r", found)
     return joined.select(*facts.columns, F.col("_r.rate_day").alias(rate_day), F.col("_r.rate").alias(rate))
 
