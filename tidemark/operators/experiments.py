@@ -9,7 +9,6 @@ calendar.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -218,14 +217,17 @@ def resurrected_users(days: DataFrame, windows: Mapping[str, int], idle: int = 7
     upto = Window.partitionBy("user_id").orderBy("day", "_rank").rowsBetween(Window.unboundedPreceding, 0)
     kept = rows.withColumn("_open", F.max("_end").over(upto)).where((F.col("_rank") == 1) & (F.col("day") < F.col("_open")))
     following = kept.withColumn("_next", F.lead("day").over(Window.partitionBy("user_id").orderBy("day")))
-    change = {n: F.lit(1) for n in windows}
-    starts = following.select("day", F.col("_back").cast("long").alias("returns"), *[c.cast("long").alias(n) for n, c in change.items()])
-    steps = [starts, following.where("_back").select(F.date_add("day", 1).alias("day"), F.lit(-1).cast("long").alias("returns"), *[F.lit(0).cast("long").alias(n) for n in windows])]
+    names = ["returns", *windows]
+
+    def step(day: Column, **changes: Column) -> Column:
+        return F.struct(day.alias("day"), *[changes.get(n, F.lit(0)).cast("long").alias(n) for n in names])
+
+    came, one = F.col("_back").cast("int"), F.lit(1)
+    changes = [step(F.col("day"), returns=came, **{n: one for n in windows}), step(F.date_add("day", 1), returns=-came)]
     for name, n in windows.items():
-        stop = F.least(F.date_add("day", n), F.coalesce("_next", F.date_add("day", n)))
-        steps.append(following.select(stop.alias("day"), F.lit(0).cast("long").alias("returns"),
-                                      *[F.lit(-1 if m == name else 0).cast("long").alias(m) for m in windows]))
-    return open_per_day(reduce(DataFrame.unionByName, steps), calendar(days), ["returns", *windows])
+        changes.append(step(F.least(F.date_add("day", n), F.coalesce("_next", F.date_add("day", n))), **{name: -one}))
+    steps = following.select(F.inline(F.array(*changes)))
+    return open_per_day(steps, calendar(days), names)
 
 
 # ---------------------------------------------------------------- E10, E11, E12
