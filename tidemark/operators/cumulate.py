@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.arrays import dense_from_map, empty_array, set_or_extend
+from tidemark.functions.arrays import dense_from_map, set_or_extend
 from tidemark.functions.bands import quality_class
 from tidemark.functions.bits import active_in_mask, datelist_to_bits, days_active, WEEK_MASK
 from tidemark.operators.periods import require_prior
