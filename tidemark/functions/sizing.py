@@ -9,11 +9,14 @@ the measured shuffle size).
 for the dimension-sized frames it is meant for; do not call it on a frame
 that needs a full fact scan to produce.  ``small_by_bytes`` is for those: it
 writes the side once and sizes what it wrote.
+
+``tasks_for`` deals a shuffle by the rows that go through it, so that what a task sorts and
+adds up in memory stays the same when the input grows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_path
@@ -21,6 +24,14 @@ from tidemark.session import shared_path
 # Default bounds: a million narrow dimension rows, and what they may take in an executor's memory.
 DEFAULT_MAX_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Rows of a shuffle that one task should hold, and the most tasks of a shuffle (beyond, tasks grow and spill).
+ROWS_A_TASK = 250_000
+MAX_TASKS = 20_000
+
+
+def tasks_for(spark: SparkSession, rows: int, rows_a_task: int = ROWS_A_TASK) -> int:
+    """Partitions for ``repartition(n, key)`` of ``rows`` rows; a number that is given is not coalesced again."""
+    return max(spark.sparkContext.defaultParallelism, min(MAX_TASKS, -(-rows // rows_a_task)))
 
 
 def _bytes(df: DataFrame):

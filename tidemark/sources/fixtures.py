@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.ip import long_to_ipv4
+from tidemark.functions.sizing import tasks_for
 from tidemark.sources.tables import load
 
 
@@ -87,12 +88,21 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.unionByName(n.where(F.col("team_id") < 5))
 
 
+def game_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks for a shuffle of the lines by game; the count reads the files' footers only."""
+    return tasks_for(spark, load(spark, sf_dir, "lineitem").count())
+
+
 def game_details(spark: SparkSession, sf_dir: str, with_game_date: bool = False) -> DataFrame:
     """game_details; with ``with_game_date`` also the game's date, taken from the
-    same join with games that derives the teams (no second join with games)."""
+    same join with games that derives the teams (no second join with games).
+
+    Lines and games are dealt by game into as many tasks as the lines need (``game_tasks``); what
+    groups by game afterwards runs in the same tasks."""
+    n = game_tasks(spark, sf_dir)
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber",
-                                                "l_linestatus", "l_quantity")
-    g = games(spark, sf_dir).select("game_id", "home_team_id", "visitor_team_id", "game_date_est")
+                                                "l_linestatus", "l_quantity").repartition(n, "l_orderkey")
+    g = games(spark, sf_dir).select("game_id", "home_team_id", "visitor_team_id", "game_date_est").repartition(n, "game_id")
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     j = (li.join(g, li.l_orderkey == g.game_id, "inner")
            .join(s, li.l_suppkey == s.s_suppkey, "inner"))
