@@ -5,6 +5,7 @@ from __future__ import annotations
 from tests.conftest import rows
 from tests.test_plans import plan_text
 from tidemark.functions import sizing
+from tidemark.operators import enrich as en
 from tidemark.plans import dedup_plans, pattern_plans
 from tidemark.sources import fixtures as fx
 
@@ -25,3 +26,15 @@ def test_game_lines_are_dealt_once_by_their_number(spark, sf_small, monkeypatch)
         text = plan_text(df)
         assert "hashpartitioning(l_orderkey" in text and f", {fx.game_tasks(spark, sf_small)}), REPARTITION_BY_NUM" in text
         assert rows(df) == expected
+
+
+def test_many_range_blocks_are_not_broadcast(spark, sf_small):
+    facts, ranges = fx.client_events(spark, sf_small), fx.nested_ip_ranges(spark, sf_small)
+    df = en.ip_most_specific(facts, "ip", ranges, max_bytes=0)
+    text = plan_text(df)
+    joins = text[text.index("\n(1) "):].split("\n\n")
+    by_block = [x for x in joins if "Join" in x and "_bits#" in x]
+    assert by_block and all("SortMergeJoin" in x for x in by_block)
+    broadcast = [x for x in joins if "BroadcastHashJoin" in x]   # the coarse lengths: at most 69,905 blocks
+    assert len(broadcast) <= (en.ADDRESS_BITS - en.COARSE_BITS) // en.STEP_BITS + 1
+    assert rows(df) == rows(en.ip_most_specific(facts, "ip", ranges))

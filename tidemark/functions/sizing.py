@@ -51,9 +51,19 @@ def small_side(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int =
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
-def small_by_bytes(df: DataFrame, max_bytes: int, name: str) -> DataFrame | None:
-    """``df`` as written once to the shared folder if its rows take at most ``max_bytes``, else None."""
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as written once to the shared folder."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    kept = df.sparkSession.read.schema(df.schema).parquet(path)
-    return kept if (kept.agg(_bytes(kept)).first()[0] or 0) <= max_bytes else None
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fits(df: DataFrame, max_bytes: int) -> bool:
+    """The rows take at most ``max_bytes``."""
+    return (df.agg(_bytes(df)).first()[0] or 0) <= max_bytes
+
+
+def small_by_bytes(df: DataFrame, max_bytes: int, name: str) -> DataFrame | None:
+    """``df`` as written once to the shared folder if its rows take at most ``max_bytes``, else None."""
+    kept = written(df, name)
+    return kept if fits(kept, max_bytes) else None

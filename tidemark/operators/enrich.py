@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ip import ipv4_to_long
-from tidemark.functions.sizing import MAX_BROADCAST_BYTES, small_by_bytes, small_side
+from tidemark.functions.sizing import MAX_BROADCAST_BYTES, fits, small_by_bytes, small_side, tasks_for, written
 
 
 def asof_rates(rates: DataFrame, keys_needed: DataFrame, key: str = "ccy", day: str = "day",
@@ -118,6 +118,10 @@ def ip_range_join(facts: DataFrame, ip_col: str, ranges: DataFrame, start: str =
 #: Bits of a prefix length step: blocks hold 1, 16, 256, ... addresses.
 STEP_BITS = 4
 ADDRESS_BITS = 32
+#: Blocks of 2**16 addresses and more number 69,905 at most: they are always broadcast.
+COARSE_BITS = 16
+#: Ranges that one task cuts into blocks, and block look-ups of one task.
+RANGES_A_TASK, LOOKUPS_A_TASK = 10_000, 500_000
 
 
 def range_blocks(ranges: DataFrame, start: str = "ip_start", end: str = "ip_end") -> DataFrame:
@@ -146,28 +150,32 @@ def ip_most_specific(facts: DataFrame, ip_col: str, ranges: DataFrame, start: st
     """Left-join each fact to the narrowest range that holds its address; ranges may nest and overlap
     (equally narrow ones: the larger start wins, then the larger columns).
 
-    Blocks are kept once per (prefix length, prefix) with their narrowest range.  If they are
+    Blocks are kept once per (prefix length, prefix) with their narrowest range and written.  If they are
     small (checked by bytes) each prefix length is a broadcast equi-join and the facts stay where
-    they are; beyond, the distinct addresses are resolved by one shuffled equi-join on (length,
-    prefix) and the facts joined by address."""
+    they are.  Beyond, only the coarse lengths are; the distinct addresses look the finer ones up by
+    one shuffled equi-join on (length, prefix), where a prefix stands for at most 4,096 addresses, and the
+    facts are joined by address."""
+    spark = facts.sparkSession
     extra = [c for c in ranges.columns if c not in (start, end)]
     rank = F.struct((F.col(start) - F.col(end)).alias("narrow"), F.col(start).alias("start"), *[F.col(c) for c in extra])
-    cells = range_blocks(ranges, start, end).groupBy("_bits", "_block").agg(F.max(rank).alias("_range"))
-    small = small_by_bytes(cells, max_bytes, "ip_blocks")
+    dealt = ranges.repartition(tasks_for(spark, ranges.count(), RANGES_A_TASK))
+    cells = written(range_blocks(dealt, start, end).groupBy("_bits", "_block").agg(F.max(rank).alias("_range")), "ip_blocks")
     number = ipv4_to_long(F.col(ip_col))
     shifted = lambda ip, bits: F.shiftrightunsigned(ip, bits)
-    if small is not None:
-        lengths = sorted(r["_bits"] for r in small.select("_bits").distinct().collect())  # at most 9
-        j = facts.withColumn("_ip", number)
-        for bits in lengths:
-            side = small.where(F.col("_bits") == bits).select(F.col("_block").alias(f"_b{bits}"), F.col("_range").alias(f"_r{bits}"))
-            j = j.join(F.broadcast(side), shifted(F.col("_ip"), bits) == F.col(f"_b{bits}"), "left")
-        best = F.greatest(*[F.col(f"_r{b}") for b in lengths]) if len(lengths) > 1 else F.col(f"_r{lengths[0]}") if lengths else None
-        if best is None:
-            return facts.select("*", *[F.lit(None).cast(ranges.schema[c].dataType).alias(c) for c in extra])
-        return j.withColumn("_best", best).select(*facts.columns, *[F.col(f"_best.{c}").alias(c) for c in extra])
-    bits = F.explode(F.array(*[F.lit(b) for b in range(0, ADDRESS_BITS + 1, STEP_BITS)]))
-    asked = facts.select(number.alias("_ip")).where("_ip IS NOT NULL").distinct().withColumn("_bits", bits)
-    asked = asked.withColumn("_block", F.expr("shiftrightunsigned(_ip, _bits)"))
-    best = asked.join(cells, ["_bits", "_block"]).groupBy("_ip").agg(F.max("_range").alias("_best"))
-    return facts.withColumn("_ip", number).join(best, "_ip", "left").select(*facts.columns, *[F.col(f"_best.{c}").alias(c) for c in extra])
+    j, found, near = facts.withColumn("_ip", number), [], cells
+    if not fits(cells, max_bytes):
+        near, fine = cells.where(F.col("_bits") >= COARSE_BITS), cells.where(F.col("_bits") < COARSE_BITS)
+        sizes = range(0, COARSE_BITS, STEP_BITS)
+        n = tasks_for(spark, fine.count() + len(sizes) * facts.count(), LOOKUPS_A_TASK)
+        asked = facts.select(number.alias("_ip")).where("_ip IS NOT NULL").distinct().withColumn("_bits", F.explode(F.array(*[F.lit(b) for b in sizes])))
+        asked = asked.withColumn("_block", F.expr("shiftrightunsigned(_ip, _bits)")).repartition(n, "_bits", "_block")
+        best = asked.join(fine.repartition(n, "_bits", "_block").hint("merge"), ["_bits", "_block"]).groupBy("_ip").agg(F.max("_range").alias("_fine"))
+        j, found = j.join(best.hint("merge"), "_ip", "left"), [F.col("_fine")]
+    for bits in sorted(r["_bits"] for r in near.select("_bits").distinct().collect()):  # at most 9
+        side = near.where(F.col("_bits") == bits).select(F.col("_block").alias(f"_b{bits}"), F.col("_range").alias(f"_r{bits}"))
+        j = j.join(F.broadcast(side), shifted(F.col("_ip"), bits) == F.col(f"_b{bits}"), "left")
+        found.append(F.col(f"_r{bits}"))
+    if not found:
+        return facts.select("*", *[F.lit(None).cast(ranges.schema[c].dataType).alias(c) for c in extra])
+    best = F.greatest(*found) if len(found) > 1 else found[0]
+    return j.withColumn("_best", best).select(*facts.columns, *[F.col(f"_best.{c}").alias(c) for c in extra])
