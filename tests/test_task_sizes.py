@@ -38,3 +38,19 @@ def test_many_range_blocks_are_not_broadcast(spark, sf_small):
     broadcast = [x for x in joins if "BroadcastHashJoin" in x]   # the coarse lengths: at most 69,905 blocks
     assert len(broadcast) <= (en.ADDRESS_BITS - en.COARSE_BITS) // en.STEP_BITS + 1
     assert rows(df) == rows(en.ip_most_specific(facts, "ip", ranges))
+
+
+def test_rows_of_a_match_leave_the_fact_side_by_side(spark, sf_small):
+    import itertools
+
+    from tidemark.plans import match_plans
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}   # as on large tables
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = [r["match_id"] for r in match_plans.fact(spark, sf_small).select("match_id", "medals_count_map").collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(set(got)) < len(got) and len(list(itertools.groupby(got))) == len(set(got))
