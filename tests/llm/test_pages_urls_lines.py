@@ -128,6 +128,41 @@ def test_ties_and_pages_without_labels_equal_sql(spark, tmp_path):
     assert got == want == []
 
 
+@pytest.mark.parametrize("most", [60_000, 0])
+def test_broadcasts_are_bounded_in_bytes_over_all_levels(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(url_templates, "MAX_HELD", most, raising=False)
+    monkeypatch.setattr(url_templates, "HOT", 60, raising=False)
+    sent, broadcast, staged = [0], F.broadcast, url_templates.staged
+
+    def size(df):
+        found = df.collect()
+        return 160 * len(found) + 2 * sum(len(x) for r in found for x in r if isinstance(x, str))
+
+    def noted(df):
+        sent[-1] += size(df)
+        return broadcast(df)
+
+    def cut(session, df, name):
+        out = staged(session, df, name)
+        if name == "url-levels":
+            sent.append(0)
+        return out
+
+    monkeypatch.setattr(url_templates.F, "broadcast", noted)
+    monkeypatch.setattr(url_templates, "staged", cut)
+    urls, labels = [], []
+    for i in range(900):                                    # a hundred sections of long names on each of five levels
+        n = i // 9
+        urls.append(f"http://h{n // 20}.org/" + "/".join(f"{k}-{n}-{'section' * (5 + n % 9)}" for k in "abcde") + f"/{i}")
+        labels.append((i, 0 if n % 10 == 3 else 1))
+    urls += [f"http://hot.org/page/7/{i % 40}" for i in range(300)]   # one host, template and label of many pages
+    urls += [None, "nothing", "http://hot.org/"] * 30
+    got, want = url_case(spark, tmp_path, list(enumerate(urls)), labels)
+    assert got == want and len(got) == len(urls)
+    assert {v for *_, v in got} == {"allow", "block"}
+    assert max(sent) <= 3 * most                            # labels, what the levels before carry on, and one level's table
+
+
 # ---------------------------------------------------------------- 6 lines
 
 def test_no_later_copy_of_any_line_stays(spark, awkward, nothing):
